@@ -129,7 +129,7 @@ def codec(path: str) -> Codec:
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id and ids (array of int) of each whole text."""
+    """doc_id, n_tokens, ids (array of int) of each whole text, and whether they decode to it exactly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = codec(path)
@@ -137,9 +137,10 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             ids = held.texts(batch.column("text"))
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             flat = np.concatenate(ids).astype(np.int32) if ids else np.empty(0, np.int32)
-            yield pa.record_batch({"doc_id": batch.column("doc_id").cast(pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))})
+            exact = [held.decode(x) == t for x, t in zip(ids, batch.column("text").to_pylist(), strict=True)]
+            yield pa.record_batch({"doc_id": batch.column("doc_id").cast(pa.int64()), "n_tokens": pa.array([len(x) for x in ids], pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), "exact": pa.array(exact, pa.bool_())})
 
-    return texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
+    return texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, exact boolean")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
