@@ -83,11 +83,11 @@ b AS (SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(coalesce(
 ds AS (SELECT doc_id, list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) AS s FROM d WHERE len(w) >= 5),
 bs AS (SELECT item_id, len(w) AS n_words, list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) AS s FROM b WHERE len(w) >= 5),
 weights AS (SELECT shingle, 1 + ln((SELECT count(*) FROM bs)::DOUBLE / count(*)) AS weight FROM (SELECT item_id, unnest(list_distinct(s)) AS shingle FROM bs) GROUP BY shingle),
-dp AS (SELECT doc_id, unnest(s) AS shingle, unnest(range(0, len(s))) AS at FROM ds),
+dp AS (SELECT doc_id, unnest(s) AS shingle, unnest(range(0, len(s))) AS pos FROM ds),
 bp AS (SELECT item_id, n_words, unnest(s) AS shingle, unnest(range(0, len(s))) AS place FROM bs),
 starts AS (
-  SELECT DISTINCT doc_id, item_id, n_words, greatest(at - place, 0) + m AS start
-  FROM dp JOIN bp USING (shingle), (SELECT unnest([-2, -1, 0, 1, 2]) AS m) WHERE greatest(at - place, 0) + m >= 0),
+  SELECT DISTINCT doc_id, item_id, n_words, greatest(pos - place, 0) + m AS start
+  FROM dp JOIN bp USING (shingle), (SELECT unnest([-2, -1, 0, 1, 2]) AS m) WHERE greatest(pos - place, 0) + m >= 0),
 wins AS (
   SELECT doc_id, item_id, n_words, start, list_distinct(ds.s[start + 1:start + n_words - 4]) AS own, list_distinct(bs.s) AS its
   FROM starts JOIN ds USING (doc_id) JOIN bs USING (item_id, n_words)),
