@@ -40,8 +40,6 @@ from vitrina.llm.tables import shuffle_partitions, texts
 
 U64 = np.uint64
 WINDOW, GRAM = 128, 16
-#: Blocks of documents to a shuffle partition; each is held in memory at once.
-BLOCKS = 8
 NAME, SPAN, STRING = 0, 1, 2
 _SENT = "part int, block int, kind int, n int, hashes binary"
 _BACK = "block int, kind int, hashes binary"
@@ -145,43 +143,50 @@ def remove_repeats(docs: DataFrame, length: int = 400, digest: bool = True) -> D
     if length < WINDOW + GRAM:
         raise ValueError(f"length must be at least {WINDOW + GRAM}")
     spark = docs.sparkSession
-    parts = 2 * shuffle_partitions(spark)
-    blocks = BLOCKS * shuffle_partitions(spark)
+    parts = blocks = shuffle_partitions(spark)
     rows = texts(docs).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
 
+    def pieces(table: pa.Table) -> Iterator[tuple[pa.RecordBatch, Block]]:
+        """A block's documents a few at a time: only hashes are held for all of it."""
+        for batch in A.slices(table.to_batches()):
+            yield batch, Block(batch.column("text"), length)
+
     def anchors(key: tuple, table: pa.Table) -> pa.Table:
-        held = Block(table.column("text"), length)
-        return _table(_send(int(key[0].as_py()), NAME, held.names(), parts) + _send(int(key[0].as_py()), SPAN, held.spans(), parts) if len(held.starts) else [])
+        found = [(held.names(), held.spans()) for _, held in pieces(table) if len(held.starts)]
+        block = int(key[0].as_py())
+        return _table([row for kind in (NAME, SPAN) for row in _send(block, kind, np.concatenate([f[kind] for f in found]), parts)] if found else [])
 
     def strings(key: tuple, table: pa.Table, back: pa.Table) -> pa.Table:
         if not table.num_rows or not back.num_rows:
             return _table([])
-        held, known = Block(table.column("text"), length), _sets(back.to_pandas())
-        spans = held.spans()
-        named, spanned, sends = _found(held.names(), known[NAME]), _found(spans, known[SPAN]), _found(spans, known[SPAN + 4])
-        once = np.zeros(len(spans), bool)
-        once[np.unique(spans, return_index=True)[1]] = True
-        return _table(_send(int(key[0].as_py()), STRING, held.strings((named & (~spanned | sends & once))[held.group]), parts))
+        known, found, sent = _sets(back.to_pandas()), [], np.empty(0, U64)
+        for _, held in pieces(table):
+            if not len(held.starts):
+                continue
+            spans = held.spans()
+            first = np.zeros(len(spans), bool)
+            first[np.unique(spans, return_index=True)[1]] = True
+            sends = first & _found(spans, known[SPAN + 4]) & ~_found(spans, sent)
+            sent = np.union1d(sent, spans[sends])
+            found.append(held.strings((_found(held.names(), known[NAME]) & (~_found(spans, known[SPAN]) | sends))[held.group]))
+        return _table(_send(int(key[0].as_py()), STRING, np.concatenate(found), parts) if found else [])
 
     def kept(key: tuple, table: pa.Table, back: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return _result([])
-        held, known = Block(table.column("text"), length), _sets(back.to_pandas())
-        out = np.zeros(len(held.data) + 1, np.int32)
-        if len(held.starts):
-            spanned = _found(held.spans(), known[SPAN])[held.group]
-            some = np.flatnonzero(~spanned & _found(held.names(), known[NAME])[held.group])
-            spanned[some] = _found(held.strings(some), known[STRING])
-            starts = held.starts[spanned]
-            np.add.at(out, starts, 1)
-            np.add.at(out, starts + length, -1)
-        gone = np.cumsum(out)[:-1] > 0
-        result = []
-        for doc_id, a, b in zip(table.column("doc_id").to_pylist(), held.offsets[:-1], held.offsets[1:], strict=True):
-            own = gone[a:b]
-            edge = np.flatnonzero(np.diff(np.r_[False, own, False].astype(np.int8))).reshape(-1, 2)
-            rest = held.data[a:b][~own].tobytes() if len(edge) else held.data[a:b].tobytes()
-            result.append((doc_id, int(b - a), int(own.sum()), len(edge), edge.tolist(), hashlib.sha256(rest).hexdigest() if digest else rest))
+        known, result = _sets(back.to_pandas()), []
+        for batch, held in pieces(table):
+            out = np.zeros(len(held.data) + 1, np.int32)
+            if len(held.starts):
+                gone = _found(held.spans(), known[SPAN])[held.group]
+                some = np.flatnonzero(~gone & _found(held.names(), known[NAME])[held.group])
+                gone[some] = _found(held.strings(some), known[STRING])
+                np.add.at(out, held.starts[gone], 1)
+                np.add.at(out, held.starts[gone] + length, -1)
+            covered = np.cumsum(out)[:-1] > 0
+            for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), held.offsets[:-1], held.offsets[1:], strict=True):
+                own = covered[a:b]
+                edge = np.flatnonzero(np.diff(np.r_[False, own, False].astype(np.int8))).reshape(-1, 2)
+                rest = held.data[a:b][~own].tobytes() if len(edge) else held.data[a:b].tobytes()
+                result.append((doc_id, int(b - a), int(own.sum()), len(edge), edge.tolist(), hashlib.sha256(rest).hexdigest() if digest else rest))
         return _result(result)
 
     def _result(result: list) -> pa.Table:
