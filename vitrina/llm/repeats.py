@@ -40,6 +40,8 @@ from vitrina.llm.tables import shuffle_partitions, texts
 
 U64 = np.uint64
 WINDOW, GRAM = 128, 16
+#: Blocks of documents to a shuffle partition; a block's hashes are held in memory at once.
+BLOCKS = 4
 NAME, SPAN, STRING = 0, 1, 2
 _SENT = "part int, block int, kind int, n int, hashes binary"
 _BACK = "block int, kind int, hashes binary"
@@ -93,32 +95,28 @@ def _found(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 def _send(block: int, kind: int, hashes: np.ndarray, parts: int) -> list[tuple]:
-    """Rows of one block's distinct hashes, by hash range; those that it holds twice come last."""
+    """Rows of one block's hashes in order, by hash range; one that it holds more than once stands twice."""
     ids, counts = np.unique(hashes, return_counts=True)
-    out = []
-    for twice in (False, True):
-        some = ids[(counts > 1) == twice]
-        cuts = np.searchsorted(some, (np.arange(parts, dtype=np.float64) * (2.0**64 / parts)).astype(U64)).tolist() + [len(some)]
-        out += [(r, block, kind + 4 * twice, cuts[r + 1] - cuts[r], some[cuts[r] : cuts[r + 1]].tobytes()) for r in range(parts) if cuts[r] < cuts[r + 1]]
-    return out
+    ids = np.repeat(ids, np.minimum(counts, 2))
+    cuts = np.searchsorted(ids, (np.arange(parts, dtype=np.float64) * (2.0**64 / parts)).astype(U64)).tolist() + [len(ids)]
+    return [(r, block, kind, cuts[r + 1] - cuts[r], ids[cuts[r] : cuts[r + 1]].tobytes()) for r in range(parts) if cuts[r] < cuts[r + 1]]
 
 
 def _repeated(sent: pd.DataFrame) -> pd.DataFrame:
     """What stands more than once among the hashes of a range, for each block that holds it.
 
-    Kind 4 marks, of spans, those whose strings the block must send: the first block that holds them.
+    Kind 4 more marks, of spans, those whose strings the block must send: the first block that holds them.
     """
     out = []
-    for kind in sorted(set(sent["kind"] % 4)):
-        rows = sent[sent["kind"] % 4 == kind].sort_values("block")
+    for kind in sorted(set(sent["kind"])):
+        rows = sent[sent["kind"] == kind].sort_values("block")
         hashes = np.concatenate([np.frombuffer(x, U64) for x in rows["hashes"]])
         block = np.repeat(rows["block"].to_numpy(), rows["n"])
-        twice = np.repeat(rows["kind"].to_numpy() >= 4, rows["n"])
         order = np.argsort(hashes, kind="stable")
-        hashes, block, twice = hashes[order], block[order], twice[order]
+        hashes, block = hashes[order], block[order]
         same = hashes[1:] == hashes[:-1]
         before, after = np.r_[False, same], np.r_[same, False]
-        keep = before | after | twice
+        keep = before | after
         code = np.where(before | (kind != SPAN), kind, kind + 4)[keep]
         hashes, block = hashes[keep], block[keep]
         order = np.lexsort((code, block))
@@ -143,12 +141,12 @@ def remove_repeats(docs: DataFrame, length: int = 400, digest: bool = True) -> D
     if length < WINDOW + GRAM:
         raise ValueError(f"length must be at least {WINDOW + GRAM}")
     spark = docs.sparkSession
-    parts = blocks = shuffle_partitions(spark)
+    blocks, parts = BLOCKS * shuffle_partitions(spark), max(1, shuffle_partitions(spark) // 2)
     rows = texts(docs).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
 
     def pieces(table: pa.Table) -> Iterator[tuple[pa.RecordBatch, Block]]:
         """A block's documents a few at a time: only hashes are held for all of it."""
-        for batch in A.slices(table.to_batches()):
+        for batch in A.slices(table.to_batches(), limit=1 << 20):
             yield batch, Block(batch.column("text"), length)
 
     def anchors(key: tuple, table: pa.Table) -> pa.Table:
