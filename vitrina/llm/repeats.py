@@ -141,7 +141,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, digest: bool = True) -> D
     if length < WINDOW + GRAM:
         raise ValueError(f"length must be at least {WINDOW + GRAM}")
     spark = docs.sparkSession
-    blocks, parts = BLOCKS * shuffle_partitions(spark), max(1, shuffle_partitions(spark) // 2)
+    blocks, parts = BLOCKS * shuffle_partitions(spark), max(2, shuffle_partitions(spark) // 4)
     rows = texts(docs).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
 
     def pieces(table: pa.Table) -> Iterator[tuple[pa.RecordBatch, Block]]:
