@@ -9,8 +9,9 @@ need a table, and of those there are at most RARE times the mean number of shing
 bound does not grow with the corpus, and so the table is broadcast. Document frequencies come from all
 documents, as packed sorted blocks of hashes dealt out by hash range. The texts are shuffled once, and
 only those of candidates are used. Within a bucket every document is compared with the bucket's leader,
-never each with each; documents that the leader does not attach choose leaders among themselves (four
-times as many each round), which are again compared with the whole bucket, until none is left. A pair
+never each with each; documents that the links so far do not join to a leader choose leaders among
+themselves (four times as many each round), which are again compared with all of the bucket that is not
+yet in their component, until none is left. A pair
 whose samples agree too seldom for the threshold (by nearly five standard deviations) is not verified.
 
 Edge cases: a null or empty text, or one without words, has no shingles and is a class of its own; a
@@ -205,6 +206,11 @@ def _verified(pairs: DataFrame, vecs: DataFrame) -> DataFrame:
     return pairs.join(left, "b").join(right, "a").select("a", "b", "va", "vb").mapInArrow(_compare, "a long, b long, sim double")
 
 
+def _labelled(table: DataFrame, near: DataFrame) -> DataFrame:
+    """The table with c, the component of its column rep so far."""
+    return table.join(near, F.col("rep") == F.col("node"), "left").withColumn("c", F.coalesce("component", "rep")).drop("node", "component")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> DataFrame:
     """One row per doc_id: its class (the least doc_id in it), the class's size, and whether it stands for it."""
     table = frequency_table(docs, size)
@@ -215,26 +221,30 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> D
     members = Scratch(spread.join(crowded.select("bucket"), "bucket"))
     wanted = members.df.select(F.col("rep").alias("doc_id")).distinct()
     vecs = Scratch(vectors(texts(docs).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), table, size))
-    tested, open_, leads = None, Scratch(members.df.select("bucket", "rep", "samples")), 1
+    near = None  # node and component of the links so far
+    tested, open_, leads = None, Scratch(members.df.withColumn("c", F.col("rep"))), 1
+    labelled = open_
     while not open_.df.isEmpty():
         salted = open_.df.groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(leads)).alias("salt"))
-        leaders = Scratch(salted.agg(F.min("rep").alias("leader"), F.min_by("samples", "rep").alias("its")).drop("salt"))
+        leaders = Scratch(salted.agg(F.min("rep").alias("leader"), F.min_by(F.struct("samples", "c"), "rep").alias("its")).select("bucket", "leader", F.col("its.samples").alias("its"), F.col("its.c").alias("lc")))
         agreed = F.aggregate(F.zip_with("samples", "its", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-        led = members.df.join(leaders.df, "bucket").filter("rep <> leader").filter(agreed >= AGREE)
+        led = labelled.df.join(leaders.df, "bucket").filter("c <> lc").filter(agreed >= AGREE)
         pairs = led.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         new = Scratch(_verified(pairs, vecs.df)).df
         tested = new if tested is None else tested.unionByName(new)
-        good = tested.filter(F.col("sim") >= threshold).select("a", "b", F.lit(True).alias("good"))
-        tried = open_.df.join(leaders.df.drop("its"), "bucket").select("bucket", "rep", "samples", F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
-        done = tried.join(good, ["a", "b"], "left").groupBy("bucket", "rep").agg(F.max(F.col("a").eqNullSafe(F.col("b")) | F.col("good").isNotNull()).alias("done"), F.first("samples").alias("samples"))
-        rest = Scratch(done.filter("not done").select("bucket", "rep", "samples"))
+        good = new.filter(F.col("sim") >= threshold).select("a", "b")
+        near = saved(connected_components(good if near is None else good.unionByName(near.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b"))
+        relabelled = Scratch(_labelled(members.df, near))
+        rest = _labelled(open_.df.drop("c"), near).join(_labelled(leaders.df.select("bucket", F.col("leader").alias("rep")), near).select("bucket", F.col("rep").alias("leader"), F.col("c").alias("lc")), "bucket")
+        rest = rest.groupBy("bucket", "rep").agg(F.max((F.col("rep") == F.col("leader")) | (F.col("c") == F.col("lc"))).alias("done"), F.first("samples").alias("samples"), F.first("c").alias("c"))
+        rest = Scratch(rest.filter("not done").select("bucket", "rep", "samples", "c"))
         open_.drop()
+        if labelled is not open_:
+            labelled.drop()
         leaders.drop()
-        open_, leads = rest, 4 * leads
-    found = tested.filter(F.col("sim") >= threshold).select("a", "b") if tested is not None else None
-    near = connected_components(found, "a", "b") if found is not None else None
+        labelled, open_, leads = relabelled, rest, 4 * leads
     ids = sig.filter("doc_id is not null").groupBy("doc_id").agg(F.min("copy").alias("copy"))
     out = ids.join(reps.select("copy", "rep"), "copy", "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"))
     if near is not None:
