@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.llm import arrays as A
-from vitrina.llm.tables import broadcast_value, texts
+from vitrina.llm.tables import broadcast_value, saved, texts
 
 U64 = np.uint64
 ORDER, BACKOFF = 8, 5
@@ -210,7 +210,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> DataFr
     """doc_id, held_out, score (0 to 1) and predicted (score >= 0.7) of each whole text, and its evidence."""
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     fold = (F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) / 2).cast("int")
-    training = texts(docs).filter(~held_out()).join(known.filter(~held_out()), "doc_id").withColumn("fold", fold)
+    training = saved(texts(docs).filter(~held_out()).join(known.filter(~held_out()), "doc_id").withColumn("fold", fold))
     rows, shapes = gram_counts(training).toPandas(), gram_shapes(training).toPandas()
     shapes = shapes[["cell", "context", "short", "base"]].to_numpy().T.astype(np.int64)
     both = Model(shapes, _dense(rows, {1, 3}), _dense(rows, {0, 2}))
