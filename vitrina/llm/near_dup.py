@@ -12,7 +12,7 @@ only those of candidates are used. Within a bucket every document is compared wi
 never each with each; documents that the links so far do not join to a leader choose leaders among
 themselves (four times as many each round), which are again compared with all of the bucket that is not
 yet in their component, until none is left. A pair
-whose samples agree too seldom for the threshold (by nearly five standard deviations) is not verified.
+whose samples agree too seldom for the threshold (by three standard deviations) is not verified.
 
 Edge cases: a null or empty text, or one without words, has no shingles and is a class of its own; a
 text of fewer than five words is one shingle; equal texts share a class; repeated rows of one doc_id
@@ -38,10 +38,10 @@ U64 = np.uint64
 RARE = 1024
 #: A document frequency of this share halves, roughly, what a shingle weighs.
 SMOOTH = 0.05
-BANDS, ROWS = 16, 4
+BANDS, ROWS = 21, 6
 IDF_LEVELS = 12
-#: Samples of BANDS * ROWS that must agree before a pair is verified: at similarity 0.8 about 51 do.
-AGREE = 36
+#: Samples of BANDS * ROWS that must agree before a pair is verified: at similarity 0.8 about 101 do.
+AGREE = 87
 UNIT = 1 << 21
 POOL = 1 << 16
 _KEYS = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, (2, BANDS * ROWS), dtype=U64) * U64(2) + U64(1)
@@ -236,10 +236,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> D
         tested = new if tested is None else tested.unionByName(new)
         good = new.filter(F.col("sim") >= threshold).select("a", "b")
         near = saved(connected_components(good if near is None else good.unionByName(near.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b"))
-        relabelled = Scratch(_labelled(members.df, near))
         rest = _labelled(open_.df.drop("c"), near).join(_labelled(leaders.df.select("bucket", F.col("leader").alias("rep")), near).select("bucket", F.col("rep").alias("leader"), F.col("c").alias("lc")), "bucket")
         rest = rest.groupBy("bucket", "rep").agg(F.max((F.col("rep") == F.col("leader")) | (F.col("c") == F.col("lc"))).alias("done"), F.first("samples").alias("samples"), F.first("c").alias("c"))
         rest = Scratch(rest.filter("not done").select("bucket", "rep", "samples", "c"))
+        relabelled = Scratch(_labelled(labelled.df.drop("c").join(rest.df.select("bucket").distinct(), "bucket", "left_semi"), near))
         open_.drop()
         if labelled is not open_:
             labelled.drop()
