@@ -32,7 +32,7 @@ from vitrina.llm.tables import broadcast_value, saved, texts
 
 U64 = np.uint64
 ORDER, BACKOFF = 8, 5
-TABLE_BITS = 21
+TABLE_BITS = 20
 TABLE = 1 << TABLE_BITS
 DISCOUNT = 0.75
 SLICES = 64
@@ -96,15 +96,15 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
                 own = total[s * (TABLE // SLICES) : (s + 1) * (TABLE // SLICES)]
                 some = np.flatnonzero(own)
                 if len(some):
-                    rows.append((kind, s, (some + s * (TABLE // SLICES)).astype("<i4").tobytes(), own[some].astype("<i8").tobytes()))
+                    rows.append((kind, s, (some + s * (TABLE // SLICES)).astype("<i4").tobytes(), own[some].astype("<f4").tobytes()))
         yield pa.record_batch({k: pa.array([r[i] for r in rows], t) for i, (k, t) in enumerate((("kind", pa.int32()), ("slice", pa.int32()), ("cells", pa.binary()), ("counts", pa.binary())))})
 
     def add(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
-        cells, counts = np.frombuffer(b"".join(parts["cells"]), "<i4"), np.frombuffer(b"".join(parts["counts"]), "<i8")
+        cells, counts = np.frombuffer(b"".join(parts["cells"]), "<i4"), np.frombuffer(b"".join(parts["counts"]), "<f4")
         base = int(key[1]) * (TABLE // SLICES)
         total = np.bincount(cells - base, weights=counts, minlength=TABLE // SLICES)
         some = np.flatnonzero(total)
-        return pd.DataFrame({"kind": [int(key[0])], "slice": [int(key[1])], "cells": [(some + base).astype("<i4").tobytes()], "counts": [total[some].astype("<i8").tobytes()]})
+        return pd.DataFrame({"kind": [int(key[0])], "slice": [int(key[1])], "cells": [(some + base).astype("<i4").tobytes()], "counts": [total[some].astype("<f4").tobytes()]})
 
     schema = "kind int, slice int, cells binary, counts binary"
     packed = labelled.select("text", (2 * F.col("fold") + F.col("toxic")).cast("int").alias("kind")).mapInArrow(run, schema)
@@ -134,7 +134,7 @@ def gram_shapes(labelled: DataFrame) -> DataFrame:
 class Model:
     """Log-likelihood ratios of two Kneser-Ney models: of seen grams, and by context of those in neither."""
 
-    def __init__(self, shapes: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray):
+    def __init__(self, shapes: list[np.ndarray], toxic: np.ndarray, ordinary: np.ndarray):
         cell, context, short, base = shapes
         continued = np.bincount(short, minlength=TABLE)[short]  # distinct longer grams that end in this one
         shared = (continued + 0.5) / (np.bincount(base, minlength=TABLE)[base] + 128.0)
@@ -185,9 +185,9 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50
 
 
 def _dense(rows: pd.DataFrame, kinds: set[int]) -> np.ndarray:
-    out = np.zeros(TABLE, np.int64)
+    out = np.zeros(TABLE)
     for cells, counts in rows.loc[rows["kind"].isin(kinds), ["cells", "counts"]].itertuples(index=False):
-        out[np.frombuffer(cells, "<i4")] += np.frombuffer(counts, "<i8")
+        out[np.frombuffer(cells, "<i4")] += np.frombuffer(counts, "<f4")
     return out
 
 
@@ -211,14 +211,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> DataFr
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     fold = (F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) / 2).cast("int")
     training = saved(texts(docs).filter(~held_out()).join(known.filter(~held_out()), "doc_id").withColumn("fold", fold))
-    rows, shapes = gram_counts(training).toPandas(), gram_shapes(training).toPandas()
-    shapes = shapes[["cell", "context", "short", "base"]].to_numpy().T.astype(np.int64)
+    shapes = gram_shapes(training).toPandas()
+    shapes = [shapes.pop(c).to_numpy() for c in ("cell", "context", "short", "base")]
+    rows = gram_counts(training).toPandas()
     both = Model(shapes, _dense(rows, {1, 3}), _dense(rows, {0, 2}))
     crossed = [Model(shapes, _dense(rows, {3}), _dense(rows, {2})), Model(shapes, _dense(rows, {1}), _dense(rows, {0}))]
+    kinds = set(rows["kind"])
+    del rows, shapes
     share = known.filter(~held_out()).agg(F.avg("toxic")).first()[0]
     prior = float(np.clip(0.5 if share is None else share, 1e-3, 1 - 1e-3))
     weights = np.array([0.0, 0.0, np.log(prior / (1 - prior))])
-    if {0, 1} <= {k % 2 for k in rows["kind"]}:
+    if {0, 1} <= {k % 2 for k in kinds}:
         seen = _evidence(training, crossed).join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toPandas()
         weights = logistic(seen[["whole", "worst"]].to_numpy(), seen["toxic"].to_numpy())
     z = F.lit(float(weights[0])) * F.col("whole") + F.lit(float(weights[1])) * F.col("worst") + F.lit(float(weights[2]))
