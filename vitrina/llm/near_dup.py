@@ -218,7 +218,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> D
     reps = sig.filter("copy is not null").groupBy("copy").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "samples"), "doc_id").alias("sig"))
     spread = reps.select("rep", F.col("sig.samples").alias("samples"), F.posexplode("sig.bands").alias("band", "hash")).select("rep", "samples", F.xxhash64("band", "hash").alias("bucket"))
     crowded = spread.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    members = Scratch(spread.join(crowded.select("bucket"), "bucket"))
+    # a leader is the document with the most company: the original of a group of copies rather than a copy
+    alike = spread.select("bucket", "rep").join(crowded, "bucket").groupBy("rep").agg((-F.sum("n")).alias("order"))
+    members = Scratch(spread.join(crowded.select("bucket"), "bucket").join(alike, "rep").select("bucket", "rep", "order", "samples"))
     wanted = members.df.select(F.col("rep").alias("doc_id")).distinct()
     vecs = Scratch(vectors(texts(docs).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), table, size))
     near = None  # node and component of the links so far
@@ -226,7 +228,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> D
     labelled = open_
     while not open_.df.isEmpty():
         salted = open_.df.groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(leads)).alias("salt"))
-        leaders = Scratch(salted.agg(F.min("rep").alias("leader"), F.min_by(F.struct("samples", "c"), "rep").alias("its")).select("bucket", "leader", F.col("its.samples").alias("its"), F.col("its.c").alias("lc")))
+        leaders = Scratch(salted.agg(F.min(F.struct("order", "rep", "c", "samples")).alias("its")).select("bucket", F.col("its.rep").alias("leader"), F.col("its.samples").alias("its"), F.col("its.c").alias("lc")))
         agreed = F.aggregate(F.zip_with("samples", "its", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
         led = labelled.df.join(leaders.df, "bucket").filter("c <> lc").filter(agreed >= AGREE)
         pairs = led.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
@@ -237,8 +239,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> D
         good = new.filter(F.col("sim") >= threshold).select("a", "b")
         near = saved(connected_components(good if near is None else good.unionByName(near.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b"))
         rest = _labelled(open_.df.drop("c"), near).join(_labelled(leaders.df.select("bucket", F.col("leader").alias("rep")), near).select("bucket", F.col("rep").alias("leader"), F.col("c").alias("lc")), "bucket")
-        rest = rest.groupBy("bucket", "rep").agg(F.max((F.col("rep") == F.col("leader")) | (F.col("c") == F.col("lc"))).alias("done"), F.first("samples").alias("samples"), F.first("c").alias("c"))
-        rest = Scratch(rest.filter("not done").select("bucket", "rep", "samples", "c"))
+        rest = rest.groupBy("bucket", "rep").agg(F.max((F.col("rep") == F.col("leader")) | (F.col("c") == F.col("lc"))).alias("done"), F.first("samples").alias("samples"), F.first("order").alias("order"), F.first("c").alias("c"))
+        rest = Scratch(rest.filter("not done").select("bucket", "rep", "order", "samples", "c"))
         relabelled = Scratch(_labelled(labelled.df.drop("c").join(rest.df.select("bucket").distinct(), "bucket", "left_semi"), near))
         open_.drop()
         if labelled is not open_:
