@@ -1,2 +1,131 @@
+"""Queries of the catalog operators over the driver's tables, each whole."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vitrina.functions import names
+from vitrina.operators import candidates, reports, selection
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _t(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    abbr = F.array(*map(F.lit, ("FILT", "AMOR TRAS IZ", "JGO", "ACEIT 10W30", "LLANTA 185/65R15", "GORRA", "BATERIA", "PTAL", "MOT")))
+    name = F.concat(F.get(abbr, (key % 9).cast("int")), F.lit("  "), F.upper("p_name"), F.lit(" "), "p_type", F.lit(" "), (F.col("p_size") % 5 + 1).cast("string"), F.lit("LX"), (F.col("p_size") % 12 + 1).cast("string"), F.lit("UND"))
+    return p.select(key.alias("ref"), F.col("p_brand").alias("marca"), name.alias("nombre"))
+
+
+def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _t(spark, sf_dir, "events")
+    i = F.col("event_id")
+    link = F.concat(F.when(i % 17 == 0, "ftp://x/").otherwise("http://x/"), (i % 23).cast("string"))
+    host = F.when(i % 11 == 0, "WWW.Shutterstock.com").otherwise("img.example.org")
+    return e.select(F.concat_ws("-", "user_id", F.to_date("ts").cast("string")).alias("ref"), i.alias("pos"), link.alias("link"), F.when(i % 5 == 0, "").otherwise(F.concat(F.lit("t"), (i % 13).cast("string"))).alias("thumbnail_link"), (300 + i % 700).cast("int").alias("width"), (350 + i * 7 % 1300).cast("int").alias("height"), host.alias("display_link"), (i % 100 / 100.0).alias("bg_score"))
+
+
+def normalize_names(spark, sf_dir):
+    return names.normalize(catalog(spark, sf_dir)).select("ref", "nombre_limpio", "pack", "litraje", "pack_ambiguo", "viscosidad", "medida_llanta", "vehiculo_code_raw", "termino_busqueda")
+
+
+def classify_first_match(spark, sf_dir):
+    return names.categorize(names.normalize(catalog(spark, sf_dir))).select("ref", "categoria", "cse_profile")
+
+
+def category_coverage(spark, sf_dir):
+    return names.coverage(names.categorize(names.normalize(catalog(spark, sf_dir))))
+
+
+def strip_accents_docs(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").filter(F.col("lang").isin("es", "fr")).select("doc_id", names.strip_accents("text").alias("plain"))
+
+
+def build_queries(spark, sf_dir):
+    rows = names.normalize(catalog(spark, sf_dir)).select("ref", "marca", "nombre_limpio", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("rung"))
+    return rows.select("ref", "rung", names.build_query(F.col("rung"), "ref", "marca", "nombre_limpio").alias("query"), names.safe_key("marca").alias("safe"))
+
+
+def hard_filter_reasons(spark, sf_dir):
+    return pool(spark, sf_dir).select("pos", candidates.drop_reason().alias("reason"))
+
+
+def upscale_urls(spark, sf_dir):
+    p = _t(spark, sf_dir, "pages").select("page_id", F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("https://http2.mlstatic.com/D_"), "page_id", F.lit("-O.jpg"))).otherwise(F.concat(F.lit("https://a.example/wp-content/uploads/i"), "page_id", F.lit("-300x200.png"))).alias("u"))
+    return p.select("page_id", F.coalesce(names.upscale_marketplace("u"), names.upscale_uploads("u")).alias("big"))
+
+
+def greedy_url_dedup(spark, sf_dir):
+    return candidates.dedupe_by_url(pool(spark, sf_dir)).select("ref", "pos")
+
+
+def greedy_hash_dedup(spark, sf_dir):
+    e = _t(spark, sf_dir, "embeddings")
+    bits = F.transform(F.slice("embedding", 1, 16), lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+    rows = e.select(F.floor(F.col("vec_id") / 100).alias("ref"), "label", F.col("vec_id").alias("pos"), F.aggregate(bits, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x)).alias("phash"))
+    return candidates.dedupe_by_hash(rows, order=F.struct("pos")).select("ref", "pos")
+
+
+def rank_topk(spark, sf_dir):
+    return candidates.rank_topk(pool(spark, sf_dir)).select("ref", "pos", "rank")
+
+
+def pool_merge_exclude(spark, sf_dir):
+    p = pool(spark, sf_dir).select("ref", "pos", "link")
+    merged = candidates.merge_pools(p.filter("pos % 2 = 0"), p.filter("pos % 2 = 1"))
+    return candidates.exclude(merged, p.filter("pos % 10 = 3")).groupBy("ref").agg(F.count("*").alias("n"), F.sum("pos").alias("places"))
+
+
+def budget_cap(spark, sf_dir):
+    o, items = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem").select("l_orderkey").distinct()
+    rows = o.join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(F.col("o_orderkey").alias("row_id"), F.col("l_orderkey").isNull().alias("miss"))
+    return selection.budget_cap(rows, 100).select("row_id", "miss")
+
+
+def cost_by_day(spark, sf_dir):
+    return reports.search_cost(_t(spark, sf_dir, "events"))
+
+
+def cost_by_model(spark, sf_dir):
+    k = F.get_json_object("props", "$.k").cast("long")
+    calls = _t(spark, sf_dir, "events").select(F.col("event_type").alias("model"), k.alias("prompt_tokens"), (k * 2).alias("output_tokens"), F.lit(1).cast("long").alias("thoughts_tokens"))
+    return reports.model_cost(calls, spark.createDataFrame([("click", 300.0, 2500.0), ("view", 1250.0, 10000.0)], "model string, usd_in double, usd_out double")).withColumn("cost_usd", F.round("cost_usd", 2))
+
+
+def retry_report(spark, sf_dir):
+    k = F.get_json_object("props", "$.k").cast("int")
+    return reports.retries(_t(spark, sf_dir, "events").select(F.col("event_type").alias("kind"), F.when(k % 7 > 0, F.concat(F.lit("e"), (k % 7).cast("string"))).alias("error")))
+
+
+def _funnel(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("ref"), "o_orderstatus", "o_totalprice")
+    return reports.funnel(_t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ref")), o, o.filter("o_orderstatus = 'F'"), o.filter("o_orderstatus = 'F' and o_totalprice > 200000"))
+
+
+def funnel(spark, sf_dir):
+    return _funnel(spark, sf_dir)
+
+
+def funnel_summary(spark, sf_dir):
+    return reports.funnel_summary(_funnel(spark, sf_dir))
+
+
+def parse_candidates(spark, sf_dir):
+    item = F.struct(F.col("url").alias("link"), F.struct((F.col("page_id") % 900).cast("int").alias("width")).alias("image"))
+    raw = _t(spark, sf_dir, "pages").select("page_id", F.to_json(F.struct(F.array(item, item).alias("items"))).alias("response"))
+    return candidates.parse_candidates(raw).select("page_id", "pos", "link", "title", "width", "height")
+
+
+def resolve_selection(spark, sf_dir):
+    turns = _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.length("text").alias("n")))).alias("t"))
+    ranking = F.transform("t", lambda x: (x["n"] % 9).cast("int"))
+    return turns.select("conv_id", selection.resolve_pick((F.col("conv_id") % 7).cast("int"), F.size("t"), ranking).alias("pick"))
+
+
 def queries():
-    return {}
+    found = (normalize_names, classify_first_match, category_coverage, strip_accents_docs, build_queries, hard_filter_reasons, upscale_urls, greedy_url_dedup, greedy_hash_dedup, rank_topk, pool_merge_exclude, budget_cap, cost_by_day, cost_by_model, retry_report, funnel, funnel_summary, parse_candidates, resolve_selection)
+    return {f.__name__: f for f in found}

@@ -1,2 +1,65 @@
-def oracle_sql():
-    return {}
+"""The catalog queries in DuckDB's SQL."""
+
+from __future__ import annotations
+
+from vitrina.functions import rules
+
+_ABBR = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in rules.ABBREVIATIONS.items()) + "}"
+_CATEGORY = "CASE " + " ".join(f"WHEN regexp_matches(nombre_limpio, '(^|[^A-Za-z])(?:{'|'.join(k)})') THEN '{c}'" for c, k in rules.CATEGORIES) + f" ELSE '{rules.OTHER}' END"
+_NAMES = rf"""
+WITH raw AS (SELECT p_partkey AS ref, p_brand AS marca, (['FILT', 'AMOR TRAS IZ', 'JGO', 'ACEIT 10W30', 'LLANTA 185/65R15', 'GORRA', 'BATERIA', 'PTAL', 'MOT'])[p_partkey % 9 + 1]
+    || '  ' || upper(p_name) || ' ' || p_type || ' ' || (p_size % 5 + 1) || 'LX' || (p_size % 12 + 1) || 'UND' AS nombre FROM part),
+clean AS (SELECT ref, marca, regexp_replace(regexp_replace(regexp_replace(regexp_replace(upper(trim(nombre)), '\s+', ' ', 'g'), '\bDELANTEROANTERO\b', 'DELANTERO', 'g'), '\bUNID\b', 'UND', 'g'), '\bJGO\b', 'JUEGO', 'g') AS c FROM raw),
+full_ AS (SELECT ref, marca, array_to_string(list_transform(string_split(c, ' '), lambda t: coalesce({_ABBR}[t], t)), ' ') AS f FROM clean),
+sized AS (SELECT *, trim(regexp_extract(f, '(?i)\b\d+L?\s?X\s?\d+\s?(?:UN[DI]{{0,2}})?\b', 0)) AS pack, regexp_extract(f, '(?i)\b(\d+(?:[.,]\d+)?)\s?L(?:X|\b)', 1) AS v FROM full_),
+norm AS (SELECT ref, marca, pack, CASE WHEN v <> '' THEN upper(v) || 'L' ELSE '' END AS litraje,
+  CASE WHEN v <> '' THEN trim(regexp_replace(f, '(?i)\b(\d+(?:[.,]\d+)?\s?L)\s?X\s?\d+\s?(?:UN[DI]{{0,2}})?\b', '\1')) ELSE f END AS nombre_limpio FROM sized)
+"""
+_POOL = """
+WITH pool AS (SELECT user_id || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS ref, event_id AS pos, CASE WHEN event_id % 17 = 0 THEN 'ftp://x/' ELSE 'http://x/' END || (event_id % 23) AS link,
+  CASE WHEN event_id % 5 = 0 THEN '' ELSE 't' || (event_id % 13) END AS thumb, CAST(300 + event_id % 700 AS INTEGER) AS width, CAST(350 + event_id * 7 % 1300 AS INTEGER) AS height,
+  CASE WHEN event_id % 11 = 0 THEN 'WWW.Shutterstock.com' ELSE 'img.example.org' END AS host, event_id % 100 / 100.0 AS bg_score FROM events)
+"""
+_FUNNEL = """
+WITH o AS (SELECT o_custkey AS ref, count(*) AS n_cse, count(*) FILTER (o_orderstatus = 'F') AS n_kept, count(*) FILTER (o_orderstatus = 'F' AND o_totalprice > 200000) AS n_sel FROM orders GROUP BY 1),
+f AS (SELECT c_custkey AS ref, coalesce(n_cse, 0) AS n_cse, coalesce(n_kept, 0) AS n_kept, coalesce(n_sel, 0) > 0 AS seleccionada FROM customer LEFT JOIN o ON c_custkey = o.ref)
+"""
+
+
+def oracle_sql() -> dict[str, str]:
+    return {
+        "normalize_names": _NAMES + r"""SELECT ref, nombre_limpio, pack, litraje, pack <> '' AND litraje = '' AS pack_ambiguo, upper(regexp_extract(nombre_limpio, '(?i)\b\d{1,2}W-?\d{2}\b', 0)) AS viscosidad,
+  upper(regexp_extract(nombre_limpio, '(?i)\b\d{3}/\d{2}R\d{2}\b', 0)) AS medida_llanta, regexp_extract(nombre_limpio, '\b([A-Z]{1,4}\d{0,2}(?:-[A-Z]{1,4}\d{0,2})*)\s*$', 1) AS vehiculo_code_raw,
+  CASE WHEN NOT contains(nombre_limpio, upper(trim(marca))) THEN nombre_limpio || ' ' || upper(trim(marca)) ELSE nombre_limpio END AS termino_busqueda FROM norm""",
+        "classify_first_match": _NAMES + f"SELECT ref, {_CATEGORY} AS categoria, CASE WHEN {_CATEGORY} IN ('merchandising', 'emblemas') THEN 'exact_brand' ELSE 'baseline' END AS cse_profile FROM norm",
+        "category_coverage": _NAMES + f"SELECT {_CATEGORY} AS categoria, count(*) AS n FROM norm GROUP BY 1",
+        "strip_accents_docs": "SELECT doc_id, strip_accents(text) AS plain FROM documents WHERE lang IN ('es', 'fr')",
+        "build_queries": _NAMES + r"""SELECT ref, rung, CASE rung WHEN 1 THEN '"' || ref || '" "' || marca || '"' WHEN 2 THEN ref || ' ' || marca ELSE nombre_limpio END AS query,
+  coalesce(nullif(regexp_replace(trim(marca), '[^A-Za-z0-9._-]+', '_', 'g'), ''), 'unknown') AS safe FROM norm, (SELECT unnest([1, 2, 3]) AS rung)""",
+        "hard_filter_reasons": _POOL + """SELECT pos, CASE WHEN NOT (starts_with(link, 'http://') OR starts_with(link, 'https://')) THEN 'url_invalido' WHEN least(width, height) < 400 THEN 'resolucion_baja'
+  WHEN greatest(width, height)::DOUBLE / greatest(least(width, height), 1) > 3 THEN 'aspect_ratio_extremo' WHEN contains(lower(host), 'shutterstock.com') THEN 'dominio_bloqueado' END AS reason FROM pool""",
+        "upscale_urls": "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'https://http2.mlstatic.com/D_' || page_id || '-F.jpg' ELSE 'https://a.example/wp-content/uploads/i' || page_id || '.png' END AS big FROM pages",
+        "greedy_url_dedup": _POOL + """, g AS (SELECT ref, list({'pos': pos, 'link': link, 'thumb': thumb} ORDER BY pos) AS rows FROM pool GROUP BY ref),
+  k AS (SELECT ref, list_reduce(rows, lambda acc, x: CASE WHEN len(list_filter(acc, lambda k: k.link = x.link OR (x.thumb <> '' AND k.thumb = x.thumb))) > 0 THEN acc ELSE list_append(acc, x) END, []::STRUCT(pos BIGINT, link VARCHAR, thumb VARCHAR)[]) AS kept FROM g)
+  SELECT ref, unnest(list_transform(kept, lambda x: x.pos)) AS pos FROM k""",
+        "greedy_hash_dedup": """WITH h AS (SELECT CAST(floor(vec_id / 100) AS BIGINT) AS ref, vec_id AS pos, array_to_string(list_transform(embedding[1:16], lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS h FROM embeddings),
+  g AS (SELECT ref, list({'pos': pos, 'h': h} ORDER BY pos) AS rows FROM h GROUP BY ref),
+  k AS (SELECT ref, list_reduce(rows, lambda acc, x: CASE WHEN len(list_filter(acc, lambda k: hamming(k.h, x.h) <= 4)) > 0 THEN acc ELSE list_append(acc, x) END, []::STRUCT(pos BIGINT, h VARCHAR)[]) AS kept FROM g)
+  SELECT ref, unnest(list_transform(kept, lambda x: x.pos)) AS pos FROM k""",
+        "rank_topk": _POOL + "SELECT ref, pos, CAST(row_number() OVER (PARTITION BY ref ORDER BY bg_score DESC, width * height DESC, pos) AS INTEGER) AS rank FROM pool QUALIFY rank <= 6",
+        "pool_merge_exclude": _POOL + """, base AS (SELECT ref, pos, link FROM pool WHERE pos % 2 = 0), extra AS (SELECT * FROM (SELECT ref, pos, link FROM pool WHERE pos % 2 = 1) e WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.ref = e.ref AND b.link = e.link)),
+  merged AS (SELECT * FROM base UNION ALL SELECT ref, pos + coalesce((SELECT max(b.pos) + 1 FROM base b WHERE b.ref = extra.ref), 0), link FROM extra)
+  SELECT ref, count(*) AS n, CAST(sum(pos) AS BIGINT) AS places FROM merged m WHERE NOT EXISTS (SELECT 1 FROM pool p WHERE p.pos % 10 = 3 AND p.ref = m.ref AND p.link = m.link) GROUP BY ref""",
+        "budget_cap": """WITH r AS (SELECT o_orderkey AS row_id, NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) AS miss FROM orders)
+  SELECT row_id, miss FROM r QUALIFY NOT miss OR sum(miss::INT) OVER (ORDER BY row_id) <= 100""",
+        "cost_by_day": "WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1) SELECT CAST(sum(n) AS BIGINT) AS calls, CAST(sum(greatest(n - 100, 0)) AS BIGINT) AS billable, round_even(sum(greatest(n - 100, 0)) / 1000.0 * 5, 4) AS cost_usd FROM d",
+        "cost_by_model": """WITH u AS (SELECT event_type AS model, count(*) AS calls, CAST(sum(k) AS BIGINT) AS tokens_in, CAST(sum(2 * k + 1) AS BIGINT) AS tokens_out FROM (SELECT event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) GROUP BY 1)
+  SELECT model, calls, tokens_in, tokens_out, round(round_even((tokens_in * i + tokens_out * o) / 1e6, 4), 2) AS cost_usd FROM u LEFT JOIN (VALUES ('click', 300.0::DOUBLE, 2500.0::DOUBLE), ('view', 1250.0, 10000.0)) p(m, i, o) ON model = m""",
+        "retry_report": "WITH e AS (SELECT event_type AS kind, CAST(json_extract_string(props, '$.k') AS INTEGER) % 7 AS k FROM events) SELECT kind, 'e' || k AS error, count(*) AS n FROM e WHERE k > 0 GROUP BY ALL",
+        "funnel": _FUNNEL + "SELECT * FROM f",
+        "funnel_summary": _FUNNEL + """SELECT count(*) AS total, CAST(sum(seleccionada::INT) AS BIGINT) AS selected, round_even(sum(seleccionada::INT)::DOUBLE / count(*), 3) AS rate, count(*) FILTER (n_cse = 0) AS lost_search,
+  count(*) FILTER (n_cse > 0 AND n_kept = 0) AS lost_filter, count(*) FILTER (n_kept > 0 AND NOT seleccionada) AS lost_model FROM f""",
+        "parse_candidates": "SELECT page_id, CAST(pos AS INTEGER) AS pos, url AS link, '' AS title, CAST(page_id % 900 AS INTEGER) AS width, CAST(NULL AS INTEGER) AS height FROM pages, (SELECT unnest([0, 1]) AS pos)",
+        "resolve_selection": """WITH t AS (SELECT conv_id, list(CAST(length(text) % 9 AS INTEGER) ORDER BY turn, length(text)) AS r FROM conversations GROUP BY conv_id)
+  SELECT conv_id, CAST(CASE WHEN conv_id % 7 BETWEEN 1 AND len(r) THEN conv_id % 7 ELSE list_filter(r, lambda x: x BETWEEN 1 AND len(r))[1] END AS INTEGER) AS pick FROM t""",
+    }
