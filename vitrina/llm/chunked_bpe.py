@@ -75,6 +75,10 @@ class Codec:
         self.held += size
         return [self.store[p] for p in pieces]
 
+    def forget(self) -> None:
+        """Frees the stored chunks, so that a worker that goes on to other stages does not hold them."""
+        self.store, self.held = {}, 0
+
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
@@ -139,6 +143,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             flat = np.concatenate(ids).astype(np.int32) if ids else np.empty(0, np.int32)
             exact = [held.decode(x) == t for x, t in zip(ids, batch.column("text").to_pylist(), strict=True)]
             yield pa.record_batch({"doc_id": batch.column("doc_id").cast(pa.int64()), "n_tokens": pa.array([len(x) for x in ids], pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), "exact": pa.array(exact, pa.bool_())})
+        held.forget()
 
     return texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, exact boolean")
 

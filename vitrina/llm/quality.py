@@ -83,7 +83,7 @@ def text_shapes(docs: DataFrame, *keep: str) -> DataFrame:
     names = [f.name for f in rows.schema if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in A.slices(batches):
+        for batch in A.slices(batches, limit=1 << 20):
             x = shape(batch.column("text"))
             ends = pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.ListArray.from_arrays(ends, pa.array(x.ravel()))], names=[*names, "x"])
