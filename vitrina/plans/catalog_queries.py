@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrina.functions import names
-from vitrina.operators import candidates, reports, selection
+from vitrina.functions import images
+from vitrina.operators import candidates, ladder, prototype, reports, selection
+from vitrina.sources import cache
+from vitrina.streaming import ledger
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,6 +129,71 @@ def resolve_selection(spark, sf_dir):
     return turns.select("conv_id", selection.resolve_pick((F.col("conv_id") % 7).cast("int"), F.size("t"), ranking).alias("pick"))
 
 
+def prototype_queries(spark, sf_dir):
+    return catalog(spark, sf_dir).select("ref", prototype.presentation("nombre").alias("presentation"), prototype.without_box("nombre").alias("clean"), prototype.fallback_query("ref", "marca", "nombre").alias("fallback"))
+
+
+def prototype_pool(spark, sf_dir):
+    i = F.col("event_id")
+    found = _t(spark, sf_dir, "events").select((F.col("user_id") % 50).alias("ref"), (i % 4).cast("int").alias("tier"), i.alias("pos"), F.when(i % 29 == 0, "").otherwise(F.concat(F.lit("u"), (i * i % (10 + F.col("user_id") % 50)).cast("string"))).alias("url"))
+    return prototype.tiered_pool(found).select("ref", "url", "tier", "rank")
+
+
+def prototype_reasons(spark, sf_dir):
+    i = F.col("page_id")
+    brand = F.get(F.array(*map(F.lit, ("Renault", "Castrol", "der"))), (i % 3).cast("int"))
+    rows = _t(spark, sf_dir, "pages").select("page_id", brand.alias("brand"), (250 + i * 37 % 900).cast("int").alias("width"), (280 + i * 53 % 700).cast("int").alias("height"), F.when(i % 13 == 0, "www.alamy.com").otherwise("a.example").alias("domain"), F.lit("Total RENAULT").alias("title"), F.when(i % 5 == 0, "mobil castrol").alias("snippet"), F.lower("url").alias("context"))
+    return rows.select("page_id", prototype.metadata_reason().alias("reason"))
+
+
+def prototype_winners(spark, sf_dir):
+    n = F.length("text")
+    rows = _t(spark, sf_dir, "conversations").groupBy("conv_id", "turn").agg(F.max(n).alias("n"))
+    yes = lambda k: F.col("n") % k != 0
+    judged = rows.select(F.col("conv_id").alias("ref"), F.col("turn").alias("place"), F.concat(F.lit("u"), "turn").alias("url"), yes(3).alias("alive"), yes(5).alias("correct_brand"), F.lit(True).alias("correct_quantity"), yes(7).alias("not_packaging_only"), yes(2).alias("white_or_mono_bg"), yes(4).alias("new_condition"), (F.col("n") % 100).alias("score"))
+    return prototype.winners(judged)
+
+
+def image_scores(spark, sf_dir):
+    """Grey images of 8 by 8 pixels: the 64 signs of an embedding, black or white."""
+    data = F.unhex(F.array_join(F.transform("embedding", lambda x: F.when(x > 0, "ff").otherwise("00")), ""))
+    image = F.struct(F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("nChannels"), data.alias("data"))
+    scored = _t(spark, sf_dir, "embeddings").select("vec_id", images.image_scores(image).alias("s"))
+    return scored.select("vec_id", "s.bg_score", "s.bg_white")
+
+
+def daily_calls_stream(spark, sf_dir):
+    """The events as a stream, counted by day and kind."""
+    schema = _t(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("kind"))
+    return ledger.run_available(ledger.daily_calls(stream))
+
+
+def read_through_cap(spark, sf_dir):
+    """Calls of a service that fails on every seventh order, in order, until 100 succeeded."""
+    rows = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row_id"), "o_custkey")
+    fails = F.col("row_id") % 7 == 0
+    call = lambda t: t.withColumn("ok", ~fails).withColumn("value", F.when(~fails, F.concat(F.lit("v"), "row_id"))).withColumn("error", F.when(fails, "gone"))
+    return cache.read_through(rows, ["row_id"], cache.scratch_path(spark), call, 100).select("row_id", "ok", "value", "error")
+
+
+def fallback_ladder(spark, sf_dir):
+    """The ladder with stand-ins: rung r finds r candidates of a part, and a verdict follows from its key."""
+    rows = names.normalize(catalog(spark, sf_dir)).withColumn("row_id", F.col("ref"))
+    def found(rung, ref):
+        return F.transform(F.sequence(F.lit(1), rung), lambda j: F.struct(j.cast("long").alias("pos"), F.concat(F.lit("http://x/"), ref % 5 + j).alias("link")))
+    def candidates_of(t, rung):
+        each = t.select("ref", F.explode(found(rung, F.col("ref"))).alias("c")).select("ref", "c.pos", "c.link")
+        return each.select("*", F.concat("link", F.lit("#"), "ref").alias("thumbnail_link"), F.lit(600).alias("width"), (500 + F.col("ref") % 2 * 1500).cast("int").alias("height"), F.lit("img.example.org").alias("display_link"), F.lit(0.5).alias("bg_score"), F.lit(None).cast("long").alias("phash"))
+    def judge(kept):
+        g = kept.groupBy("ref").agg(F.count("*").alias("n"), F.min("link").alias("worst"))
+        return g.select("ref", F.when(F.col("n") + F.col("ref") % 3 >= 4, F.array().cast("array<string>")).otherwise(F.array(F.lit("sin_imagen"))).alias("flags"), F.array("worst").alias("condemned"))
+    start = candidates_of(rows.filter("ref % 2 = 0"), F.lit(1))
+    none = spark.createDataFrame([], "ref long, flags array<string>, condemned array<string>, passes int, rung int, query string")
+    _, _, log = ladder.escalate(rows, start, none, lambda t: candidates_of(t, F.col("rung")), judge)
+    return log
+
+
 def queries():
-    found = (normalize_names, classify_first_match, category_coverage, strip_accents_docs, build_queries, hard_filter_reasons, upscale_urls, greedy_url_dedup, greedy_hash_dedup, rank_topk, pool_merge_exclude, budget_cap, cost_by_day, cost_by_model, retry_report, funnel, funnel_summary, parse_candidates, resolve_selection)
+    found = (prototype_queries, prototype_pool, prototype_reasons, prototype_winners, image_scores, daily_calls_stream, read_through_cap, fallback_ladder, normalize_names, classify_first_match, category_coverage, strip_accents_docs, build_queries, hard_filter_reasons, upscale_urls, greedy_url_dedup, greedy_hash_dedup, rank_topk, pool_merge_exclude, budget_cap, cost_by_day, cost_by_model, retry_report, funnel, funnel_summary, parse_candidates, resolve_selection)
     return {f.__name__: f for f in found}

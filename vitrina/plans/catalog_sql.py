@@ -28,6 +28,27 @@ f AS (SELECT c_custkey AS ref, coalesce(n_cse, 0) AS n_cse, coalesce(n_kept, 0)
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "prototype_queries": _NAMES + r"""SELECT ref, regexp_extract(nombre, '(?i)(\d+(?:[.,]\d+)?)\s*(L|LT|LTS|ML|GAL)\b', 1) || upper(regexp_extract(nombre, '(?i)(\d+(?:[.,]\d+)?)\s*(L|LT|LTS|ML|GAL)\b', 2)) AS presentation,
+  trim(regexp_replace(regexp_replace(nombre, '(?i)X\s*\d+\s*UN[DI]*', '', 'g'), '\s+', ' ', 'g')) AS clean, '"' || marca || '" ' || nombre || ' product with reference "' || ref || '" white background' AS fallback FROM raw""",
+        "prototype_pool": """WITH f AS (SELECT user_id % 50 AS ref, CAST(event_id % 4 AS INTEGER) AS tier, event_id AS pos, CASE WHEN event_id % 29 = 0 THEN '' ELSE 'u' || (event_id * event_id % (10 + user_id % 50)) END AS url FROM events),
+  d AS (SELECT * FROM f WHERE url <> '' QUALIFY row_number() OVER (PARTITION BY ref, url ORDER BY tier, pos) = 1),
+  n AS (SELECT ref, count(*) FILTER (tier <= 1) AS a, count(*) FILTER (tier <= 2) AS b FROM d GROUP BY ref)
+  SELECT ref, url, tier, CAST(row_number() OVER (PARTITION BY ref ORDER BY tier, pos) AS INTEGER) AS rank FROM d JOIN n USING (ref) WHERE tier <= 1 OR (tier = 2 AND a < 10) OR (tier = 3 AND b < 10) QUALIFY rank <= 20""",
+        "prototype_reasons": f"""WITH r AS (SELECT page_id, (['renault', 'castrol', 'der'])[page_id % 3 + 1] AS brand, 250 + page_id * 37 % 900 AS w, 280 + page_id * 53 % 700 AS h, CASE WHEN page_id % 13 = 0 THEN 'www.alamy.com' ELSE 'a.example' END AS domain,
+  'total renault ' || CASE WHEN page_id % 5 = 0 THEN 'mobil castrol ' ELSE ' ' END || lower(coalesce(url, '')) AS t FROM pages),
+  x AS (SELECT *, list_filter({list(rules.PROTOTYPE_RIVALS)}, lambda b: b <> brand AND contains(t, b)) AS rivals FROM r)
+  SELECT page_id, CASE WHEN least(w, h) < 300 THEN 'low_res ' || w || 'x' || h WHEN NOT w::DOUBLE / h BETWEEN 0.6 AND 1.7 THEN 'bad_aspect_ratio' WHEN contains(domain, 'alamy.com') THEN 'bad_domain ' || domain
+  WHEN NOT contains(t, brand) THEN 'brand_not_in_text' WHEN len(rivals) >= 2 THEN 'multi_rival_brand ' || array_to_string(rivals, ', ') END AS reason FROM x""",
+        "prototype_winners": """WITH t AS (SELECT conv_id AS ref, turn, max(length(text)) AS n FROM conversations GROUP BY ALL),
+  q AS (SELECT ref, turn, n, row_number() OVER (PARTITION BY ref ORDER BY n % 2 = 0, n % 4 = 0, -(n % 100), turn) AS k FROM t WHERE n % 5 <> 0 AND n % 7 <> 0)
+  SELECT ref, any_value(w) AS winner, any_value(a) AS alternatives FROM (SELECT DISTINCT ref FROM t) LEFT JOIN (SELECT ref, 'u' || arg_min(turn, k) FILTER (n % 3 <> 0) AS w, coalesce(string_agg('u' || turn, ';' ORDER BY k) FILTER (k IN (2, 3)), '') AS a FROM q GROUP BY ref) USING (ref) GROUP BY ref""".replace("any_value(a) AS", "coalesce(any_value(a), '') AS"),
+        "image_scores": """WITH p AS (SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1.0::DOUBLE ELSE 0.0 END) AS e FROM embeddings),
+  m AS (SELECT vec_id, list_avg(list_transform([1, 5, 8, 33, 40, 57, 61, 64], lambda i: e[i])) AS w,
+    list_avg(list_concat(e[1:24], e[41:64], list_filter(e, lambda x, i: (i - 1) % 8 < 3), list_filter(e, lambda x, i: (i - 1) % 8 > 4))) AS b FROM p)
+  SELECT vec_id, round_even(0.7 * w + 0.3 * (1 - least(sqrt(w * (1 - w)) * 255 / 128, 1)), 3) AS bg_score, round_even(b, 2) AS bg_white FROM m""",
+        "daily_calls_stream": "SELECT CAST(ts AS DATE) AS day, event_type AS kind, count(*) AS n FROM events GROUP BY ALL",
+        "read_through_cap": """WITH r AS (SELECT o_orderkey AS row_id, o_orderkey % 7 <> 0 AS ok FROM orders)
+  SELECT row_id, ok, CASE WHEN ok THEN 'v' || row_id END AS value, CASE WHEN NOT ok THEN 'gone' END AS error FROM r QUALIFY coalesce(sum(ok::INT) OVER (ORDER BY row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 100""",
         "normalize_names": _NAMES + r"""SELECT ref, nombre_limpio, pack, litraje, pack <> '' AND litraje = '' AS pack_ambiguo, upper(regexp_extract(nombre_limpio, '(?i)\b\d{1,2}W-?\d{2}\b', 0)) AS viscosidad,
   upper(regexp_extract(nombre_limpio, '(?i)\b\d{3}/\d{2}R\d{2}\b', 0)) AS medida_llanta, regexp_extract(nombre_limpio, '\b([A-Z]{1,4}\d{0,2}(?:-[A-Z]{1,4}\d{0,2})*)\s*$', 1) AS vehiculo_code_raw,
   CASE WHEN NOT contains(nombre_limpio, upper(trim(marca))) THEN nombre_limpio || ' ' || upper(trim(marca)) ELSE nombre_limpio END AS termino_busqueda FROM norm""",
