@@ -211,8 +211,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> DataFr
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     fold = (F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) / 2).cast("int")
     training = saved(texts(docs).filter(~held_out()).join(known.filter(~held_out()).hint("merge"), "doc_id").withColumn("fold", fold))
-    shapes = gram_shapes(training).toPandas()
-    shapes = [shapes.pop(c).to_numpy() for c in ("cell", "context", "short", "base")]
+    shapes = gram_shapes(training).toArrow()
+    shapes = [shapes.column(c).to_numpy() for c in ("cell", "context", "short", "base")]
     rows = gram_counts(training).toPandas()
     both = Model(shapes, _dense(rows, {1, 3}), _dense(rows, {0, 2}))
     crossed = [Model(shapes, _dense(rows, {3}), _dense(rows, {2})), Model(shapes, _dense(rows, {1}), _dense(rows, {0}))]
