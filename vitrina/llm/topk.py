@@ -8,7 +8,9 @@ no more than that.
 
 Scale: equal codes are one row of the index with their least k + 1 ids, which is all that can be among the
 k nearest by (distance, id), so copies in any number cost nothing; of a query's candidates at most k + 1
-codes are kept from step to step for the same reason. Queries and index meet in joins by segment value.
+codes are kept from step to step for the same reason. Queries and index meet in merge joins by segment
+value: probes grow with the radius, which Spark's estimate of their size does not see, so that it would
+broadcast them.
 
 Edge cases: a null vector or one of another length has no code, is nobody's neighbour and finds none; ties
 go to the lesser id; a query is not its own neighbour, but its copies are; fewer than k vectors give fewer
@@ -56,7 +58,7 @@ def nearest_codes(vectors: DataFrame, queries: DataFrame, k: int = 10, bits: int
         masks = F.array(*[F.lit(sum(1 << b for b in bs)).cast("long") for bs in combinations(range(width), radius)])
         probes = open_.df.select("q", F.posexplode(_segment_values(F.col("q"), bits, segments)).alias("segment", "value")).select("q", "segment", "value", F.explode(masks).alias("mask"))
         probes = probes.select("q", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
-        new = probes.join(index.df, ["segment", "value"]).select("q", "code", "n", "least", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("distance"))
+        new = probes.hint("merge").join(index.df, ["segment", "value"]).select("q", "code", "n", "least", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("distance"))
         every = (new if found is None else new.unionByName(found.df.join(open_.df, "q", "left_semi"))).distinct()
         step = Scratch(every.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= most).drop("rank"))
         reach = step.df.withColumn("sofar", F.sum("n").over(best)).filter(F.col("sofar") >= most).groupBy("q").agg(F.min("distance").alias("kth"))
