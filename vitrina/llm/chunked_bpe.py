@@ -78,6 +78,7 @@ class Codec:
     def forget(self) -> None:
         """Frees the stored chunks, so that a worker that goes on to other stages does not hold them."""
         self.store, self.held = {}, 0
+        A.give_back()
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
