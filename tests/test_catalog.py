@@ -2,7 +2,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from vitrina.functions import names
+from vitrina.functions import names, prompts
 from vitrina.operators import candidates, selection
 from vitrina.plans import catalog_queries, catalog_sql
 
@@ -55,3 +55,10 @@ def test_drop_reason(spark, w, h, domain, link, reason):
 def test_resolve_pick(spark, pick, n, ranking, want):
     row = spark.createDataFrame([(pick, n, ranking)], "p int, n int, r array<int>").select(selection.resolve_pick(F.col("p"), F.col("n"), F.col("r")).alias("x")).first()
     assert row.x == want
+
+
+def test_prompt_fill(spark):
+    rows = spark.createDataFrame([("{b}", 3), (None, None)], "a string, b int")
+    assert [r.p for r in rows.select(prompts.fill("x {a}: {b}.", a="a", b="b").alias("p")).collect()] == ["x {b}: 3.", "x : ."]
+    with pytest.raises(ValueError, match="no value for c"):
+        prompts.fill("{c}", a="a")
