@@ -80,6 +80,13 @@ def test_top_k(spark):
         assert sorted(found[q]) == sorted(((c ^ (x % 2**64)).bit_count(), i) for i, x in codes if i != q)[:5]
 
 
+def test_top_k_of_repeated_rows(spark):
+    codes = [(100, 7)] * 30 + [(i, 7) for i in range(101, 104)] + [(i, 8) for i in range(110, 122) for _ in range(3)] + [(i, 9) for i in range(130, 135)]
+    df = spark.createDataFrame(codes, "id long, code long")
+    found = [(r.distance, r.neighbour_id) for r in topk.nearest_codes(df, df.filter("id = 100"), 10).orderBy("rank").collect()]
+    assert found == sorted(((7 ^ c).bit_count(), i) for i, c in set(codes) if i != 100)[:10]
+
+
 def test_toxicity(spark, docs, labels):
     rows = toxicity.toxicity(docs, labels).collect()
     assert len(rows) == docs.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)

@@ -47,8 +47,8 @@ def nearest_codes(vectors: DataFrame, queries: DataFrame, k: int = 10, bits: int
     """
     width, most = bits // segments, k + 1
     first = Window.partitionBy("code").orderBy("id")
-    least = vectors.select("id", "code").filter("id is not null and code is not null").withColumn("n", F.row_number().over(first)).filter(F.col("n") <= 2 * most).groupBy("code", "id").agg(F.min("n").alias("n"))
-    codes = Scratch(least.groupBy("code").agg(F.slice(F.array_sort(F.collect_list("id")), 1, most).alias("ids")))
+    least = vectors.select("id", "code").filter("id is not null and code is not null").distinct().withColumn("n", F.row_number().over(first)).filter(F.col("n") <= most)
+    codes = Scratch(least.groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids")))
     index = Scratch(codes.df.select("code", F.size("ids").alias("n"), F.col("ids")[0].alias("least"), F.posexplode(_segment_values(F.col("code"), bits, segments)).alias("segment", "value")))
     asked = queries.select("id", "code").filter("id is not null and code is not null").distinct()
     open_ = Scratch(asked.select(F.col("code").alias("q")).distinct())
