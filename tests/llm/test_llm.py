@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -93,6 +94,36 @@ def test_toxicity(spark, docs, labels):
     assert len(toxicity.toxicity(table(spark, ODD), labels.limit(0)).collect()) == len(ODD)
 
 
+def test_toxicity_counts_every_gram_by_itself(spark, docs, labels):
+    toxic, grams = {r.doc_id: int(r.toxic > 0) for r in labels.collect()}, lambda w: [(b"\0" * 7 + b" %b " % w)[i : i + 8] for i in range(len(w) + 2)]
+    texts = {r.doc_id: re.findall(rb"[0-9a-z\x80-\xff]+", (r.text or "").lower().encode()) for r in docs.collect()}
+    own, total, kinds, every = [Counter(), Counter()], [Counter(), Counter()], [Counter(), Counter()], set()
+    for i, words in texts.items():
+        if i in toxic and zlib.crc32(str(i).encode()) % 3 != 1:
+            own[toxic[i]].update(g for w in words for g in grams(w))
+    for c in (0, 1):
+        every |= set(own[c])
+        for g, n in own[c].items():
+            total[c][g[:7]] += n
+            kinds[c][g[:7]] += 1
+    short, base = Counter(g[3:] for g in every), Counter(g[3:7] for g in every)
+
+    def ratio(g):
+        left = [0.75 * kinds[c][g[:7]] / total[c][g[:7]] if total[c][g[:7]] else 1.0 for c in (0, 1)]
+        if g not in every:
+            return np.log(left[1] / left[0])
+        shared = (short[g[3:]] + 0.5) / (base[g[3:7]] + 128)
+        p = [max(own[c][g] - 0.75, 0) / max(total[c][g[:7]], 1) + left[c] * shared for c in (0, 1)]
+        return np.log(p[1] / p[0])
+
+    word = {w: sum(map(ratio, grams(w))) for w in {w for words in texts.values() for w in words}}
+    for r in toxicity.toxicity(docs, labels).collect():
+        words = texts[r.doc_id]
+        best = sorted((word[w] / np.sqrt(len(w) + 2) for w in words), reverse=True)[:2]
+        assert abs(r.whole - (sum(word[w] for w in words) / sum(len(w) + 2 for w in words) if words else 0)) < 1e-4
+        assert abs(r.worst - ((best[0] + max(best[-1], 0)) / 2 if words else 0)) < 1e-4
+
+
 def test_leaks(spark):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega one two three four five six seven eight nine ten"
     near = item.replace("mu", "changed")

@@ -8,8 +8,12 @@ difference of the two log-likelihoods, normalised by length over the whole text
 A logistic curve maps both to a score; it is fitted on labelled texts that the models used for it have not
 seen (two folds), on at most ``sample`` of them. The models themselves count all labelled training texts.
 
-Grams are hashed into TABLE cells, so the models' size is fixed whatever the corpus; their counts come
-from the texts as sparse sums by slices of the table. Texts are shuffled once, those that may train.
+Scale: a gram is its eight bytes as a 64-bit integer, so grams never share counts, and the models grow with
+the corpus. Texts are read once, in blocks that each keep their distinct words and for each text the
+numbers of its words. Counts are of distinct words by class; words are dealt out gram by gram, by the four
+bytes before the last, which all that a gram's ratio needs has in common; so each part of the models is
+counted and used where it lies, and no model is ever gathered. What returns is a number a word, which each
+block gets for its own words.
 
 Edge cases: a null or empty text has no evidence and the score of the fitted prior; without toxic or
 without ordinary training texts the score is the prior share for all; repeated labels of a doc_id count as
@@ -22,20 +26,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.llm import arrays as A
-from vitrina.llm.tables import broadcast_value, saved, texts
+from vitrina.llm.tables import saved, shuffle_partitions, texts
 
 U64 = np.uint64
 ORDER, BACKOFF = 8, 5
-TABLE_BITS = 20
-TABLE = 1 << TABLE_BITS
 DISCOUNT = 0.75
-SLICES = 64
+#: Bytes of text in a block, and words of the vocabulary in a chunk.
+BLOCK, CHUNK = 4 << 20, 10_000
+#: Kinds of labelled texts (2 * fold + toxic) that are toxic and ordinary, for the model of all and for those of texts of fold 0 and 1.
+MODELS = (({1, 3}, {0, 2}), ({3}, {2}), ({1}, {0}))
 SCORE_AT = 0.7
 
 
@@ -43,132 +47,180 @@ def held_out() -> F.Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
 
 
-class Grams:
-    """The words of texts as bytes with a space before each, and the table cells of their grams."""
+def fold() -> F.Column:
+    return (F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) / 2).cast("int")
 
-    def __init__(self, column: pa.Array):
-        data, offsets = A.text_bytes(column, lower=True)
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row a block: doc_ids, distinct words and their lengths, and of each text its distinct words and their counts."""
+    for batch in A.slices(batches, limit=BLOCK):
+        data, offsets = A.text_bytes(batch.column("text"), lower=True)
         starts, ends, at = A.words(data, offsets)
-        self.n = len(column)
-        lengths = ends - starts + 2
-        self.word_at = np.r_[0, np.cumsum(lengths)]
-        self.doc_at = at
-        self.bytes = np.full(self.word_at[-1], 32, np.uint8)
-        inner = np.repeat(starts - self.word_at[:-1] - 1, lengths) + np.arange(len(self.bytes))
-        edge = np.zeros(len(self.bytes), bool)
-        edge[self.word_at[:-1]] = edge[self.word_at[1:] - 1] = True
-        self.bytes[~edge] = data[inner[~edge]]
-
-    def cells(self, size: int, skip: int = 0) -> np.ndarray:
-        """Hash of the ``size`` bytes that end ``skip`` before each byte of a word (shorter at its start)."""
-        out = np.zeros(len(self.bytes), U64)
-        place = np.arange(len(self.bytes)) - np.repeat(self.word_at[:-1], np.diff(self.word_at))
-        for back in range(skip, skip + size):
-            byte = np.zeros(len(self.bytes), U64)
-            byte[back:] = self.bytes[: len(self.bytes) - back] if back else self.bytes
-            byte[place < back] = 0
-            out = out * U64(0x100000001B3) + byte + U64(1)
-        return A.mix(out + U64(size))
-
-
-def _cell(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> U64(64 - TABLE_BITS)).astype(np.int64)
-
-
-def gram_counts(labelled: DataFrame) -> DataFrame:
-    """Counts of gram cells by fold and class: columns kind (2 * fold + toxic), slice, cells, counts.
-
-    ``labelled`` has text, toxic (0 or 1) and fold. Each task sums in dense arrays of fixed size first.
+        _, first, word, n = np.unique(A.span_hash(A.prefix_hash(data), starts, ends), return_index=True, return_inverse=True, return_counts=True)
+        order = np.argsort(-n, kind="stable")  # frequent words get small numbers, which pack well
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        first = first[order]
+        lengths = ends[first] - starts[first]
+        ends_out = np.r_[0, np.cumsum(lengths)]
+        spelled = data[np.repeat(starts[first] - ends_out[:-1], lengths) + np.arange(ends_out[-1])]
+        words = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends_out.astype("<i4")), pa.py_buffer(spelled)])
+        pairs, times = np.unique((np.repeat(np.arange(batch.num_rows), np.diff(at)) << 32) | rank[word], return_counts=True)
+        row = {
+            "ids": pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("doc_id").cast(pa.int64())),
+            "words": pa.ListArray.from_arrays(pa.array([0, len(first)], pa.int32()), words),
+            "lengths": pa.array([lengths.astype("<u4").tobytes()], pa.binary()),
+            "at": pa.array([np.searchsorted(pairs >> 32, np.arange(batch.num_rows + 1)).astype("<u4").tobytes()], pa.binary()),
+            "word": pa.array([(pairs & 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary()),
+            "times": pa.array([times.astype("<u4").tobytes()], pa.binary()),
+        }
+        yield pa.record_batch(row)
+
+
+def _numbers(value: bytes, kind: str = "<u4") -> np.ndarray:
+    out = np.frombuffer(value, kind)
+    return out.astype(np.int64) if kind == "<u4" else out
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each word of a block, with its number there and its counts in texts of each kind."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {k: batch.column(k)[i] for k in batch.schema.names}
+            words, at, word, times = row["words"].values, _numbers(row["at"].as_py()), _numbers(row["word"].as_py()), _numbers(row["times"].as_py())
+            kinds = np.full(len(at) - 1, -1)
+            marks = np.array(row["marks"].as_py() or [], np.int64)
+            kinds[marks >> 2] = marks & 3
+            kind = np.repeat(kinds, np.diff(at))
+            counts = {f"n{k}": pa.array(np.bincount(word[kind == k], weights=times[kind == k], minlength=len(words)).astype(np.int64)) for k in range(4)}
+            yield pa.record_batch({"block": pa.array([row["block"].as_py()] * len(words), pa.int64()), "pos": pa.array(np.arange(len(words)), pa.int32()), "spelled": words} | counts)
+    A.give_back()
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, CHUNK):
+            own = batch.slice(at, CHUNK)
+            row = {"words": pa.array([own.column("spelled").to_pylist()], pa.list_(pa.binary()))}
+            yield pa.record_batch(row | {f"n{k}": pa.array([own.column(f"n{k}").to_numpy().astype("<f8").tobytes()], pa.binary()) for k in range(4)})
+
+
+def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The ORDER bytes that end at each byte of the words, with a space before and after each; and the words' numbers."""
+    lengths = np.array([len(w) + 2 for w in words], np.int64)
+    data = np.frombuffer(b"".join(b" %b " % w for w in words), np.uint8).astype(U64)
+    place = np.arange(len(data)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    out = np.zeros(len(data), U64)
+    for back in range(min(ORDER, len(data))):
+        byte = np.zeros(len(data), U64)
+        byte[back:] = data[: len(data) - back]
+        byte[place < back] = 0
+        out |= byte << U64(8 * back)
+    return out, np.repeat(np.arange(len(words)), lengths)
+
+
+def _shape(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of grams their context, their shorter gram and that one's context."""
+    return gram >> U64(8), gram & U64((1 << 8 * BACKOFF) - 1), (gram >> U64(8)) & U64((1 << 8 * (BACKOFF - 1)) - 1)
+
+
+def ratios(gram: np.ndarray, counts: list[np.ndarray]) -> np.ndarray:
+    """Log-likelihood ratio of two Kneser-Ney models for each gram, a row for each of MODELS.
+
+    ``counts`` has four counts for each gram, one a kind; a gram may stand repeatedly. A gram in neither
+    class has the ratio of what its context leaves to others.
     """
+    known = np.flatnonzero(np.sum(counts, axis=0) > 0)
+    seen, which = np.unique(gram[known], return_inverse=True)
+    own = [np.bincount(which, weights=n[known], minlength=len(seen)) for n in counts]
+    contexts, context = np.unique(_shape(seen)[0], return_inverse=True)
+    shorts, bases = (np.unique(x, return_inverse=True, return_counts=True)[1:] for x in _shape(seen)[1:])
+    shared = (shorts[1][shorts[0]] + 0.5) / (bases[1][bases[0]] + 128.0)  # distinct longer grams that end in this one
+    out = np.zeros((len(MODELS), len(gram)))
+    if not len(seen):
+        return out
+    at, c = np.minimum(np.searchsorted(seen, gram), len(seen) - 1), _shape(gram)[0]
+    hit, c_at = seen[at] == gram, np.minimum(np.searchsorted(contexts, c), len(contexts) - 1)
+    c_hit = contexts[c_at] == c
+    for m, sides in enumerate(MODELS):
+        ratio, unseen = np.zeros(len(seen)), np.zeros(len(contexts))
+        for sign, kinds in zip((1, -1), sides, strict=True):
+            n = np.sum([own[k] for k in sorted(kinds)], axis=0)
+            total, differ = (np.bincount(context, weights=x, minlength=len(contexts)) for x in (n, n > 0))
+            left = np.where(total > 0, DISCOUNT * differ / np.maximum(total, 1), 1.0)
+            ratio += sign * np.log(np.maximum(n - DISCOUNT, 0) / np.maximum(total[context], 1) + left[context] * shared)
+            unseen += sign * np.log(left)
+        out[m] = np.where(hit, ratio[at], np.where(c_hit, unseen[c_at], 0.0))
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in A.slices(batches):
-            kinds = batch.column("kind").to_numpy(zero_copy_only=False)
-            for kind in np.unique(kinds).tolist():
-                cells = _cell(Grams(batch.column("text").filter(pa.array(kinds == kind))).cells(ORDER))
-                if kind not in sums:
-                    sums[kind] = np.zeros(TABLE, np.int64)
-                sums[kind] += np.bincount(cells, minlength=TABLE)
-        rows = []
-        for kind, total in sums.items():
-            for s in range(SLICES):
-                own = total[s * (TABLE // SLICES) : (s + 1) * (TABLE // SLICES)]
-                some = np.flatnonzero(own)
-                if len(some):
-                    rows.append((kind, s, (some + s * (TABLE // SLICES)).astype("<i4").tobytes(), own[some].astype("<f4").tobytes()))
-        yield pa.record_batch({k: pa.array([r[i] for r in rows], t) for i, (k, t) in enumerate((("kind", pa.int32()), ("slice", pa.int32()), ("cells", pa.binary()), ("counts", pa.binary())))})
-
-    def add(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
-        cells, counts = np.frombuffer(b"".join(parts["cells"]), "<i4"), np.frombuffer(b"".join(parts["counts"]), "<f4")
-        base = int(key[1]) * (TABLE // SLICES)
-        total = np.bincount(cells - base, weights=counts, minlength=TABLE // SLICES)
-        some = np.flatnonzero(total)
-        return pd.DataFrame({"kind": [int(key[0])], "slice": [int(key[1])], "cells": [(some + base).astype("<i4").tobytes()], "counts": [total[some].astype("<f4").tobytes()]})
-
-    schema = "kind int, slice int, cells binary, counts binary"
-    packed = labelled.select("text", (2 * F.col("fold") + F.col("toxic")).cast("int").alias("kind")).mapInArrow(run, schema)
-    return packed.groupBy("kind", "slice").applyInPandas(add, schema)
-
-
-def gram_shapes(labelled: DataFrame) -> DataFrame:
-    """Distinct gram cells with the cells of their context, of their shorter gram and of that one's context."""
 
+def _dealt(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(TABLE, bool)
-        for batch in A.slices(batches):
-            grams = Grams(batch.column("text"))
-            cells = _cell(grams.cells(ORDER))
-            new = np.flatnonzero(~seen[cells])
-            if len(new):
-                _, first = np.unique(cells[new], return_index=True)
-                new = new[first]
-                seen[cells[new]] = True
-                shape = [cells, _cell(grams.cells(ORDER - 1, 1)), _cell(grams.cells(BACKOFF)), _cell(grams.cells(BACKOFF - 1, 1))]
-                yield pa.record_batch({k: pa.array(x[new], pa.int32()) for k, x in zip(("cell", "context", "short", "base"), shape, strict=True)})
-
-    every = labelled.select("text").mapInArrow(run, "cell int, context int, short int, base int")
-    return every.groupBy("cell").agg(F.min(F.struct("context", "short", "base")).alias("s")).select("cell", "s.*")
-
-
-class Model:
-    """Log-likelihood ratios of two Kneser-Ney models: of seen grams, and by context of those in neither."""
-
-    def __init__(self, shapes: list[np.ndarray], toxic: np.ndarray, ordinary: np.ndarray):
-        cell, context, short, base = shapes
-        continued = np.bincount(short, minlength=TABLE)[short]  # distinct longer grams that end in this one
-        shared = (continued + 0.5) / (np.bincount(base, minlength=TABLE)[base] + 128.0)
-        ratio, self.unseen = np.zeros(len(cell)), np.zeros(TABLE, np.float32)
-        for sign, counts in ((1, toxic), (-1, ordinary)):
-            own = counts[cell].astype(float)
-            total = np.bincount(context, weights=own, minlength=TABLE)
-            kinds = np.bincount(context, weights=own > 0, minlength=TABLE)
-            left = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
-            ratio += sign * np.log(np.maximum(own - DISCOUNT, 0) / np.maximum(total[context], 1) + left[context] * shared)
-            self.unseen += (sign * np.log(left)).astype(np.float32)
-        self.seen = np.full(TABLE, np.nan, np.float32)
-        self.seen[cell] = ratio
-
-    def evidence(self, column: pa.Array) -> np.ndarray:
-        """Two numbers a text: its mean ratio a byte, and the mean of its two words with the greatest ratio."""
-        grams = Grams(column)
-        out = np.zeros((grams.n, 2))
-        if not len(grams.bytes):
-            return out
-        ratio = self.seen[_cell(grams.cells(ORDER))]
-        none = np.flatnonzero(np.isnan(ratio))
-        ratio[none] = self.unseen[_cell(grams.cells(ORDER - 1, 1))[none]]
-        lengths = np.diff(grams.word_at)
-        word = np.add.reduceat(ratio.astype(np.float64), grams.word_at[:-1])
-        doc = np.repeat(np.arange(grams.n), np.diff(grams.doc_at))
-        full = np.flatnonzero(np.diff(grams.doc_at))
-        first = grams.doc_at[:-1][full]
-        out[full, 0] = np.add.reduceat(word, first) / np.add.reduceat(lengths, first)
-        word = word / np.sqrt(lengths)
-        order = np.lexsort((-word, doc))
-        second = np.minimum(first + 1, grams.doc_at[1:][full] - 1)
-        out[full, 1] = (word[order][first] + np.maximum(word[order][second], 0)) / 2
+        for batch in batches:
+            for i in range(batch.num_rows):
+                gram, word = grams(batch.column("words")[i].as_py())
+                part = (A.mix(_shape(gram)[2]) % U64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                cuts = np.searchsorted(part[order], np.arange(parts + 1))
+                own = [order[cuts[p] : cuts[p + 1]] for p in range(parts)]
+                some = [p for p in range(parts) if len(own[p])]
+                row = {"part": pa.array(some, pa.int32()), "chunk": pa.array([batch.column("chunk")[i].as_py()] * len(some), pa.int64())}
+                row |= {k: pa.array([x[own[p]].tobytes() for p in some], pa.binary()) for k, x in (("gram", gram.astype("<u8")), ("word", word.astype("<u4")))}
+                for k in range(4):
+                    n = np.frombuffer(batch.column(f"n{k}")[i].as_py(), "<f8")
+                    row[f"n{k}"] = pa.array([n[word[own[p]]].tobytes() for p in some], pa.binary())
+                yield pa.record_batch(row)
+
+    return run
+
+
+def _part(table: pa.Table) -> pa.Table:
+    """Sums of the ratios of the words' grams that lie in one part, by chunk."""
+    joined = {k: _numbers(b"".join(table.column(k).to_pylist()), kind) for k, kind in (("gram", "<u8"), ("word", "<u4"), *((f"n{k}", "<f8") for k in range(4)))}
+    found = ratios(joined["gram"], [joined[f"n{k}"] for k in range(4)])
+    ends = np.cumsum([len(x) // 4 for x in table.column("word").to_pylist()])
+    rows: list = [[] for _ in range(1 + len(MODELS))]
+    for end, begin in zip(ends, np.r_[0, ends[:-1]], strict=True):
+        words, which = np.unique(joined["word"][begin:end], return_inverse=True)
+        rows[0].append(words.astype("<u4").tobytes())
+        for m in range(len(MODELS)):
+            rows[1 + m].append(np.bincount(which, weights=found[m, begin:end]).astype("<f4").tobytes())
+    return pa.table({"chunk": table.column("chunk")} | {k: pa.array(x, pa.binary()) for k, x in zip(("word", "r0", "r1", "r2"), rows, strict=True)})
+
+
+def _summed(chunk: pa.Table, parts: pa.Table) -> pa.Table:
+    """The words of a chunk, each with the sum of its grams' ratios."""
+    words = chunk.column("words").combine_chunks().values
+    word = _numbers(b"".join(parts.column("word").to_pylist()))
+    sums = {f"r{m}": pa.array(np.bincount(word, weights=np.frombuffer(b"".join(parts.column(f"r{m}").to_pylist()), "<f4"), minlength=len(words)).astype(np.float32)) for m in range(len(MODELS))}
+    return pa.table({"spelled": words} | sums)
+
+
+def evidence(ratio: np.ndarray, lengths: np.ndarray, at: np.ndarray, word: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Two numbers a text: its mean ratio a byte, and the mean of its two words with the greatest ratio."""
+    out = np.zeros((len(at) - 1, 2))
+    full = np.flatnonzero(np.diff(at))
+    if not len(full):
         return out
+    first, length = at[:-1][full], lengths[word] + 2
+    out[full, 0] = np.add.reduceat(ratio[word] * times, first) / np.add.reduceat(length * times, first)
+    each = ratio[word] / np.sqrt(length)
+    order = np.lexsort((-each, np.repeat(np.arange(len(at) - 1), np.diff(at))))
+    second = np.where(times[order][first] > 1, first, np.minimum(first + 1, at[1:][full] - 1))
+    out[full, 1] = (each[order][first] + np.maximum(each[order][second], 0)) / 2
+    return out
+
+
+def _judged(block: pa.Table, values: pa.Table) -> pa.Table:
+    """The evidence of each text of a block, by each of MODELS."""
+    held = {k: _numbers(block.column(k)[0].as_py()) for k in ("lengths", "at", "word", "times")}
+    out = {"doc_id": block.column("ids").combine_chunks().values}
+    for m in range(len(MODELS)):
+        ratio = np.zeros(len(held["lengths"]))
+        ratio[values.column("pos").to_numpy()] = values.column(f"r{m}").to_numpy()
+        x = evidence(ratio, **held)
+        out |= {f"whole{m}": pa.array(x[:, 0]), f"worst{m}": pa.array(x[:, 1])}
+    return pa.table(out)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
@@ -184,46 +236,38 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50
     return w
 
 
-def _dense(rows: pd.DataFrame, kinds: set[int]) -> np.ndarray:
-    out = np.zeros(TABLE)
-    for cells, counts in rows.loc[rows["kind"].isin(kinds), ["cells", "counts"]].itertuples(index=False):
-        out[np.frombuffer(cells, "<i4")] += np.frombuffer(counts, "<f4")
-    return out
-
-
-def _evidence(docs: DataFrame, models: list[Model]) -> DataFrame:
-    """docs with evidence from the model that the column ``fold`` names."""
-    held = broadcast_value(docs.sparkSession, models)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in A.slices(batches):
-            fold = batch.column("fold").to_numpy(zero_copy_only=False)
-            x = np.zeros((batch.num_rows, 2))
-            for k in np.unique(fold).tolist():
-                x[fold == k] = held.value[k].evidence(batch.column("text").filter(pa.array(fold == k)))
-            yield pa.record_batch({"doc_id": batch.column("doc_id").cast(pa.int64()), "whole": pa.array(x[:, 0]), "worst": pa.array(x[:, 1])})
-
-    return docs.select("doc_id", "text", "fold").mapInArrow(run, "doc_id long, whole double, worst double")
+def _evidence(docs: DataFrame, known: DataFrame) -> tuple[DataFrame, set[int]]:
+    """doc_id and evidence of every row of docs by each of MODELS, and the kinds that have words to learn from."""
+    counts = [f"n{k}" for k in range(4)]
+    blocks = saved(texts(docs).mapInArrow(_blocks, "ids array<long>, words array<binary>, lengths binary, at binary, word binary, times binary").withColumn("block", F.monotonically_increasing_id()))
+    rows = blocks.select("block", F.posexplode("ids").alias("row", "doc_id")).filter(~held_out())
+    marks = rows.join(known.filter(~held_out()).hint("merge"), "doc_id").select("block", (4 * F.col("row").cast("long") + 2 * fold() + F.col("toxic")).alias("mark"))
+    marked = blocks.select("block", "words", "at", "word", "times").join(marks.groupBy("block").agg(F.collect_list("mark").alias("marks")).hint("merge"), "block", "left")
+    found = saved(marked.mapInArrow(_word_counts, "block long, pos int, spelled binary, n0 long, n1 long, n2 long, n3 long"))
+    totals = found.agg(*[F.sum(n).alias(n) for n in counts]).first()
+    vocabulary = found.groupBy("spelled").agg(*[F.sum(n).alias(n) for n in counts])
+    chunks = saved(vocabulary.mapInArrow(_chunks, "words array<binary>, n0 binary, n1 binary, n2 binary, n3 binary").withColumn("chunk", F.monotonically_increasing_id()))
+    dealt = chunks.mapInArrow(_dealt(max(16, 2 * shuffle_partitions(docs.sparkSession))), "part int, chunk long, gram binary, word binary, n0 binary, n1 binary, n2 binary, n3 binary")
+    sums = dealt.groupBy("part").applyInArrow(_part, "chunk long, word binary, r0 binary, r1 binary, r2 binary")
+    words = chunks.select("chunk", "words").groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInArrow(_summed, "spelled binary, r0 float, r1 float, r2 float")
+    values = found.select("block", "pos", "spelled").join(words.hint("merge"), "spelled").select("block", "pos", "r0", "r1", "r2")
+    own = blocks.select("block", "ids", "lengths", "at", "word", "times").groupBy("block")
+    schema = "doc_id long, " + ", ".join(f"whole{m} double, worst{m} double" for m in range(len(MODELS)))
+    return saved(own.cogroup(values.groupBy("block")).applyInArrow(_judged, schema)), {k for k in range(4) if totals[f"n{k}"]}
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> DataFrame:
     """doc_id, held_out, score (0 to 1) and predicted (score >= 0.7) of each whole text, and its evidence."""
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-    fold = (F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) / 2).cast("int")
-    training = saved(texts(docs).filter(~held_out()).join(known.filter(~held_out()).hint("merge"), "doc_id").withColumn("fold", fold))
-    shapes = gram_shapes(training).toArrow()
-    shapes = [shapes.column(c).to_numpy() for c in ("cell", "context", "short", "base")]
-    rows = gram_counts(training).toPandas()
-    both = Model(shapes, _dense(rows, {1, 3}), _dense(rows, {0, 2}))
-    crossed = [Model(shapes, _dense(rows, {3}), _dense(rows, {2})), Model(shapes, _dense(rows, {1}), _dense(rows, {0}))]
-    kinds = set(rows["kind"])
-    del rows, shapes
+    found, kinds = _evidence(docs, known)
     share = known.filter(~held_out()).agg(F.avg("toxic")).first()[0]
     prior = float(np.clip(0.5 if share is None else share, 1e-3, 1 - 1e-3))
     weights = np.array([0.0, 0.0, np.log(prior / (1 - prior))])
     if {0, 1} <= {k % 2 for k in kinds}:
-        seen = _evidence(training, crossed).join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toPandas()
+        crossed = [F.when(fold() == 0, F.col(f"{x}1")).otherwise(F.col(f"{x}2")).alias(x) for x in ("whole", "worst")]
+        seen = found.filter(~held_out()).select("doc_id", *crossed).join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toPandas()
         weights = logistic(seen[["whole", "worst"]].to_numpy(), seen["toxic"].to_numpy())
-    z = F.lit(float(weights[0])) * F.col("whole") + F.lit(float(weights[1])) * F.col("worst") + F.lit(float(weights[2]))
-    scored = _evidence(texts(docs).withColumn("fold", F.lit(0)), [both]).withColumn("score", 1 / (1 + F.exp(-z)))
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= SCORE_AT).cast("int").alias("predicted"), "whole", "worst")
+    whole, worst = F.col("whole0"), F.col("worst0")
+    z = F.lit(float(weights[0])) * whole + F.lit(float(weights[1])) * worst + F.lit(float(weights[2]))
+    scored = found.withColumn("score", 1 / (1 + F.exp(-z)))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= SCORE_AT).cast("int").alias("predicted"), whole.alias("whole"), worst.alias("worst"))
