@@ -69,6 +69,17 @@ def test_near_duplicates(spark, docs):
     assert near_dup.near_duplicates(table(spark, ["a"]).limit(0)).count() == 0
 
 
+def test_near_duplicates_joined_by_no_leader(spark, monkeypatch):
+    """A chain 0 - 2 - last - 1 in one bucket: 0 leads and takes 2, 1 leads the rest and takes the last."""
+    last = spark.range(3, 100).filter("pmod(xxhash64(id), 4) = pmod(xxhash64(1L), 4)").first()[0]
+    texts = {i: " ".join(f"w{k}" for k in range(60 * n, 60 * n + 1000)) for n, i in enumerate((0, 2, last, 1))}
+    others = {1000 + i: " ".join(f"x{i}y{k}" for k in range(9)) for i in range(300)}
+    signed = near_dup.signed
+    monkeypatch.setattr(near_dup, "signed", lambda *a: signed(*a).withColumn("bands", F.array(F.when(F.col("doc_id") < 1000, 1).otherwise(F.col("doc_id")).cast("long"))))
+    found = {r.doc_id: r.class_id for r in near_dup.near_duplicates(spark.createDataFrame(list((texts | others).items()), "doc_id long, text string")).collect()}
+    assert {found[i] for i in texts} == {0} and all(found[i] == i for i in others)
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(3)
     codes = [(int(i), int(c)) for i, c in enumerate(rng.integers(-(2**63), 2**63, 150))] + [(200 + i, 7) for i in range(30)]

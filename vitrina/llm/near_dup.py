@@ -9,9 +9,10 @@ need a table, and of those there are at most RARE times the mean number of shing
 bound does not grow with the corpus, and so the table is broadcast. Document frequencies come from all
 documents, as packed sorted blocks of hashes dealt out by hash range. The texts are shuffled once, and
 only those of candidates are used. Within a bucket every document is compared with the bucket's leader,
-never each with each; documents that the links so far do not join to a leader choose leaders among
+not each with each; documents that the links so far do not join to a leader choose leaders among
 themselves (four times as many each round), which are again compared with all of the bucket that is not
-yet in their component, until none is left. A pair
+yet in their component, until none is left. Pairs of one bucket that are still in two components and of
+which neither led it are compared last, in blocks of at most about CELL by CELL. A pair
 whose samples agree too seldom for the threshold (by three standard deviations) is not verified.
 
 Edge cases: a null or empty text, or one without words, has no shingles and is a class of its own; a
@@ -45,6 +46,7 @@ IDF_LEVELS = 12
 SAMPLES, AGREE = 252, 186
 UNIT = 1 << 21
 POOL = 1 << 16
+CELL = 512
 _KEYS = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, (2, SAMPLES), dtype=U64) * U64(2) + U64(1)
 _SAMPLE_TABLES: dict[int, np.ndarray] = {}
 
@@ -220,6 +222,32 @@ def _labelled(table: DataFrame, near: DataFrame) -> DataFrame:
     return table.join(near, F.col("rep") == F.col("node"), "left").withColumn("c", F.coalesce("component", "rep")).drop("node", "component")
 
 
+def _joined(links: DataFrame, near: DataFrame | None) -> DataFrame:
+    """Node and component of the links a, b and those so far."""
+    edges = links.select("a", "b")
+    return saved(connected_components(edges if near is None else edges.unionByName(near.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b"))
+
+
+def _agreed() -> Column:
+    return F.aggregate(F.zip_with("samples", "its", _same_nibbles), F.lit(SAMPLES - 256), lambda n, x: n + x)
+
+
+def _pairs_left(members: DataFrame, led: DataFrame, near: DataFrame) -> DataFrame:
+    """Pairs a, b of one bucket that are in two components, of documents that never led it, and whose samples agree.
+
+    A bucket's documents are dealt in blocks; every two blocks, and each with itself, meet in a cell of their own.
+    """
+    rest = Scratch(_labelled(members.select("bucket", "rep").join(led.hint("merge"), ["bucket", "rep"], "left_anti"), near)).df
+    mixed = rest.groupBy("bucket").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.count("*").alias("n")).filter("least <> most")
+    held = Scratch(rest.join(mixed.select("bucket", F.ceil(F.col("n") / CELL).cast("int").alias("blocks")).hint("merge"), "bucket")).df
+    dealt = held.hint("merge").join(members, ["bucket", "rep"])
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = dealt.select("bucket", F.least("own", "other").alias("row"), F.greatest("own", "other").alias("column"), "own", "rep", "c", "samples")
+    its = cells.filter(F.col("own") == F.col("column")).select("bucket", "row", "column", F.col("rep").alias("leader"), F.col("c").alias("lc"), F.col("samples").alias("its"))
+    met = cells.filter(F.col("own") == F.col("row")).drop("own").join(its.hint("merge"), ["bucket", "row", "column"]).filter((F.col("c") != F.col("lc")) & (_agreed() >= AGREE))
+    return met.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> DataFrame:
     """One row per doc_id: its class (the least doc_id in it), the class's size, and whether it stands for it."""
     table = frequency_table(docs, size)
@@ -230,21 +258,21 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> D
     members = Scratch(spread.join(crowded.select("bucket"), "bucket").select("bucket", "rep", "samples"))
     wanted = members.df.select(F.col("rep").alias("doc_id")).distinct()
     vecs = Scratch(vectors(texts(docs).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), table, size))
-    near = None  # node and component of the links so far
+    near, led_by = None, None  # node and component of the links so far; who has led which bucket
     tested, open_, leads = None, Scratch(members.df.withColumn("c", F.col("rep"))), 1
     labelled = open_
     while not open_.df.isEmpty():
         salted = open_.df.groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(leads)).alias("salt"))
         leaders = Scratch(salted.agg(F.min(F.struct("rep", "c", "samples")).alias("its")).select("bucket", F.col("its.rep").alias("leader"), F.col("its.samples").alias("its"), F.col("its.c").alias("lc")))
-        agreed = F.aggregate(F.zip_with("samples", "its", _same_nibbles), F.lit(SAMPLES - 256), lambda n, x: n + x)
-        led = labelled.df.join(leaders.df, "bucket").filter("c <> lc").filter(agreed >= AGREE)
+        heads = saved(leaders.df.select("bucket", F.col("leader").alias("rep")))
+        led_by = heads if led_by is None else led_by.unionByName(heads)
+        led = labelled.df.join(leaders.df, "bucket").filter("c <> lc").filter(_agreed() >= AGREE)
         pairs = led.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         new = Scratch(_verified(pairs, vecs.df)).df
         tested = new if tested is None else tested.unionByName(new)
-        good = new.filter(F.col("sim") >= threshold).select("a", "b")
-        near = saved(connected_components(good if near is None else good.unionByName(near.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b"))
+        near = _joined(new.filter(F.col("sim") >= threshold), near)
         rest = _labelled(open_.df.drop("c"), near).join(_labelled(leaders.df.select("bucket", F.col("leader").alias("rep")), near).select("bucket", F.col("rep").alias("leader"), F.col("c").alias("lc")), "bucket")
         rest = rest.groupBy("bucket", "rep").agg(F.max((F.col("rep") == F.col("leader")) | (F.col("c") == F.col("lc"))).alias("done"), F.first("samples").alias("samples"), F.first("c").alias("c"))
         rest = Scratch(rest.filter("not done").select("bucket", "rep", "samples", "c"))
@@ -254,6 +282,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> D
             labelled.drop()
         leaders.drop()
         labelled, open_, leads = relabelled, rest, 4 * leads
+    if near is not None:
+        pairs = _pairs_left(members.df, led_by, near).join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        near = _joined(Scratch(_verified(pairs, vecs.df)).df.filter(F.col("sim") >= threshold), near)
     ids = sig.filter("doc_id is not null").groupBy("doc_id").agg(F.min("copy").alias("copy"))
     out = ids.join(reps.select("copy", "rep"), "copy", "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"))
     if near is not None:
