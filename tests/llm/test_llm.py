@@ -69,17 +69,59 @@ def test_near_duplicates(spark, docs):
     assert near_dup.near_duplicates(table(spark, ["a"]).limit(0)).count() == 0
 
 
-def test_near_duplicates_joined_by_no_leader(spark, monkeypatch):
-    """A chain 0 - 2 - last - 1 in one bucket: 0 leads and takes 2, 1 leads the rest and takes the last."""
-    last = spark.range(3, 100).filter("pmod(xxhash64(id), 4) = pmod(xxhash64(1L), 4)").first()[0]
+def test_near_duplicates_across_cells(spark, monkeypatch):
+    """A chain 0 - 2 - last - 1 and texts apart, all in one bucket of many small cells."""
+    last = 77
     texts = {i: " ".join(f"w{k}" for k in range(60 * n, 60 * n + 1000)) for n, i in enumerate((0, 2, last, 1))}
-    others = {1000 + i: " ".join(f"x{i}y{k}" for k in range(9)) for i in range(300)}
+    others = {1000 + i: " ".join(f"x{i}y{k}" for k in range(9)) for i in range(60)}
     signed = near_dup.signed
-    monkeypatch.setattr(near_dup, "signed", lambda *a: signed(*a).withColumn("bands", F.array(F.when(F.col("doc_id") < 1000, 1).otherwise(F.col("doc_id")).cast("long"))))
+    monkeypatch.setattr(near_dup, "CELL", 3)
+    monkeypatch.setattr(near_dup, "signed", lambda *a: signed(*a).withColumn("bands", F.array(F.lit(1).cast("long"))))
     found = {r.doc_id: r.class_id for r in near_dup.near_duplicates(spark.createDataFrame(list((texts | others).items()), "doc_id long, text string")).collect()}
     assert {found[i] for i in texts} == {0} and all(found[i] == i for i in others)
 
 
+def test_near_duplicates_miss_no_weighted_link(spark):
+    """Recall on weighted similarity against all pairs of sf0.01 that share a shingle, and no class without a link."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    found = {r.doc_id: r.class_id for r in near_dup.near_duplicates(docs).collect()}
+    rows = docs.collect()
+    words = [re.findall(r"[a-z0-9\x80-\U0010ffff]+", (r.text or "").lower()) for r in rows]
+    counts = [Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else Counter() for w in words]
+    df = Counter(s for c in counts for s in c)
+    n = len(rows)
+
+    def weight(s, many):
+        level = 0 if df[s] < max(2, n / near_dup.RARE) else min(1 + int(np.floor(np.log2(max(df[s] * near_dup.RARE / n, 1)))), near_dup.IDF_LEVELS - 1)
+        return float(near_dup.class_weight(np.array([min(int(np.log2(many)), 20) * near_dup.IDF_LEVELS + level]))[0])
+
+    vecs = [{s: weight(s, k) for s, k in c.items()} for c in counts]
+    total = [sum(v.values()) for v in vecs]
+    by = {}
+    for i, v in enumerate(vecs):
+        for s in v:
+            by.setdefault(s, []).append(i)
+    pairs = {(a, b) for held in by.values() if 1 < len(held) <= 60 for k, a in enumerate(held) for b in held[k + 1 :]}
+    links, linked = 0, set()
+    for a, b in pairs:
+        shared = sum(min(x, vecs[b][s]) for s, x in vecs[a].items() if s in vecs[b])
+        if shared / (total[a] + total[b] - shared) >= 0.8:
+            links += 1
+            linked |= {a, b}
+            assert found[rows[a].doc_id] == found[rows[b].doc_id]
+    assert links > 50
+    sizes = Counter(found.values())
+    assert all(i in linked for i, r in enumerate(rows) if sizes[found[r.doc_id]] > 1 and words[i])
+
+
+def test_near_duplicates_of_odd_rows(spark):
+    rows = [(1, "a b c d e f g"), (1, "h i j k l m n"), (2, "A b c, d e f g"), (3, "h i j k l m n"), (None, "h i j k l m n"), (4, None), (4, None), (5, "!!!"), (6, "x y " * 40000), (7, "x y " * 40000)]
+    found = {r.doc_id: (r.class_id, r.class_size, r.kept) for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").withColumn("bands", F.lit(1)).withColumn("copy", F.lit(2))).collect()}
+    assert sorted(found) == [1, 2, 3, 4, 5, 6, 7]
+    assert (found[1][0] == found[2][0]) != (found[1][0] == found[3][0]) and found[2][0] != found[3][0]
+    assert found[4] == (4, 1, True) and found[5] == (5, 1, True) and found[6] == (6, 2, True) and found[7] == (6, 2, False)
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(3)
     codes = [(int(i), int(c)) for i, c in enumerate(rng.integers(-(2**63), 2**63, 150))] + [(200 + i, 7) for i in range(30)]

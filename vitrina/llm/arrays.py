@@ -127,15 +127,34 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return span_hash(prefix_hash(data), starts, ends), at
 
 
-def shingle_counts(column: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each document its distinct shingles in order: document, 44-bit shingle, count."""
-    found, doc = shingles(*word_hashes(column), size)
+def distinct_shingles(hashes: np.ndarray, at: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each document, given its words' hashes, its distinct shingles in order: document, 44-bit shingle, count."""
+    found, doc = shingles(hashes, at, size)
     both = np.sort((doc.astype(U64) << U64(SHINGLE_BITS)) | (found >> U64(64 - SHINGLE_BITS)))
     first = np.flatnonzero(np.r_[True, both[1:] != both[:-1]]) if len(both) else np.empty(0, np.int64)
     kept = both[first]
     return (kept >> U64(SHINGLE_BITS)).astype(np.int64), kept & U64((1 << SHINGLE_BITS) - 1), np.diff(np.r_[first, len(both)])
 
 
+def shingle_counts(column: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each document its distinct shingles in order: document, 44-bit shingle, count."""
+    return distinct_shingles(*word_hashes(column), size)
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Integers in order, in about three and a quarter bytes each where they are dense: the low 24 bits of
+    each, then the rest in unary (Elias and Fano)."""
+    high = (values >> U64(24)).astype(np.int64)
+    marks = np.zeros(int(high[-1]) + len(values) + 1 if len(values) else 0, bool)
+    marks[high + np.arange(len(values))] = True
+    return pack(values & U64((1 << 24) - 1), 3) + np.packbits(marks).tobytes()
+
+
+def unpack_sorted(data: bytes, n: int) -> np.ndarray:
+    marks = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, offset=3 * n)))
+    return unpack(data[: 3 * n], 3) | ((marks - np.arange(n)).astype(U64) << U64(24))
+
+
 def pack(values: np.ndarray, width: int) -> bytes:
     """Integers below 256 ** width, little-endian."""
     return np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()

@@ -1,38 +1,42 @@
 """MinHash near-deduplication with improved consistent weighted sampling (ICWS).
 
-Shingles of five words carry TF-IDF weights. Each document gets ICWS samples [Ioffe 2010], grouped in
-bands; documents that agree on a band are candidates, and a pair is a link if its weighted Jaccard
+Shingles of five words carry TF-IDF weights. Each text gets ICWS samples [Ioffe 2010], grouped in bands;
+texts that agree on a band are in one bucket, and a pair of a bucket is a link if its weighted Jaccard
 similarity is at least 0.8. Classes are the connected components of the links.
 
 Scale. A smoothed IDF is flat below a document frequency of one in ``RARE``, so only shingles above it
 need a table, and of those there are at most RARE times the mean number of shingles a document: that
 bound does not grow with the corpus, and so the table is broadcast. Document frequencies come from all
-documents, as packed sorted blocks of hashes dealt out by hash range. The texts are shuffled once, and
-only those of candidates are used. Within a bucket every document is compared with the bucket's leader,
-not each with each; documents that the links so far do not join to a leader choose leaders among
-themselves (four times as many each round), which are again compared with all of the bucket that is not
-yet in their component, until none is left. Pairs of one bucket that are still in two components and of
-which neither led it are compared last, in blocks of at most about CELL by CELL. A pair
-whose samples agree too seldom for the threshold (by three standard deviations) is not verified.
+documents, as packed sorted blocks of hashes dealt out by hash range. From there on the work is on
+distinct texts, known by a 128-bit hash of their words, and only those in a bucket with another are
+tokenised again. Buckets with the same members are one. Members are dealt in cells of about CELL; a
+cell compares its pairs that the links so far do not join already, the likeliest first, and returns only
+links that join two components. Buckets of several cells, where they are still of several components, are
+then compared across cells: each member outside the bucket's largest component with all members. So every
+two texts of a bucket end in one component or have been compared: no link is lost, and no list of pairs is
+ever made. A pair whose samples agree too seldom for the threshold, by five standard deviations, is
+not verified; 21 bands of 6 miss 0.2 % of pairs that are exactly at 0.8.
 
 Edge cases: a null or empty text, or one without words, has no shingles and is a class of its own; a
-text of fewer than five words is one shingle; equal texts share a class; repeated rows of one doc_id
-give one row; an empty table gives an empty result; further columns are ignored.
+text of fewer than five words is one shingle; very long texts are whole; equal texts share a class; of
+several texts under one doc_id the one with the least hash counts; rows without doc_id are ignored; a
+class is named by its least doc_id; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.llm import arrays as A
 from vitrina.llm.components import connected_components
-from vitrina.llm.tables import Scratch, broadcast_value, saved, shuffle_partitions, texts
+from vitrina.llm.tables import Scratch, broadcast_value, saved, texts
 
 U64 = np.uint64
 #: A shingle in fewer than one of so many documents has the full weight.
@@ -41,12 +45,12 @@ RARE = 1024
 SMOOTH = 0.05
 BANDS, ROWS = 21, 6
 IDF_LEVELS = 12
-#: Samples, of which the bands use the first; four bits of each are compared before a pair is verified.
-#: At similarity 0.8 about 205 agree, with a standard deviation of 6.2.
-SAMPLES, AGREE = 252, 186
-UNIT = 1 << 21
+#: Four bits of each sample are compared before a pair is verified. At similarity 0.8 about 102 of them
+#: agree, with a standard deviation of 4.4.
+SAMPLES, AGREE = BANDS * ROWS, 81
+#: Shingles in a block and in a hash range, rows in a cell and, about, in a group of cells.
+UNIT, RANGE, CELL, GROUP = 1 << 21, 1 << 23, 512, 2048
 POOL = 1 << 16
-CELL = 512
 _KEYS = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, (2, SAMPLES), dtype=U64) * U64(2) + U64(1)
 _SAMPLE_TABLES: dict[int, np.ndarray] = {}
 
@@ -64,9 +68,9 @@ def weight_classes(counts: np.ndarray, levels: np.ndarray) -> np.ndarray:
 
 def frequent_shingles(docs: DataFrame, size: int = 5) -> DataFrame:
     """Shingles (44-bit hash) of at least one in RARE documents, two at least: columns shingle and df."""
-    spark = docs.sparkSession
-    ranges = max(16, 2 * shuffle_partitions(spark))
-    least = max(2, docs.count() / RARE)
+    n_docs, n_chars = docs.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    ranges = max(16, n_chars // (6 * RANGE) + 1)
+    least = max(2, n_docs / RARE)
     step = -(-(1 << A.SHINGLE_BITS) // ranges)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,7 +80,7 @@ def frequent_shingles(docs: DataFrame, size: int = 5) -> DataFrame:
             ids = np.sort(np.concatenate(held))
             cuts = np.searchsorted(ids, np.arange(ranges + 1, dtype=U64) * U64(step))
             some = [r for r in range(ranges) if cuts[r] < cuts[r + 1]]
-            return pa.record_batch({"part": pa.array(some, pa.int32()), "ids": pa.array([A.pack(ids[cuts[r] : cuts[r + 1]] - U64(r * step), 5) for r in some], pa.binary())})
+            return pa.record_batch({"part": pa.array(some, pa.int32()), "n": pa.array([int(cuts[r + 1] - cuts[r]) for r in some], pa.int64()), "ids": pa.array([A.pack_sorted(ids[cuts[r] : cuts[r + 1]] - U64(r * step)) for r in some], pa.binary())})
 
         for batch in A.slices(batches):
             held.append(A.shingle_counts(batch.column("text"), size)[1])
@@ -88,13 +92,13 @@ def frequent_shingles(docs: DataFrame, size: int = 5) -> DataFrame:
             yield packed()
 
     def count(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
-        ids = np.sort(A.unpack(b"".join(blocks["ids"]), 5))
+        ids = np.sort(np.concatenate([A.unpack_sorted(x, n) for x, n in zip(blocks["ids"], blocks["n"], strict=True)]))
         first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
         n = np.diff(np.r_[first, len(ids)])
         keep = n >= least
         return pd.DataFrame({"shingle": (ids[first[keep]] + U64(int(key[0]) * step)).astype(np.int64), "df": n[keep]})
 
-    return texts(docs).select("text").mapInArrow(blocks, "part int, ids binary").groupBy("part").applyInPandas(count, "shingle long, df long")
+    return texts(docs).select("text").mapInArrow(blocks, "part int, n long, ids binary").groupBy("part").applyInPandas(count, "shingle long, df long")
 
 
 def frequency_table(docs: DataFrame, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -104,9 +108,9 @@ def frequency_table(docs: DataFrame, size: int = 5) -> tuple[np.ndarray, np.ndar
     return found["shingle"].to_numpy().astype(U64), np.minimum(level, IDF_LEVELS - 1)
 
 
-def weighted_shingles(column: pa.Array, table: tuple[np.ndarray, np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each document its distinct shingles in order: document, shingle, weight class."""
-    doc, ids, counts = A.shingle_counts(column, size)
+def weighted_shingles(hashes: np.ndarray, at: np.ndarray, table: tuple[np.ndarray, np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each document, given its words' hashes, its distinct shingles in order: document, shingle, weight class."""
+    doc, ids, counts = A.distinct_shingles(hashes, at, size)
     known, level = table
     levels = np.zeros(len(ids), np.int64)
     if len(known):
@@ -134,162 +138,184 @@ def _sample_table(weight_class: int) -> np.ndarray:
 def signatures(doc: np.ndarray, ids: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Documents that have shingles, and for each a row of band hashes and four bits of each sample."""
     first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.empty(0, np.int64)
-    bands, last = np.zeros((len(first), BANDS), U64), np.zeros((len(first), 256), np.uint8)
-    if not len(first):
-        return doc[:0], bands, last
-    present, row = np.unique(classes, return_inverse=True)
-    table = np.concatenate([_sample_table(int(c)) for c in present])
-    row = (row * POOL).astype(U64)
-    spread, low = A.mix(ids), U64((1 << 40) - 1)
-    for k in range(SAMPLES):
-        z = (spread ^ _KEYS[0, k]) * _KEYS[1, k]
-        sample = np.minimum.reduceat(table[(z >> U64(48)) + row] ^ (z & low), first)
-        if k < BANDS * ROWS:
+    bands, last = np.zeros((len(first), BANDS), U64), np.zeros((len(first), SAMPLES), np.uint8)
+    if len(first):
+        present, row = np.unique(classes, return_inverse=True)
+        table = np.concatenate([_sample_table(int(c)) for c in present])
+        row = (row * POOL).astype(U64)
+        spread, low = A.mix(ids), U64((1 << 40) - 1)
+        for k in range(SAMPLES):
+            z = (spread ^ _KEYS[0, k]) * _KEYS[1, k]
+            sample = np.minimum.reduceat(table[(z >> U64(48)) + row] ^ (z & low), first)
             bands[:, k // ROWS] = A.mix(bands[:, k // ROWS] ^ (sample & low)) + U64(k // ROWS)
-        last[:, k] = (A.mix(sample & low) & U64(15)).astype(np.uint8)
-    return doc[first], bands, (last[:, ::2] | (last[:, 1::2] << 4)).view(np.int64)
+            last[:, k] = (A.mix(sample & low) & U64(15)).astype(np.uint8)
+    return doc[first], bands, last[:, ::2] | (last[:, 1::2] << 4)
+
+
+def _keys(hashes: np.ndarray, at: np.ndarray) -> pa.Array:
+    """A 128-bit hash of each document's words; null without words."""
+    data, ends = hashes.tobytes(), (8 * at).tolist()
+    return pa.array([hashlib.blake2b(data[a:b], digest_size=16).digest() if b > a else None for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
 
 
 def signed(docs: DataFrame, table, size: int = 5) -> DataFrame:
-    """doc_id, a key that equal word sequences share, and the band hashes (none without words)."""
+    """doc_id, a key that equal word sequences share, the band hashes and the packed samples (null without words)."""
     held = broadcast_value(docs.sparkSession, table)
+    rows = texts(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in A.slices(batches):
             hashes, at = A.word_hashes(batch.column("text"))
-            doc, bands, last = signatures(*weighted_shingles(batch.column("text"), held.value, size))
-            key = [hashes[at[i] : at[i + 1]].tobytes() for i in range(batch.num_rows)]
-            rows: list = [[] for _ in key]
-            samples: list = [[] for _ in key]
-            for d, b, x in zip(doc.tolist(), bands.view(np.int64).tolist(), last.tolist(), strict=True):
-                rows[d], samples[d] = b, x
-            yield pa.record_batch({"doc_id": batch.column("doc_id").cast(pa.int64()), "copy": pa.array([_key(k) for k in key], pa.binary()), "bands": pa.array(rows, pa.list_(pa.int64())), "samples": pa.array(samples, pa.list_(pa.int64()))})
-
-    return texts(docs).mapInArrow(run, "doc_id long, copy binary, bands array<long>, samples array<long>")
-
-
-def _key(data: bytes) -> bytes | None:
-    import hashlib
+            doc, bands, last = signatures(*weighted_shingles(hashes, at, held.value, size))
+            lists: list = [None] * batch.num_rows
+            samples: list = [None] * batch.num_rows
+            for d, b, x in zip(doc.tolist(), bands.view(np.int64).tolist(), last, strict=True):
+                lists[d], samples[d] = b, x.tobytes()
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "copy": _keys(hashes, at), "bands": pa.array(lists, pa.list_(pa.int64())), "samples": pa.array(samples, pa.binary())})
 
-    return hashlib.blake2b(data, digest_size=16).digest() if data else None
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, copy binary, bands array<long>, samples binary")
 
 
 def vectors(docs: DataFrame, table, size: int = 5) -> DataFrame:
-    """doc_id and its shingles with their weight classes, packed and in order."""
+    """For each document with words its key and its shingles with their weight classes, packed and in order."""
     held = broadcast_value(docs.sparkSession, table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in A.slices(batches):
-            doc, ids, classes = weighted_shingles(batch.column("text"), held.value, size)
+            hashes, at = A.word_hashes(batch.column("text"))
+            doc, ids, classes = weighted_shingles(hashes, at, held.value, size)
             both = ((ids >> U64(4)) << U64(8)) | classes.astype(U64)
-            at = np.searchsorted(doc, np.arange(batch.num_rows + 1))
-            yield pa.record_batch({"doc_id": batch.column("doc_id").cast(pa.int64()), "vec": pa.array([A.pack(both[at[i] : at[i + 1]], 6) for i in range(batch.num_rows)], pa.binary())})
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, vec binary")
-
-
-def similarity(a: bytes, b: bytes) -> float:
-    """Weighted Jaccard similarity of two packed vectors."""
-    x, y = A.unpack(a, 6), A.unpack(b, 6)
-    wx, wy = class_weight(x & U64(255)), class_weight(y & U64(255))
-    _, i, j = np.intersect1d(x >> U64(8), y >> U64(8), assume_unique=True, return_indices=True)
-    shared = np.minimum(wx[i], wy[j]).sum()
-    total = wx.sum() + wy.sum() - shared
-    return float(shared / total) if total else 0.0
+            at_doc = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+            yield pa.record_batch({"copy": _keys(hashes, at), "vec": pa.array([A.pack(both[at_doc[i] : at_doc[i + 1]], 6) for i in range(batch.num_rows)], pa.binary())})
 
+    return texts(docs).select("text").mapInArrow(run, "copy binary, vec binary")
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sims = [similarity(a, b) for a, b in zip(batch.column("va").to_pylist(), batch.column("vb").to_pylist(), strict=True)]
-        yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b"), "sim": pa.array(sims, pa.float64())})
 
+def _unpacked(vec: bytes) -> tuple[np.ndarray, np.ndarray, float]:
+    x = A.unpack(vec, 6)
+    w = class_weight(x & U64(255))
+    return x >> U64(8), w, float(w.sum())
 
-def _verified(pairs: DataFrame, vecs: DataFrame) -> DataFrame:
-    left = vecs.select(F.col("doc_id").alias("b"), F.col("vec").alias("vb"))
-    right = vecs.select(F.col("doc_id").alias("a"), F.col("vec").alias("va"))
-    return pairs.join(left, "b").join(right, "a").select("a", "b", "va", "vb").mapInArrow(_compare, "a long, b long, sim double")
 
+def _similarity(x: tuple, y: tuple) -> float:
+    at = np.minimum(np.searchsorted(x[0], y[0]), len(x[0]) - 1)
+    hit = x[0][at] == y[0]
+    shared = float(np.minimum(x[1][at[hit]], y[1][hit]).sum())
+    return shared / (x[2] + y[2] - shared)
 
-def _same_nibbles(x: Column, y: Column) -> Column:
-    """How many of the sixteen four-bit parts of two longs are equal."""
-    d = x.bitwiseXOR(y)
-    any_bit = d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseOR(F.shiftrightunsigned(d, 3))
-    return F.lit(16) - F.bit_count(any_bit.bitwiseAND(F.lit(0x1111111111111111)))
 
-
-def _labelled(table: DataFrame, near: DataFrame) -> DataFrame:
-    """The table with c, the component of its column rep so far."""
-    return table.join(near, F.col("rep") == F.col("node"), "left").withColumn("c", F.coalesce("component", "rep")).drop("node", "component")
-
-
-def _joined(links: DataFrame, near: DataFrame | None) -> DataFrame:
-    """Node and component of the links a, b and those so far."""
-    edges = links.select("a", "b")
-    return saved(connected_components(edges if near is None else edges.unionByName(near.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b"))
-
-
-def _agreed() -> Column:
-    return F.aggregate(F.zip_with("samples", "its", _same_nibbles), F.lit(SAMPLES - 256), lambda n, x: n + x)
-
-
-def _pairs_left(members: DataFrame, led: DataFrame, near: DataFrame) -> DataFrame:
-    """Pairs a, b of one bucket that are in two components, of documents that never led it, and whose samples agree.
-
-    A bucket's documents are dealt in blocks; every two blocks, and each with itself, meet in a cell of their own.
-    """
-    rest = Scratch(_labelled(members.select("bucket", "rep").join(led.hint("merge"), ["bucket", "rep"], "left_anti"), near)).df
-    mixed = rest.groupBy("bucket").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.count("*").alias("n")).filter("least <> most")
-    held = Scratch(rest.join(mixed.select("bucket", F.ceil(F.col("n") / CELL).cast("int").alias("blocks")).hint("merge"), "bucket")).df
-    dealt = held.hint("merge").join(members, ["bucket", "rep"])
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = dealt.select("bucket", F.least("own", "other").alias("row"), F.greatest("own", "other").alias("column"), "own", "rep", "c", "samples")
-    its = cells.filter(F.col("own") == F.col("column")).select("bucket", "row", "column", F.col("rep").alias("leader"), F.col("c").alias("lc"), F.col("samples").alias("its"))
-    met = cells.filter(F.col("own") == F.col("row")).drop("own").join(its.hint("merge"), ["bucket", "row", "column"]).filter((F.col("c") != F.col("lc")) & (_agreed() >= AGREE))
-    return met.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
+def similarity(a: bytes, b: bytes) -> float:
+    """Weighted Jaccard similarity of two packed vectors; 0 if one is empty."""
+    return _similarity(_unpacked(a), _unpacked(b)) if a and b else 0.0
+
+
+def _cell_links(copies: list, c: list, samples: np.ndarray, vecs: list, across: np.ndarray | None, threshold: float) -> list[tuple]:
+    """Links that join components, among the rows of a cell or (across) of its rows with those that are marked."""
+    names = {x: k for k, x in enumerate(dict.fromkeys(c))}
+    up = list(range(len(names)))
+    comp = np.array([names[x] for x in c])
+    held: dict[int, tuple] = {}
+    out = []
+
+    def top(k: int) -> int:
+        while up[k] != k:
+            up[k] = up[up[k]]
+            k = up[k]
+        return k
+
+    def vec(i: int) -> tuple:
+        if i not in held:
+            held[i] = _unpacked(vecs[i])
+        return held[i]
+
+    one, two = (np.arange(len(copies)),) * 2 if across is None else (np.flatnonzero(~across), np.flatnonzero(across))
+    for i in two.tolist():
+        others = one[(comp[one] != comp[i]) & ((one > i) if across is None else True)]
+        if not len(others):
+            continue
+        x = samples[others] ^ samples[i]
+        same = ((x & 15) == 0).sum(1) + ((x >> 4) == 0).sum(1)
+        for k in np.argsort(-same, kind="stable").tolist():
+            if same[k] < AGREE:
+                break
+            j = int(others[k])
+            a, b = top(comp[i]), top(comp[j])
+            if a != b and _similarity(vec(i), vec(j)) >= threshold:
+                up[max(a, b)] = min(a, b)
+                out.append((copies[i], copies[j]))
+    return out
+
+
+def _links(rows: DataFrame, samples: DataFrame, vecs: DataFrame, threshold: float) -> DataFrame:
+    """Links a, b of rows (bucket, cell, copy, c, across); cells meet Python in groups of about GROUP rows."""
+    groups = max(1, -(-rows.count() // GROUP))
+    full = rows.withColumn("part", F.pmod(F.xxhash64("bucket", "cell"), F.lit(groups)).cast("int")).join(vecs.hint("merge"), "copy").join(samples.hint("merge"), "copy")
+
+    def compare(table: pa.Table) -> pa.Table:
+        key = pd.DataFrame({"bucket": table.column("bucket").to_numpy(), "cell": table.column("cell").to_pylist()}).groupby(["bucket", "cell"], sort=False).indices
+        copy, c, vec, sample, across = (table.column(x).to_pylist() for x in ("copy", "c", "vec", "samples", "across"))
+        out = []
+        for at in key.values():
+            at = at.tolist()
+            own = np.frombuffer(b"".join(sample[i] for i in at), np.uint8).reshape(len(at), -1)
+            marks = np.array([bool(across[i]) for i in at]) if across[at[0]] is not None else None
+            out += _cell_links([copy[i] for i in at], [c[i] for i in at], own, [vec[i] for i in at], marks, threshold)
+        return pa.table({k: pa.array([x[i] for x in out], pa.binary()) for i, k in enumerate("ab")})
+
+    return full.groupBy("part").applyInArrow(compare, "a binary, b binary")
+
+
+def _labelled(rows: DataFrame, near: DataFrame) -> DataFrame:
+    """rows with c, the component of copy so far."""
+    return rows.join(near, F.col("copy") == F.col("node"), "left").withColumn("c", F.coalesce("component", "copy")).drop("node", "component")
+
+
+def _across(members: DataFrame, near: DataFrame) -> DataFrame:
+    """Rows for _links: in each bucket of several cells its members outside the largest component, with all of it."""
+    rows = Scratch(_labelled(members.filter(F.col("n") > CELL), near)).df
+    counted = rows.groupBy("bucket", "c").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.max(F.struct("k", "c")).alias("most"))
+    mixed = rows.join(counted, "bucket").filter(F.col("most.k") < F.col("n"))
+    blocks, chunks = F.ceil(F.col("n") / CELL).cast("int"), F.ceil((F.col("n") - F.col("most.k")) / CELL).cast("int")
+    mixed = mixed.select("bucket", "copy", "c", blocks.alias("blocks"), chunks.alias("chunks"), (F.col("c") != F.col("most.c")).alias("odd"), F.xxhash64("copy").alias("h"))
+    cell = lambda x, y: F.concat_ws("x", x, y).alias("cell")
+    as_row = mixed.select("bucket", "copy", "c", F.pmod("h", "blocks").alias("x"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("y")).select("bucket", cell("x", "y"), "copy", "c", F.lit(False).alias("across"))
+    as_odd = mixed.filter("odd").select("bucket", "copy", "c", F.pmod("h", "chunks").alias("y"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x")).select("bucket", cell("x", "y"), "copy", "c", F.lit(True).alias("across"))
+    return as_row.unionByName(as_odd)
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> DataFrame:
     """One row per doc_id: its class (the least doc_id in it), the class's size, and whether it stands for it."""
+    docs = docs.filter("doc_id is not null")
     table = frequency_table(docs, size)
     sig = saved(signed(docs, table, size))
-    reps = sig.filter("copy is not null").groupBy("copy").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "samples"), "doc_id").alias("sig"))
-    spread = reps.select("rep", F.col("sig.samples").alias("samples"), F.posexplode("sig.bands").alias("band", "hash")).select("rep", "samples", F.xxhash64("band", "hash").alias("bucket"))
-    crowded = spread.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    members = Scratch(spread.join(crowded.select("bucket"), "bucket").select("bucket", "rep", "samples"))
-    wanted = members.df.select(F.col("rep").alias("doc_id")).distinct()
-    vecs = Scratch(vectors(texts(docs).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), table, size))
-    near, led_by = None, None  # node and component of the links so far; who has led which bucket
-    tested, open_, leads = None, Scratch(members.df.withColumn("c", F.col("rep"))), 1
-    labelled = open_
-    while not open_.df.isEmpty():
-        salted = open_.df.groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(leads)).alias("salt"))
-        leaders = Scratch(salted.agg(F.min(F.struct("rep", "c", "samples")).alias("its")).select("bucket", F.col("its.rep").alias("leader"), F.col("its.samples").alias("its"), F.col("its.c").alias("lc")))
-        heads = saved(leaders.df.select("bucket", F.col("leader").alias("rep")))
-        led_by = heads if led_by is None else led_by.unionByName(heads)
-        led = labelled.df.join(leaders.df, "bucket").filter("c <> lc").filter(_agreed() >= AGREE)
-        pairs = led.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        new = Scratch(_verified(pairs, vecs.df)).df
-        tested = new if tested is None else tested.unionByName(new)
-        near = _joined(new.filter(F.col("sim") >= threshold), near)
-        rest = _labelled(open_.df.drop("c"), near).join(_labelled(leaders.df.select("bucket", F.col("leader").alias("rep")), near).select("bucket", F.col("rep").alias("leader"), F.col("c").alias("lc")), "bucket")
-        rest = rest.groupBy("bucket", "rep").agg(F.max((F.col("rep") == F.col("leader")) | (F.col("c") == F.col("lc"))).alias("done"), F.first("samples").alias("samples"), F.first("c").alias("c"))
-        rest = Scratch(rest.filter("not done").select("bucket", "rep", "samples", "c"))
-        relabelled = Scratch(_labelled(labelled.df.drop("c").join(rest.df.select("bucket").distinct(), "bucket", "left_semi"), near))
-        open_.drop()
-        if labelled is not open_:
-            labelled.drop()
-        leaders.drop()
-        labelled, open_, leads = relabelled, rest, 4 * leads
-    if near is not None:
-        pairs = _pairs_left(members.df, led_by, near).join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        near = _joined(Scratch(_verified(pairs, vecs.df)).df.filter(F.col("sim") >= threshold), near)
-    ids = sig.filter("doc_id is not null").groupBy("doc_id").agg(F.min("copy").alias("copy"))
-    out = ids.join(reps.select("copy", "rep"), "copy", "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"))
-    if near is not None:
-        out = out.join(near, out["rep"] == near["node"], "left").select("doc_id", F.coalesce("component", "rep").alias("class_id"))
-    else:
-        out = out.select("doc_id", F.col("rep").alias("class_id"))
-    sizes = out.groupBy("class_id").agg(F.count("*").alias("class_size"))
-    return out.join(sizes, "class_id").select("doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    own = saved(sig.groupBy("doc_id").agg(F.min("copy").alias("copy")))
+    distinct = Scratch(sig.filter("copy is not null").groupBy("copy").agg(F.first("bands").alias("bands"), F.first("samples").alias("samples"), F.min("doc_id").alias("doc_id")))
+    spread = distinct.df.select("copy", F.explode("bands").alias("bucket"))
+    crowded = spread.groupBy("bucket").agg(F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("copy", F.lit(k))).alias(f"m{k}") for k in (1, 2)]).filter("n > 1")
+    apart = crowded.groupBy("n", "m1", "m2").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
+    members = Scratch(spread.join(apart, "bucket"))
+    wanted = members.df.select("copy").distinct()
+    samples = Scratch(distinct.df.join(wanted, "copy", "left_semi").select("copy", "samples", "doc_id"))
+    picked = docs.join(samples.df.select("doc_id").distinct(), "doc_id", "left_semi")
+    vecs = Scratch(vectors(picked, table, size).join(samples.df.select("copy"), "copy", "left_semi").groupBy("copy").agg(F.first("vec").alias("vec")))
+    cells = members.df.select("bucket", F.pmod(F.xxhash64("copy"), F.ceil(F.col("n") / CELL)).cast("string").alias("cell"), "copy", F.col("copy").alias("c"), F.lit(None).cast("boolean").alias("across"))
+    marks = samples.df.select("copy", "samples")
+    near = saved(connected_components(_links(cells, marks, vecs.df, threshold), "a", "b"))
+    rest = Scratch(_across(members.df, near))
+    if not rest.df.isEmpty():
+        more = _links(rest.df, marks, vecs.df, threshold)
+        near = saved(connected_components(more.unionByName(near.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b"))
+    for t in (rest, vecs, samples, members, distinct):
+        t.drop()
+    return _classes(own, near)
+
+
+def _classes(own: DataFrame, near: DataFrame) -> DataFrame:
+    """The rows of the result from doc_id and copy, and the components of copies. Sizes are summed over distinct texts first."""
+    per = _labelled(own.filter("copy is not null").groupBy("copy").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), near)
+    per = saved(per)
+    classes = per.groupBy("c").agg(F.min("first").alias("class_id"), F.sum("n").alias("class_size"))
+    named = per.join(classes, "c").select("copy", "class_id", "class_size")
+    out = own.filter("copy is not null").join(named, "copy").select("doc_id", "class_id", "class_size")
+    out = out.unionByName(own.filter("copy is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size")))
+    return out.withColumn("kept", F.col("doc_id") == F.col("class_id"))

@@ -10,27 +10,34 @@ from pyspark.sql import functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where none is set."""
+    """The folder named by spark.checkpoint.dir. Where none is set, a local master gets a temporary one; a cluster an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="vitrina-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
 
 class Scratch:
-    """A table written to the shared folder, so that a lost executor costs no lineage."""
+    """A table written to the shared folder, so that a lost executor costs no lineage; gone at the end of the session."""
 
     def __init__(self, df: DataFrame):
         spark = df.sparkSession
         self.path = f"{scratch_dir(spark)}/vitrina-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        df.write.option("compression", "zstd").parquet(self.path)
+        self._system().deleteOnExit(self._path())
         self.df = spark.read.schema(df.schema).parquet(self.path)
 
+    def _path(self):
+        return SparkSession.active()._jvm.org.apache.hadoop.fs.Path(self.path)
+
+    def _system(self):
+        return self._path().getFileSystem(SparkSession.active().sparkContext._jsc.hadoopConfiguration())
+
     def drop(self) -> None:
-        spark = self.df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self._system().delete(self._path(), True)
 
 
 def saved(df: DataFrame) -> DataFrame:
