@@ -26,20 +26,22 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("v <> w").select(F.greatest("v", "w").alias("v"), F.least("v", "w").alias("w")).distinct()
 
 
-def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
+def connected_components(edges: DataFrame, a: str, b: str, rows: int | None = None) -> DataFrame:
     """Columns node and component (the least node of its component) for every node with an edge to another.
 
-    Self-loops, nulls and repeated edges add nothing; an empty table gives an empty result.
+    ``rows`` is about the number of edges, if known. Self-loops, nulls and repeated edges add nothing; an empty
+    table gives an empty result. Nodes are of any type that has an order.
     """
     start = edges.select(F.greatest(a, b).alias("v"), F.least(a, b).alias("w")).filter(f"{a} is not null and {b} is not null and v <> w").distinct()
-    now = Scratch(start)
+    now = Scratch(start, rows)
     seen = None
     while True:
-        mark = now.df.agg(F.count("*"), F.sum(F.xxhash64("v", "w").cast("decimal(38,0)"))).first()
+        mark = now.df.agg(F.count("*"), F.bit_xor(F.xxhash64("v", "w"))).first()
         if mark == seen or mark[0] == 0:
             break
         seen = mark
-        step = Scratch(_stars(_stars(now.df, True), False))
+        step = Scratch(_stars(_stars(now.df, True), False), mark[0])
         now.drop()
         now = step
-    return now.df.select(F.col("v").alias("node"), F.col("w").alias("component")).unionByName(now.df.select(F.col("w").alias("node"), F.col("w").alias("component"))).distinct()
+    # Every edge now leads from a node to the least of its component; that one is not a node of the left side.
+    return now.df.select(F.col("v").alias("node"), F.col("w").alias("component")).unionByName(now.df.select(F.col("w").alias("node"), F.col("w").alias("component")).distinct())

@@ -270,9 +270,9 @@ def _labelled(rows: DataFrame, near: DataFrame) -> DataFrame:
     return rows.join(near, F.col("copy") == F.col("node"), "left").withColumn("c", F.coalesce("component", "copy")).drop("node", "component")
 
 
-def _across(members: DataFrame, near: DataFrame) -> DataFrame:
+def _across(members: DataFrame, near: DataFrame, n: int) -> DataFrame:
     """Rows for _links: in each bucket of several cells its members outside the largest component, with all of it."""
-    rows = Scratch(_labelled(members.filter(F.col("n") > CELL), near)).df
+    rows = saved(_labelled(members.filter(F.col("n") > CELL), near), n)
     counted = rows.groupBy("bucket", "c").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.max(F.struct("k", "c")).alias("most"))
     mixed = rows.join(counted, "bucket").filter(F.col("most.k") < F.col("n"))
     blocks, chunks = F.ceil(F.col("n") / CELL).cast("int"), F.ceil((F.col("n") - F.col("most.k")) / CELL).cast("int")
@@ -288,23 +288,25 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> D
     docs = docs.filter("doc_id is not null")
     table = frequency_table(docs, size)
     sig = saved(signed(docs, table, size))
-    own = saved(sig.groupBy("doc_id").agg(F.min("copy").alias("copy")))
-    distinct = Scratch(sig.filter("copy is not null").groupBy("copy").agg(F.first("bands").alias("bands"), F.first("samples").alias("samples"), F.min("doc_id").alias("doc_id")))
+    n = sig.count()
+    own = saved(sig.groupBy("doc_id").agg(F.min("copy").alias("copy")), n)
+    distinct = Scratch(sig.filter("copy is not null").groupBy("copy").agg(F.first("bands").alias("bands"), F.first("samples").alias("samples"), F.min("doc_id").alias("doc_id")), n)
     spread = distinct.df.select("copy", F.explode("bands").alias("bucket"))
     crowded = spread.groupBy("bucket").agg(F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("copy", F.lit(k))).alias(f"m{k}") for k in (1, 2)]).filter("n > 1")
     apart = crowded.groupBy("n", "m1", "m2").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    members = Scratch(spread.join(apart, "bucket"))
+    members = Scratch(spread.join(apart, "bucket"), n)
     wanted = members.df.select("copy").distinct()
-    samples = Scratch(distinct.df.join(wanted, "copy", "left_semi").select("copy", "samples", "doc_id"))
+    samples = Scratch(distinct.df.join(wanted, "copy", "left_semi").select("copy", "samples", "doc_id"), n)
+    n = samples.df.count()
     picked = docs.join(samples.df.select("doc_id").distinct(), "doc_id", "left_semi")
-    vecs = Scratch(vectors(picked, table, size).join(samples.df.select("copy"), "copy", "left_semi").groupBy("copy").agg(F.first("vec").alias("vec")))
+    vecs = Scratch(vectors(picked, table, size).join(samples.df.select("copy"), "copy", "left_semi").groupBy("copy").agg(F.first("vec").alias("vec")), 8 * n)
     cells = members.df.select("bucket", F.pmod(F.xxhash64("copy"), F.ceil(F.col("n") / CELL)).cast("string").alias("cell"), "copy", F.col("copy").alias("c"), F.lit(None).cast("boolean").alias("across"))
     marks = samples.df.select("copy", "samples")
-    near = saved(connected_components(_links(cells, marks, vecs.df, threshold), "a", "b"))
-    rest = Scratch(_across(members.df, near))
+    near = connected_components(_links(cells, marks, vecs.df, threshold), "a", "b", n)
+    rest = Scratch(_across(members.df, near, n), n)
     if not rest.df.isEmpty():
         more = _links(rest.df, marks, vecs.df, threshold)
-        near = saved(connected_components(more.unionByName(near.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b"))
+        near = connected_components(more.unionByName(near.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b", n)
     for t in (rest, vecs, samples, members, distinct):
         t.drop()
     return _classes(own, near)
@@ -313,7 +315,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> D
 def _classes(own: DataFrame, near: DataFrame) -> DataFrame:
     """The rows of the result from doc_id and copy, and the components of copies. Sizes are summed over distinct texts first."""
     per = _labelled(own.filter("copy is not null").groupBy("copy").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), near)
-    per = saved(per)
+    per = saved(per, own.count())
     classes = per.groupBy("c").agg(F.min("first").alias("class_id"), F.sum("n").alias("class_size"))
     named = per.join(classes, "c").select("copy", "class_id", "class_size")
     out = own.filter("copy is not null").join(named, "copy").select("doc_id", "class_id", "class_size")

@@ -20,11 +20,20 @@ def scratch_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+#: Rows in a file of a scratch table whose number of rows is about known.
+FILE_ROWS = 50_000
+
+
 class Scratch:
-    """A table written to the shared folder, so that a lost executor costs no lineage; gone at the end of the session."""
+    """A table written to the shared folder, so that a lost executor costs no lineage; gone at the end of the session.
+
+    ``rows``, if about known, keeps small tables in few files, whatever the number of shuffle partitions.
+    """
 
-    def __init__(self, df: DataFrame):
+    def __init__(self, df: DataFrame, rows: int | None = None):
         spark = df.sparkSession
+        if rows is not None:
+            df = df.coalesce(rows // FILE_ROWS + 1)
         self.path = f"{scratch_dir(spark)}/vitrina-{uuid.uuid4().hex}"
         df.write.option("compression", "zstd").parquet(self.path)
         self._system().deleteOnExit(self._path())
@@ -40,8 +49,8 @@ class Scratch:
         self._system().delete(self._path(), True)
 
 
-def saved(df: DataFrame) -> DataFrame:
-    return Scratch(df).df
+def saved(df: DataFrame, rows: int | None = None) -> DataFrame:
+    return Scratch(df, rows).df
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
