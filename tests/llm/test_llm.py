@@ -240,3 +240,31 @@ def test_repeats(spark):
                 gone[i : i + 400] = b"\1" * 400
         assert r.kept_sha256 == hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest()
         assert (r.n_bytes, r.n_removed) == (len(b), sum(gone))
+
+
+def test_repeats_whole_table_and_passages(spark):
+    """Every row of sf0.001 against counts of all strings, and passages of 51 words that other documents have."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    odd = [(10**6, None), (10**6 + 1, ""), (10**6 + 2, "same words again " * 40), (10**6 + 3, "z" * 1000)]
+    docs = docs.unionByName(spark.createDataFrame([*odd, *odd[2:]], docs.schema)).withColumn("block", F.lit("x"))
+    rows = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
+    count, holders = Counter(), {}
+    words = [re.findall(rb"[0-9A-Za-z\x80-\xff]+", b) for _, b in rows]
+    for (_, b), w, n in zip(rows, words, range(len(rows))):
+        count.update(b[i : i + 400] for i in range(len(b) - 399))
+        for i in range(len(w) - 50):
+            holders.setdefault(tuple(w[i : i + 51]), set()).add(n)
+    want = Counter()
+    for n, (i, b) in enumerate(rows):
+        gone, shared = bytearray(len(b)), bytearray(len(words[n]))
+        for k in range(len(b) - 399):
+            if count[b[k : k + 400]] > 1:
+                gone[k : k + 400] = b"\1" * 400
+        for k in range(len(words[n]) - 50):
+            if len(holders[tuple(words[n][k : k + 51])]) > 1:
+                shared[k : k + 51] = b"\1" * 51
+        runs = sum(1 for k, g in enumerate(gone) if g and not (k and gone[k - 1]))
+        want[i, len(b), sum(gone), runs, hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest(), sum(shared)] += 1
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.n_shared_words) for r in repeats.remove_repeats(docs).collect())
+    assert got == want and sum(k[5] > 0 for k in want) > 10
+    assert repeats.remove_repeats(docs.limit(0)).count() == 0

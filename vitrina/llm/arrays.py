@@ -80,6 +80,14 @@ def prefix_hash(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def prefix_hash_of(symbols: np.ndarray) -> np.ndarray:
+    """As prefix_hash, of 64-bit symbols that are well mixed already."""
+    up, _ = powers(len(symbols) + 1)
+    out = np.zeros(len(symbols) + 1, U64)
+    np.cumsum((symbols | U64(1)) * up[: len(symbols)], out=out[1:])
+    return out
+
+
 def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span, the same wherever the span stands."""
     _, down = powers(len(prefix))

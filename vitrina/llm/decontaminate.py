@@ -110,7 +110,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> Data
         cut = cut.filter(F.size("shingles") > 0).groupBy("doc_id", "n_words", "start").agg(F.max(F.struct(F.size("shingles"), "shingles"))["shingles"].alias("shingles"))
         windows = cut if windows is None else windows.unionByName(cut)
     if windows is None:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, similarity double, start_word int, n_words int")
+        return docs.sparkSession.createDataFrame([], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {benchmark.schema['item_id'].dataType.simpleString()}, similarity double, start_word int, n_words int")
     prints = windows.withColumn("print", simhash("shingles"))
     parts = prints.select("doc_id", "n_words", "start", "shingles", "print", F.posexplode(_blocks("print")).alias("block", "value"))
     met = parts.join(probes, ["n_words", "block", "value"]).filter(F.bit_count(F.col("print").bitwiseXOR(F.col("its"))) <= RADIUS)

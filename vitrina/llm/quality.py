@@ -11,10 +11,11 @@ to texts. Site statistics are aggregates combined before the shuffle; documents
 so a site with a third of all documents is spread over many tasks. The regression is fitted on at most
 ``sample`` labelled rows.
 
-Edge cases: null or empty texts have no evidence of their own but the regression's for empty texts; null
-host or path is a site of its own; without labels of both kinds every document gets the (smoothed) prior;
-repeated labels of a doc_id count as good if any is; repeated rows of documents give a row each; further columns are kept out of
-the result; an empty table gives an empty result.
+Edge cases: null or empty texts have no evidence of their own but the regression's for empty texts; very long
+texts are whole; null host or path is a site of its own; without labels of both kinds every document gets the
+(smoothed) prior; repeated labels of a doc_id count as good if any is; repeated rows of documents give a row
+each, and equal scores are no tie to break; further columns are kept out of the result unless named; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -105,14 +106,15 @@ def strength(groups: DataFrame, prior: float, n: str = "n", good: str = "good",
     return float(np.clip(within / excess - 1, 1.0, 1e4)) if excess > 0 else 1e4
 
 
-def quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", threshold: float = 0.5, sample: int = 20_000) -> DataFrame:
-    """doc_id, evidence, host_share, path_share, score (posterior that the document is good) and kept.
+def quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", threshold: float = 0.5, sample: int = 20_000, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns to keep, evidence, host_share, path_share, score (posterior that the document is good) and kept.
 
     ``host`` and ``path`` name the columns of documents that tell the site and the section of it.
     """
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max((F.col("quality") > 0).cast("int")).alias("y"))
     sites = (F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"))
-    shaped = saved(text_shapes(docs, "doc_id", *sites))
+    own = [F.struct(*keep).alias("own")] if keep else []
+    shaped = saved(text_shapes(docs, "doc_id", *sites, *own))
     seen = saved(shaped.join(known, "doc_id"))
     picked = seen.select("x", "y", "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toPandas()
     total, good = seen.agg(F.count("*"), F.sum("y")).first()
@@ -142,4 +144,4 @@ def quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     host_share = F.coalesce("host_share", F.lit(prior))
     path_share = F.coalesce("path_share", host_share)
     score = 1 / (1 + F.exp(-(F.col("evidence") + F.log(path_share / (1 - path_share)) - base)))
-    return out.withColumn("evidence", evidence).select("doc_id", "evidence", host_share.alias("host_share"), path_share.alias("path_share"), score.alias("score"), (score >= threshold).alias("kept"))
+    return out.withColumn("evidence", evidence).select("doc_id", *[F.col(f"own.`{c}`").alias(c) for c in keep], "evidence", host_share.alias("host_share"), path_share.alias("path_share"), score.alias("score"), (score >= threshold).alias("kept"))

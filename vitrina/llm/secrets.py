@@ -105,10 +105,10 @@ def _ratio(token: Column, table: Column) -> Column:
     return F.aggregate(pairs, F.lit(0.0), lambda s, x: s + x)
 
 
-def secret_spans(docs: DataFrame, table: list[float] | None = None, *keep: str) -> DataFrame:
-    """doc_id, the columns to keep, text, and arrays of (start, end, kind number): base and added."""
+def secret_spans(docs: DataFrame, table: list[float] | None = None) -> DataFrame:
+    """row (a struct of the columns of docs), text (null: empty), and arrays of (start, kind number, end): base and added."""
     table = table if table is not None else train(labelled_samples(docs.sparkSession))
-    rows = docs.select("doc_id", *keep, F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce(docs["text"], F.lit("")).alias("text"))
     t = F.col("text")
     named = F.when(t.rlike(ASSIGN), _spans(t, ASSIGN, 0, True)).otherwise(_none())
     keys = F.when(t.contains("AKIA"), _spans(t, ACCESS, 1)).otherwise(_none())
@@ -121,7 +121,7 @@ def secret_spans(docs: DataFrame, table: list[float] | None = None, *keep: str)
     free = F.filter("s3", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])))
     judged = F.filter(free, lambda s: _ratio(F.substring(t, s["start"] + 1, s["end"] - s["start"]), ratios) >= LEAST_RATIO)
     added = F.when(F.size("s3") > 0, F.transform(judged, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))).otherwise(F.slice("base", 1, 0))
-    return found.select("doc_id", *keep, "text", "base", added.alias("added"))
+    return found.select("row", "text", "base", added.alias("added"))
 
 
 def _listed(spans: Column) -> Column:
@@ -136,13 +136,12 @@ def secrets(docs: DataFrame, table: list[float] | None = None) -> DataFrame:
     def count(kind: int) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
 
-    return found.select("doc_id", *map(count, range(3)), F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.array_sort(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_markov"))
+    return found.select("row.doc_id", *map(count, range(3)), F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.array_sort(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_markov"))
 
 
 def redacted(docs: DataFrame, mark: str = "[secret]", table: list[float] | None = None) -> DataFrame:
     """docs, in its own columns, with every span in text replaced by ``mark``; overlapping spans become one."""
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    found = secret_spans(docs.withColumn("__null", F.col("text").isNull()), table, *others, "__null")
+    found = secret_spans(docs, table)
     spans = F.array_sort(F.concat("base", "added"))
     t = F.col("text")
 
@@ -153,5 +152,5 @@ def redacted(docs: DataFrame, mark: str = "[secret]", table: list[float] | None
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     clean = F.aggregate(spans, start, step, lambda done: F.concat(done["out"], F.substring(t, done["at"] + 1, F.length(t))))
-    text = F.when(F.col("__null"), F.lit(None).cast("string")).when(F.size(spans) > 0, clean).otherwise(t)
-    return found.withColumn("text", text).select(*docs.columns)
+    text = F.when(F.col("row.text").isNull(), F.lit(None).cast("string")).when(F.size(spans) > 0, clean).otherwise(t)
+    return found.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
