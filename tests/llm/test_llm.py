@@ -39,17 +39,59 @@ def test_bpe(spark, docs):
         ids = plain.encode(texts[row.doc_id] or "", add_special_tokens=False).ids
         assert row.n_tokens == len(ids)
         assert row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
-        assert row.decoded_sha256 == hashlib.sha256((texts[row.doc_id] or "").encode()).hexdigest()
-
-
-def test_token_counts(spark):
+        assert row.decoded_sha256 == hashlib.sha256(plain.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    assert chunked_bpe.digests(both.limit(0), path).count() == 0
+    encoded = chunked_bpe.encode(both.withColumn("ids", F.lit(1)), path)
+    assert {r.doc_id: r.text for r in chunked_bpe.decode(encoded, path).collect()} == {i: t or "" for i, t in texts.items()}
+
+
+@pytest.mark.parametrize("bits", [2, 4])
+def test_bpe_joins_are_repaired(docs, bits, monkeypatch):
+    """Chunks of some bytes, cut inside words, white space, special tokens and texts without borders."""
+    monkeypatch.setattr(chunked_bpe, "CHUNK_BITS", bits)
+    held = chunked_bpe.Codec(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [t or "" for t in ODD] + ["x  " * 50 + "<|endoftext|>" * 9 + " y\n\n\n z", "don't can't we'll " * 40, "日本語テキスト" * 60, "  \n" * 80 + "end"] + [r.text for r in docs.limit(60).collect()]
+    import pyarrow as pa
+
+    cut = 0
+    for ids, text in zip(held.texts(pa.array(texts)), texts, strict=True):
+        assert ids.tolist() == held.tokenizer.encode(text, add_special_tokens=False).ids
+    data, offsets = chunked_bpe.A.text_bytes(pa.array(texts))
+    cuts = held.cuts(data, offsets)
+    naive = held.encode([data[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+    cut = sum(map(len, naive)) - sum(map(len, held.texts(pa.array(texts))))
+    assert cut > 100  # so many ids would be wrong without repair
+
+
+def plain_count(word, scores):
+    """Tokens of the best segmentation, by trying every one."""
+    marked, worst = "▁" + word, min(scores.values()) - 10
+    best = [(0.0, 0)]
+    for end in range(1, len(marked) + 1):
+        found = [(best[s][0] + scores[marked[s:end]], best[s][1] + 1) for s in range(end) if marked[s:end] in scores]
+        if marked[end - 1] not in scores:
+            found.append((best[end - 1][0] + worst, best[end - 1][1] + len(marked[end - 1].encode())))
+        best.append(max(found, key=lambda x: x[0]) if found else (-float("inf"), 0))
+    return best[-1][1]
+
+
+def test_token_counts(spark, docs):
     path = public_tokenizers.path("piece_bpe_32k.model")
-    held = unigram_trie.Counter(unigram_trie.piece_scores(path))
-    rows = {r.doc_id: r.n_tokens for r in unigram_trie.token_counts(table(spark, ODD[:8]), path).collect()}
-    assert rows == dict(enumerate(held.texts([t or "" for t in ODD[:8]])[1]))
-    small = unigram_trie.Counter({"▁": -3.0, "a": -2.0, "b": -2.0, "▁a": -2.5, "ab": -2.5, "▁ab": -6.0})
-    small.insert({"ab", "abab", "a", "aé"})
-    assert small.counts == {"ab": 2, "abab": 3, "a": 1, "aé": 3}
+    scores, held = unigram_trie.piece_scores(path), {}
+    both = docs.select("doc_id", "text").unionByName(table(spark, ODD + ODD).select((F.col("doc_id") + 10**6).alias("doc_id"), "text"))
+    texts = dict(both.collect())
+    for r in unigram_trie.token_counts(both, path).collect():
+        words = (texts[r.doc_id] or "").split()
+        for w in set(words) - set(held):
+            held[w] = plain_count(w, {marked: scores[marked] for i in range(len(w) + 1) for j in range(i + 1, min(len(w) + 1, i + 20) + 1) if (marked := ("▁" + w)[i:j]) in scores} | {"": min(scores.values())})
+        assert (r.n_words, r.n_tokens, r.n_chars) == (len(words), sum(held[w] for w in words), len(texts[r.doc_id] or ""))
+    assert unigram_trie.token_counts(both.limit(0), path).count() == 0
+    small = {"▁": -3.0, "a": -2.0, "b": -2.0, "▁a": -2.5, "ab": -2.5, "▁ab": -6.0}
+    trie = unigram_trie.Counter(small)
+    for words in ({"ab", "abab"}, {"a", "aé", "ab"}):
+        trie.insert(words)
+    assert {w: trie.count(w) for w in trie.terminal} == {"ab": 2, "abab": 3, "a": 1, "aé": 3}
+    assert len(trie.best) == 1 + len({"▁", "▁a", "▁ab", "▁aba", "▁abab", "▁aé"})  # a node for each prefix, once
 
 
 def test_near_duplicates(spark, docs):
@@ -145,6 +187,18 @@ def test_toxicity(spark, docs, labels):
     rows = toxicity.toxicity(docs, labels).collect()
     assert len(rows) == docs.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
     assert len(toxicity.toxicity(table(spark, ODD), labels.limit(0)).collect()) == len(ODD)
+    assert toxicity.toxicity(docs.limit(0), labels).count() == 0
+    odd = spark.createDataFrame([(None, "x y"), (7, "one"), (7, "one"), (7, "two")], "doc_id long, text string").withColumn("block", F.lit(1)).withColumn("words", F.lit("x"))
+    assert sorted((r.doc_id or 0, r.held_out) for r in toxicity.toxicity(odd, labels).collect()) == [(0, False)] + [(7, zlib.crc32(b"7") % 3 == 1)] * 3
+
+
+def test_toxicity_held_out_accuracy(spark):
+    """Texts whose labels were not learned from: no false alarm in twenty, and most toxic ones found."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    toxic = {r.doc_id: r.toxic for r in labels.collect()}
+    held = [(toxic[r.doc_id], r.predicted) for r in toxicity.toxicity(docs, labels).filter("held_out").collect() if r.doc_id in toxic]
+    found = [p for t, p in held if t]
+    assert len(found) >= 10 and sum(found) >= 0.6 * len(found) and sum(p for t, p in held if not t) <= 0.05 * len(held)
 
 
 def test_toxicity_counts_every_gram_by_itself(spark, docs, labels):
@@ -159,13 +213,27 @@ def test_toxicity_counts_every_gram_by_itself(spark, docs, labels):
         for g, n in own[c].items():
             total[c][g[:7]] += n
             kinds[c][g[:7]] += 1
-    short, base = Counter(g[3:] for g in every), Counter(g[3:7] for g in every)
+    levels, longer = {}, every
+    for n in (7, 6, 5):
+        count = Counter(g[-n:] for g in longer)
+        in_context, differ = Counter(), Counter()
+        for g, k in count.items():
+            in_context[g[:-1]] += k
+            differ[g[:-1]] += 1
+        levels[n] = (count, in_context, differ)
+        longer = set(count)
+
+    def backoff(g):
+        count, in_context, differ = levels[len(g)]
+        if len(g) == 5:
+            return (count[g] + 0.5) / (in_context[g[:-1]] + 128)
+        return (max(count[g] - 0.75, 0) + 0.75 * differ[g[:-1]] * backoff(g[1:])) / in_context[g[:-1]]
 
     def ratio(g):
         left = [0.75 * kinds[c][g[:7]] / total[c][g[:7]] if total[c][g[:7]] else 1.0 for c in (0, 1)]
         if g not in every:
             return np.log(left[1] / left[0])
-        shared = (short[g[3:]] + 0.5) / (base[g[3:7]] + 128)
+        shared = backoff(g[1:])
         p = [max(own[c][g] - 0.75, 0) / max(total[c][g[:7]], 1) + left[c] * shared for c in (0, 1)]
         return np.log(p[1] / p[0])
 
@@ -173,8 +241,8 @@ def test_toxicity_counts_every_gram_by_itself(spark, docs, labels):
     for r in toxicity.toxicity(docs, labels).collect():
         words = texts[r.doc_id]
         best = sorted((word[w] / np.sqrt(len(w) + 2) for w in words), reverse=True)[:2]
-        assert abs(r.whole - (sum(word[w] for w in words) / sum(len(w) + 2 for w in words) if words else 0)) < 1e-4
-        assert abs(r.worst - ((best[0] + max(best[-1], 0)) / 2 if words else 0)) < 1e-4
+        assert abs(r.whole - (sum(word[w] for w in words) / sum(len(w) + 2 for w in words) if words else 0)) < 5e-3
+        assert abs(r.worst - ((best[0] + max(best[-1], 0)) / 2 if words else 0)) < 2e-2
 
 
 def test_leaks(spark):
@@ -206,10 +274,26 @@ def test_secrets(spark):
         assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
         assert Counter(k for *_, k in base) == {k: n for k, n in (("assign", r.n_assign), ("access", r.n_access), ("hex", r.n_hex)) if n}
         assert r.n_markov == (1 if r.doc_id == 4 else 0)
+        assert r.n_likely == (1 if r.doc_id == 0 else 0)
     clean = {r.doc_id: r.text for r in secrets.redacted(table(spark, texts)).collect()}
     assert clean[0] == 'é [secret]" x' and clean[6] is None and clean[5] == texts[5]
 
 
+def test_secret_models_on_strings_they_have_not_seen(spark):
+    """Hit and false-alarm rates: tokens of a fresh generator against identifiers of other words, in five styles."""
+    rng = np.random.default_rng(11)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    random = ["".join(rng.choice(list(a), n)) for a, n in ((letters, 20), (letters, 32), (letters + "+/", 40), ("0123456789abcdef", 32), (letters[:26] + letters[52:], 24)) for _ in range(200)]
+    other = "shipping receipt vendor refund coupon wallet thread mutex socket kernel driver vertex shader texture sprite camera sensor motor wheel engineer teacher student lesson museum garden kitchen window bridge station ticket journey weather forest mountain river ocean island animal insect flower season winter summer evening morning breakfast dinner recipe butter cheese".split()
+    w = lambda: [str(x) for x in rng.choice(other, 3)]
+    styles = (lambda a, b, c, n: f"{a}_{b}_{c}_{n}", lambda a, b, c, n: f"{a}{b.title()}{c.title()}{n}", lambda a, b, c, n: f"{a.title()}{b.title()}{c.title()}{n}", lambda a, b, c, n: f"{a}-{b}-{c}-{n}", lambda a, b, c, n: f"{a}_{b}_{c}_{n}".upper())
+    plain = [f(*w(), rng.integers(0, 3000)) for f in styles for _ in range(200)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(random + plain)], "doc_id long, text string")
+    models = secrets.train(secrets.labelled_samples(spark))
+    hits = {r.doc_id for r in rows.filter(models.ratio(F.col("text")) >= models.threshold).collect()}
+    assert sum(i < 1000 for i in hits) >= 970 and sum(i >= 1000 for i in hits) <= 20
+
+
 def test_urls(spark):
     pages = [(1, "http://a.example.org/x.html", None), (2, "https://A.example.org/x", '<link rel="canonical" href="http://s.net/fr/1">'), (3, "http://s.net/fr/1", ""), (4, None, None), (5, "nothing", None), (6, "https://www.example.com/en/1", ""), (7, "http://x.example.com/en/1", "")]
     rules = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/fr/")]

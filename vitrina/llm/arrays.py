@@ -173,3 +173,16 @@ def unpack(data: bytes, width: int) -> np.ndarray:
     out = np.zeros((len(raw), 8), np.uint8)
     out[:, :width] = raw
     return out.reshape(-1).view("<u8").astype(U64)
+
+
+def squeeze(values: np.ndarray) -> bytes:
+    """Integers or half floats, byte plane by byte plane, compressed."""
+    kind = values.dtype.newbyteorder("<")
+    planes = np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(-1, kind.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + (pa.compress(planes, "zstd", asbytes=True) if planes else b"")
+
+
+def expand(data: bytes, kind: str) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    planes = pa.decompress(data[8:], size, "zstd", asbytes=True) if size else b""
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)

@@ -1,19 +1,21 @@
 """Byte-level BPE encoding and decoding with reuse of content-defined chunks.
 
 A rolling hash over the bytes cuts a text where its last bits are zero, so equal passages of different
-documents are cut alike. A chunk's inner part is encoded once and kept for all documents that a Python
-worker sees; the seams between inner parts are then repaired by encoding them again, grown until both
-ends agree with the whole text's encoding: the pre-tokeniser never joins a visible character and white
-space that follows it, so a seam that begins and ends at such places is encoded as in the whole text.
-A text without such places is one seam, and encoded whole.
+documents are cut alike. A chunk is encoded once, by itself, and kept for all documents that a Python worker
+sees. A chunk's ids may be wrong next to its ends, where the cut parts what the tokeniser joins. So every join is
+repaired: a window around the cut is encoded again, from a border at its left to one at its right, where a
+border is a place at which a visible ASCII character meets ASCII white space. The pre-tokeniser always parts the
+text there, whatever lies beyond. The window reaches one border further than it replaces, and its first and last
+ids must be those that the chunks have for the same bytes; where they are not, the text's windows reach further, and at
+last are the whole text. So the ids are those of the whole text, exactly.
 
 No shuffle: texts stay where they are read. A dictionary of chunks shared by all executors would move the
 corpus twice (chunks out, ids back) to save less encoding than that costs, so reuse is per worker, in a
 store of bounded size.
 
 Edge cases: a null or empty text has no ids and decodes to the empty text; special tokens in a text are
-found as the tokenizers library does; very long texts are cut like others; every input row gives a row;
-further columns are ignored.
+found as the tokenizers library does; very long texts are cut like others, one without borders is encoded whole;
+equal and repeated rows give a row each; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -54,7 +56,7 @@ class Codec:
         self.bytes_of = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes_of[i] = token.encode() if token in special else bytes(table[c] for c in token)
-        self.special = [t.encode() for t in special]
+        self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
         self.store: dict[bytes, np.ndarray] = {}
         self.held = 0
 
@@ -84,25 +86,14 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
     def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Where the pieces of all texts begin, inner parts and seams in turn, and the end.
-
-        A cut by content moves to the places nearest it at which a visible ASCII character meets ASCII
-        white space: one before it, where the inner part ends, one behind, where the next begins.
-        """
+        """Where chunks begin, and the end: at texts' offsets and where the content says so, on whole characters."""
         n = len(data)
-        space = _SPACE[data]
-        visible = ~space & (data > 32) & (data < 127)
-        safe = np.zeros(n + 1, bool)
-        safe[1:n] = visible[:-1] & space[1:]
-        safe[offsets] = True
-        safe = np.flatnonzero(safe)
         if n < GRAM:
-            return safe[np.isin(safe, offsets)]
+            return np.unique(offsets)
         rolling = A.span_hash(A.prefix_hash(data), np.arange(n - GRAM + 1), np.arange(GRAM, n + 1))
         wanted = np.flatnonzero(rolling & U64((1 << CHUNK_BITS) - 1) == 0) + GRAM // 2
-        before = safe[np.searchsorted(safe, wanted, "right") - 1]
-        behind = safe[np.minimum(np.searchsorted(safe, wanted, "left"), len(safe) - 1)]
-        return np.unique(np.concatenate([before, behind, offsets]))
+        whole = np.flatnonzero((data & 0xC0) != 0x80)
+        return np.unique(np.concatenate([whole[np.minimum(np.searchsorted(whole, wanted), len(whole) - 1)], offsets]))
 
     def texts(self, column: pa.Array) -> list[np.ndarray]:
         """The ids of each whole text."""
@@ -110,10 +101,86 @@ class Codec:
         if not len(data):
             return [np.empty(0, np.uint32)] * len(column)
         cuts, raw = self.cuts(data, offsets), data.tobytes()
-        pieces = [raw[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-        ids = self.encode(pieces)
-        at = np.searchsorted(cuts, offsets).tolist()
-        return [np.concatenate(ids[a:b]) if b > a else np.empty(0, np.uint32) for a, b in zip(at[:-1], at[1:], strict=True)]
+        ids = np.concatenate(self.encode([raw[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]))
+        ends = np.cumsum(self.lengths[ids])  # chunks lie end to end, and so do the bytes of their ids
+        space = _SPACE[data]
+        borders = np.flatnonzero(~space[:-1] & (data[:-1] > 32) & (data[:-1] < 127) & space[1:]) + 1
+        out, open_, reach = _by_text(ids, ends, offsets), cuts[~np.isin(cuts, offsets)], 1
+        while len(open_):
+            windows = _windows(open_, borders, offsets, reach)
+            new = self.encode([raw[a:b] for a, b in zip(windows[0].tolist(), windows[3].tolist(), strict=True)])
+            agree = _agree(windows, new, ids, ends, offsets)
+            owner = np.searchsorted(offsets, windows[0], "right") - 1
+            bad = np.unique(owner[~agree])
+            self._put(out, windows, new, owner, bad, ids, ends, offsets)
+            open_, reach = open_[np.isin(np.searchsorted(offsets, open_, "right") - 1, bad)], 4 * reach
+        return out
+
+    def _put(self, out: list, windows: np.ndarray, new: list, owner: np.ndarray, bad: np.ndarray, ids: np.ndarray, ends: np.ndarray, offsets: np.ndarray) -> None:
+        """Replaces the ids of texts whose windows all agree."""
+        good = np.flatnonzero(~np.isin(owner, bad))
+        if not len(good):
+            return
+        own, first = np.unique(owner[good], return_index=True)
+        a, b = windows[0][good], windows[3][good]
+        before = np.r_[0, b[:-1]]
+        before[first] = offsets[own]
+        start, stop = _count(ends, before).tolist(), _count(ends, a).tolist()
+        rest, last = _count(ends, np.r_[b[first[1:] - 1], b[-1:]]).tolist(), _count(ends, offsets[own + 1]).tolist()
+        for n, (doc, i, j) in enumerate(zip(own.tolist(), first.tolist(), [*first[1:].tolist(), len(good)], strict=True)):
+            parts = []
+            for k in range(i, j):
+                parts += [ids[start[k] : stop[k]], new[good[k]]]
+            out[doc] = np.concatenate([*parts, ids[rest[n] : last[n]]])
+
+
+def _count(ends: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """How many ids end at or before each place."""
+    return np.searchsorted(ends, places, "right")
+
+
+def _by_text(ids: np.ndarray, ends: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    at = _count(ends, offsets)
+    at[0] = 0
+    return [ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
+def _windows(cuts: np.ndarray, borders: np.ndarray, offsets: np.ndarray, reach: int) -> np.ndarray:
+    """Windows around cuts, four rows: where they begin, the next border there, the last border before their end, the end.
+
+    A window has ``reach`` borders more than it needs at either side, or reaches its text's end; those that meet
+    are one.
+    """
+    doc = np.searchsorted(offsets, cuts, "right") - 1
+    low, high = offsets[doc], offsets[doc + 1]
+    padded = np.r_[np.full(reach + 1, -1), borders, np.full(reach + 1, offsets[-1] + 1)]
+    left, right = np.searchsorted(borders, cuts) + reach, np.searchsorted(borders, cuts, "right") + reach + 1
+    a, b = np.maximum(padded[left - reach], low), np.minimum(padded[right + reach], high)
+    inner, outer = np.maximum(padded[left - reach + 1], low), np.minimum(padded[right + reach - 1], high)
+    apart = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (a[1:] > outer[:-1])])
+    last = np.r_[apart[1:] - 1, len(cuts) - 1]
+    return np.stack([a[apart], inner[apart], outer[last], b[last]])
+
+
+def _agree(windows: np.ndarray, new: list[np.ndarray], ids: np.ndarray, ends: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether each window's first ids, up to the next border, and its last are those that chunks have for these bytes."""
+    sizes = np.array([len(x) for x in new])
+    flat, at = np.concatenate(new), np.cumsum(sizes) - sizes
+    doc = np.searchsorted(offsets, windows[0], "right") - 1
+    good = np.ones(len(new), bool)
+    for begin, end, free, back in ((windows[0], windows[1], windows[0] == offsets[doc], False), (windows[2], windows[3], windows[3] == offsets[doc + 1], True)):
+        i, j = _count(ends, begin), _count(ends, end)
+        whole = ((i == 0) | (ends[i - 1] == begin)) & (j > 0) & (ends[np.maximum(j, 1) - 1] == end)
+        n = np.where(free | ~whole, 0, j - i)
+        fits = n <= sizes
+        n = np.where(fits, n, 0)
+        which = np.repeat(np.arange(len(new)), n)
+        step = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+        its = flat[at[which] + step + (sizes[which] - n[which] if back else 0)]
+        wrong = np.unique(which[ids[i[which] + step] != its])
+        good &= free | (whole & fits)
+        good[wrong] = False
+    return good
 
 
 def _byte_of_character() -> dict[str, int]:

@@ -2,27 +2,29 @@
 
 Two models of the bytes of lower-cased words, one of toxic and one of ordinary labelled texts, each with
 contexts of ORDER - 1 bytes. What a class has not seen it takes, as Kneser-Ney does, from counts of
-distinct contexts of the shorter gram, which both classes share; so a rare expression gets the same
-backoff probability from both, weighed by how sure each class is of its context. A text's evidence is the
-difference of the two log-likelihoods, normalised by length over the whole text and over its worst words.
-A logistic curve maps both to a score; it is fitted on labelled texts that the models used for it have not
+distinct contexts of the shorter gram, level by level down to BACKOFF bytes, which both classes share; so a rare
+expression gets the same backoff probability from both, weighed by how sure each class is of its context. A text's
+evidence is the difference of the two log-likelihoods, normalised by length over the whole text and over its worst
+words. A logistic curve maps both to a score; it is fitted on labelled texts that the models used for it have not
 seen (two folds), on at most ``sample`` of them. The models themselves count all labelled training texts.
 
 Scale: a gram is its eight bytes as a 64-bit integer, so grams never share counts, and the models grow with
-the corpus. Texts are read once, in blocks that each keep their distinct words and for each text the
-numbers of its words. Counts are of distinct words by class; words are dealt out gram by gram, by the four
-bytes before the last, which all that a gram's ratio needs has in common; so each part of the models is
-counted and used where it lies, and no model is ever gathered. What returns is a number a word, which each
-block gets for its own words.
-
-Edge cases: a null or empty text has no evidence and the score of the fitted prior; without toxic or
-without ordinary training texts the score is the prior share for all; repeated labels of a doc_id count as
-toxic if one is; labels without a document and null labels are ignored; every row of documents gives a
-row; further columns are ignored.
+the corpus. Texts are read once, in blocks that keep their distinct words and for each text the numbers of its
+words. A block sends its distinct grams, with their counts in texts of each kind, to the parts of the models: grams
+are dealt by the four bytes before the last, which all that a gram's ratio needs has in common, so each part is counted
+and used where it lies, and no model is ever gathered. What returns is a block's ratios, in the order of its
+grams, in half precision. All that is sent is packed in byte planes and compressed.
+
+Edge cases: a null or empty text has no evidence and the score of the fitted prior; very long texts are a block of
+their own; without toxic or without ordinary training texts the score is the prior share for all; repeated labels of a
+doc_id count as toxic if one is; labels without a document and null labels are ignored; a row without doc_id is not held
+out; every row of documents, repeated or not, gives a row; equal scores are no tie to break; an empty table gives an empty
+result; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,20 +33,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.llm import arrays as A
-from vitrina.llm.tables import saved, shuffle_partitions, texts
+from vitrina.llm.tables import saved, texts
 
 U64 = np.uint64
 ORDER, BACKOFF = 8, 5
 DISCOUNT = 0.75
-#: Bytes of text in a block, and words of the vocabulary in a chunk.
-BLOCK, CHUNK = 4 << 20, 10_000
+#: Bytes of text in a block, and blocks to a part of the models.
+BLOCK, BLOCKS_A_PART = 16 << 20, 2
 #: Kinds of labelled texts (2 * fold + toxic) that are toxic and ordinary, for the model of all and for those of texts of fold 0 and 1.
 MODELS = (({1, 3}, {0, 2}), ({3}, {2}), ({1}, {0}))
 SCORE_AT = 0.7
 
 
 def held_out() -> F.Column:
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
 def fold() -> F.Column:
@@ -52,7 +54,7 @@ def fold() -> F.Column:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row a block: doc_ids, distinct words and their lengths, and of each text its distinct words and their counts."""
+    """A row a block: doc_ids, distinct words, and of each text how many it has, their numbers and their counts."""
     for batch in A.slices(batches, limit=BLOCK):
         data, offsets = A.text_bytes(batch.column("text"), lower=True)
         starts, ends, at = A.words(data, offsets)
@@ -60,49 +62,66 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(-n, kind="stable")  # frequent words get small numbers, which pack well
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        first = first[order]
-        lengths = ends[first] - starts[first]
-        ends_out = np.r_[0, np.cumsum(lengths)]
-        spelled = data[np.repeat(starts[first] - ends_out[:-1], lengths) + np.arange(ends_out[-1])]
-        words = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends_out.astype("<i4")), pa.py_buffer(spelled)])
+        raw = data.tobytes()
+        words = b"\n".join([raw[a:b] for a, b in zip(starts[first[order]].tolist(), ends[first[order]].tolist(), strict=True)])
         pairs, times = np.unique((np.repeat(np.arange(batch.num_rows), np.diff(at)) << 32) | rank[word], return_counts=True)
-        row = {
-            "ids": pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("doc_id").cast(pa.int64())),
-            "words": pa.ListArray.from_arrays(pa.array([0, len(first)], pa.int32()), words),
-            "lengths": pa.array([lengths.astype("<u4").tobytes()], pa.binary()),
-            "at": pa.array([np.searchsorted(pairs >> 32, np.arange(batch.num_rows + 1)).astype("<u4").tobytes()], pa.binary()),
-            "word": pa.array([(pairs & 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary()),
-            "times": pa.array([times.astype("<u4").tobytes()], pa.binary()),
-        }
-        yield pa.record_batch(row)
-
-
-def _numbers(value: bytes, kind: str = "<u4") -> np.ndarray:
-    out = np.frombuffer(value, kind)
-    return out.astype(np.int64) if kind == "<u4" else out
-
-
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each word of a block, with its number there and its counts in texts of each kind."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = {k: batch.column(k)[i] for k in batch.schema.names}
-            words, at, word, times = row["words"].values, _numbers(row["at"].as_py()), _numbers(row["word"].as_py()), _numbers(row["times"].as_py())
-            kinds = np.full(len(at) - 1, -1)
-            marks = np.array(row["marks"].as_py() or [], np.int64)
-            kinds[marks >> 2] = marks & 3
-            kind = np.repeat(kinds, np.diff(at))
-            counts = {f"n{k}": pa.array(np.bincount(word[kind == k], weights=times[kind == k], minlength=len(words)).astype(np.int64)) for k in range(4)}
-            yield pa.record_batch({"block": pa.array([row["block"].as_py()] * len(words), pa.int64()), "pos": pa.array(np.arange(len(words)), pa.int32()), "spelled": words} | counts)
-    A.give_back()
-
-
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, CHUNK):
-            own = batch.slice(at, CHUNK)
-            row = {"words": pa.array([own.column("spelled").to_pylist()], pa.list_(pa.binary()))}
-            yield pa.record_batch(row | {f"n{k}": pa.array([own.column(f"n{k}").to_numpy().astype("<f8").tobytes()], pa.binary()) for k in range(4)})
+        size = np.diff(np.searchsorted(pairs, np.arange(batch.num_rows + 1) << 32))
+        number = pairs & 0xFFFFFFFF
+        step = np.diff(number, prepend=0)
+        begin = np.r_[0, np.cumsum(size)[:-1]][size > 0]
+        step[begin] = number[begin]
+        row = {"ids": pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("doc_id").cast(pa.int64()))}
+        packed = {"words": A.squeeze(np.frombuffer(words, np.uint8)), "size": A.squeeze(size.astype("<u4")), "step": A.squeeze(step.astype("<u4")), "times": A.squeeze(times.astype("<u4"))}
+        yield pa.record_batch(row | {k: pa.array([x], pa.binary()) for k, x in packed.items()})
+
+
+class _Block:
+    """What a row of _blocks holds."""
+
+    def __init__(self, row: dict):
+        words = A.expand(row["words"].as_py(), "<u1").tobytes()
+        self.words = words.split(b"\n") if words else []
+        self.size, step, self.times = (A.expand(row[k].as_py(), "<u4").astype(np.int64) for k in ("size", "step", "times"))
+        before = np.cumsum(step)
+        begin = np.r_[0, np.cumsum(self.size)]
+        base = np.r_[0, before][begin[:-1]]
+        self.word = before - np.repeat(base, self.size)
+
+    def sorted_grams(self, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct grams by part and value, where parts begin in them, and of each gram in the words its place there and its word."""
+        gram, owner = grams(self.words)
+        seen, place = np.unique(gram, return_inverse=True)
+        part = (A.mix(_context(seen, BACKOFF)) % U64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return seen[order], np.searchsorted(part[order], np.arange(parts + 1)), back[place], owner
+
+
+def _asks(parts: int):
+    """A row for each part that a block has grams of: the grams and their counts in texts of each kind."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {k: batch.column(k)[i] for k in batch.schema.names}
+                held = _Block(row)
+                gram, cuts, place, owner = held.sorted_grams(parts)
+                kinds = np.full(len(held.size), -1)
+                marks = np.array(row["marks"].as_py() or [], np.int64)
+                kinds[marks >> 2] = marks & 3
+                kind = np.repeat(kinds, held.size)
+                counts = []
+                for k in range(4):
+                    n = np.bincount(held.word[kind == k], weights=held.times[kind == k], minlength=len(held.words))
+                    counts.append(np.bincount(place, weights=n[owner], minlength=len(gram)).astype("<u8"))
+                some = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
+                out = {"part": pa.array(some, pa.int32()), "block": pa.array([row["block"].as_py()] * len(some), pa.int64())}
+                out["gram"] = pa.array([A.squeeze(np.diff(gram[cuts[p] : cuts[p + 1]], prepend=U64(0))) for p in some], pa.binary())
+                yield pa.record_batch(out | {f"n{k}": pa.array([A.squeeze(counts[k][cuts[p] : cuts[p + 1]]) for p in some], pa.binary()) for k in range(4)})
+        A.give_back()
+
+    return run
 
 
 def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -119,9 +138,33 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out, np.repeat(np.arange(len(words)), lengths)
 
 
-def _shape(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of grams their context, their shorter gram and that one's context."""
-    return gram >> U64(8), gram & U64((1 << 8 * BACKOFF) - 1), (gram >> U64(8)) & U64((1 << 8 * (BACKOFF - 1)) - 1)
+def _short(gram: np.ndarray, n: int) -> np.ndarray:
+    """The last n bytes of each gram."""
+    return gram & U64((1 << 8 * n) - 1)
+
+
+def _context(gram: np.ndarray, n: int) -> np.ndarray:
+    """The n - 1 bytes before each gram's last."""
+    return (gram >> U64(8)) & U64((1 << 8 * (n - 1)) - 1)
+
+
+def shared_backoff(seen: np.ndarray) -> np.ndarray:
+    """Of distinct grams the probability of the last byte that both classes back off to.
+
+    At each level from ORDER - 1 bytes down, a shorter gram counts as often as distinct longer ones end in it.
+    """
+    levels, longer = [], seen
+    for n in range(ORDER - 1, BACKOFF - 1, -1):
+        short, which, count = np.unique(_short(longer, n), return_inverse=True, return_counts=True)
+        _, context, differ = np.unique(_context(short, n), return_inverse=True, return_counts=True)
+        levels.append((which, count, np.bincount(context, weights=count)[context], differ[context]))
+        longer = short
+    which, count, total, _ = levels.pop()
+    p = ((count + 0.5) / (total + 128.0))[which]
+    while levels:
+        which, count, total, differ = levels.pop()
+        p = ((np.maximum(count - DISCOUNT, 0) + DISCOUNT * differ * p) / total)[which]
+    return p
 
 
 def ratios(gram: np.ndarray, counts: list[np.ndarray]) -> np.ndarray:
@@ -132,14 +175,13 @@ def ratios(gram: np.ndarray, counts: list[np.ndarray]) -> np.ndarray:
     """
     known = np.flatnonzero(np.sum(counts, axis=0) > 0)
     seen, which = np.unique(gram[known], return_inverse=True)
-    own = [np.bincount(which, weights=n[known], minlength=len(seen)) for n in counts]
-    contexts, context = np.unique(_shape(seen)[0], return_inverse=True)
-    shorts, bases = (np.unique(x, return_inverse=True, return_counts=True)[1:] for x in _shape(seen)[1:])
-    shared = (shorts[1][shorts[0]] + 0.5) / (bases[1][bases[0]] + 128.0)  # distinct longer grams that end in this one
     out = np.zeros((len(MODELS), len(gram)))
     if not len(seen):
         return out
-    at, c = np.minimum(np.searchsorted(seen, gram), len(seen) - 1), _shape(gram)[0]
+    own = [np.bincount(which, weights=n[known], minlength=len(seen)) for n in counts]
+    contexts, context = np.unique(_context(seen, ORDER), return_inverse=True)
+    shared = shared_backoff(seen)
+    at, c = np.minimum(np.searchsorted(seen, gram), len(seen) - 1), _context(gram, ORDER)
     hit, c_at = seen[at] == gram, np.minimum(np.searchsorted(contexts, c), len(contexts) - 1)
     c_hit = contexts[c_at] == c
     for m, sides in enumerate(MODELS):
@@ -154,73 +196,56 @@ def ratios(gram: np.ndarray, counts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _dealt(parts: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                gram, word = grams(batch.column("words")[i].as_py())
-                part = (A.mix(_shape(gram)[2]) % U64(parts)).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                cuts = np.searchsorted(part[order], np.arange(parts + 1))
-                own = [order[cuts[p] : cuts[p + 1]] for p in range(parts)]
-                some = [p for p in range(parts) if len(own[p])]
-                row = {"part": pa.array(some, pa.int32()), "chunk": pa.array([batch.column("chunk")[i].as_py()] * len(some), pa.int64())}
-                row |= {k: pa.array([x[own[p]].tobytes() for p in some], pa.binary()) for k, x in (("gram", gram.astype("<u8")), ("word", word.astype("<u4")))}
-                for k in range(4):
-                    n = np.frombuffer(batch.column(f"n{k}")[i].as_py(), "<f8")
-                    row[f"n{k}"] = pa.array([n[word[own[p]]].tobytes() for p in some], pa.binary())
-                yield pa.record_batch(row)
-
-    return run
-
-
 def _part(table: pa.Table) -> pa.Table:
-    """Sums of the ratios of the words' grams that lie in one part, by chunk."""
-    joined = {k: _numbers(b"".join(table.column(k).to_pylist()), kind) for k, kind in (("gram", "<u8"), ("word", "<u4"), *((f"n{k}", "<f8") for k in range(4)))}
-    found = ratios(joined["gram"], [joined[f"n{k}"] for k in range(4)])
-    ends = np.cumsum([len(x) // 4 for x in table.column("word").to_pylist()])
-    rows: list = [[] for _ in range(1 + len(MODELS))]
-    for end, begin in zip(ends, np.r_[0, ends[:-1]], strict=True):
-        words, which = np.unique(joined["word"][begin:end], return_inverse=True)
-        rows[0].append(words.astype("<u4").tobytes())
-        for m in range(len(MODELS)):
-            rows[1 + m].append(np.bincount(which, weights=found[m, begin:end]).astype("<f4").tobytes())
-    return pa.table({"chunk": table.column("chunk")} | {k: pa.array(x, pa.binary()) for k, x in zip(("word", "r0", "r1", "r2"), rows, strict=True)})
-
-
-def _summed(chunk: pa.Table, parts: pa.Table) -> pa.Table:
-    """The words of a chunk, each with the sum of its grams' ratios."""
-    words = chunk.column("words").combine_chunks().values
-    word = _numbers(b"".join(parts.column("word").to_pylist()))
-    sums = {f"r{m}": pa.array(np.bincount(word, weights=np.frombuffer(b"".join(parts.column(f"r{m}").to_pylist()), "<f4"), minlength=len(words)).astype(np.float32)) for m in range(len(MODELS))}
-    return pa.table({"spelled": words} | sums)
+    """The ratios of each block's grams that lie in one part."""
+    gram = [np.cumsum(A.expand(x, "<u8"), dtype=U64) for x in table.column("gram").to_pylist()]
+    counts = [np.concatenate([A.expand(x, "<u8") for x in table.column(f"n{k}").to_pylist()]).astype(float) for k in range(4)]
+    found = ratios(np.concatenate(gram), counts).astype("<f2")
+    ends = np.cumsum([len(g) for g in gram])
+    packed = [A.squeeze(found[:, a:b].ravel()) for a, b in zip(np.r_[0, ends[:-1]], ends, strict=True)]
+    return pa.table({"block": table.column("block"), "part": table.column("part"), "ratio": pa.array(packed, pa.binary())})
 
 
 def evidence(ratio: np.ndarray, lengths: np.ndarray, at: np.ndarray, word: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """Two numbers a text: its mean ratio a byte, and the mean of its two words with the greatest ratio."""
+    """Two numbers a text, from the ratios, numbers and counts of its words: its mean ratio a byte, and the mean of its two words with the greatest ratio."""
     out = np.zeros((len(at) - 1, 2))
     full = np.flatnonzero(np.diff(at))
     if not len(full):
         return out
     first, length = at[:-1][full], lengths[word] + 2
-    out[full, 0] = np.add.reduceat(ratio[word] * times, first) / np.add.reduceat(length * times, first)
-    each = ratio[word] / np.sqrt(length)
+    out[full, 0] = np.add.reduceat(ratio * times, first) / np.add.reduceat(length * times, first)
+    each = ratio / np.sqrt(length)
     order = np.lexsort((-each, np.repeat(np.arange(len(at) - 1), np.diff(at))))
     second = np.where(times[order][first] > 1, first, np.minimum(first + 1, at[1:][full] - 1))
     out[full, 1] = (each[order][first] + np.maximum(each[order][second], 0)) / 2
     return out
 
 
-def _judged(block: pa.Table, values: pa.Table) -> pa.Table:
-    """The evidence of each text of a block, by each of MODELS."""
-    held = {k: _numbers(block.column(k)[0].as_py()) for k in ("lengths", "at", "word", "times")}
-    out = {"doc_id": block.column("ids").combine_chunks().values}
-    for m in range(len(MODELS)):
-        ratio = np.zeros(len(held["lengths"]))
-        ratio[values.column("pos").to_numpy()] = values.column(f"r{m}").to_numpy()
-        x = evidence(ratio, **held)
-        out |= {f"whole{m}": pa.array(x[:, 0]), f"worst{m}": pa.array(x[:, 1])}
-    return pa.table(out)
+def _judged(parts: int):
+    """The evidence of each text of a block: by the models of all, and by those that have not seen texts of its fold."""
+
+    def run(key: tuple, block: pa.Table, answers: pa.Table) -> pa.Table:
+        held = _Block({k: block.column(k)[0] for k in ("words", "size", "step", "times")})
+        gram, _, place, owner = held.sorted_grams(parts)
+        answers = answers.sort_by("part")
+        got = [A.expand(x, "<f2").reshape(len(MODELS), -1) for x in answers.column("ratio").to_pylist()]
+        ratio = np.concatenate(got, axis=1).astype(float) if got else np.zeros((len(MODELS), 0))
+        if ratio.shape[1] != len(gram):
+            raise ValueError("a block's ratios are not those of its grams")
+        word = [np.bincount(owner, weights=r[place], minlength=len(held.words)) for r in ratio]
+        lengths = np.array([len(w) for w in held.words], np.int64)
+        ids = block.column("ids").combine_chunks().values
+        folds = np.array([zlib.crc32(str(i).encode()) % 3 // 2 if i is not None else 0 for i in ids.to_pylist()], np.int64)
+        at = np.r_[0, np.cumsum(held.size)]
+        each = word[0][held.word]
+        crossed = np.stack(word[1:])[np.repeat(folds, held.size), held.word]
+        out = {"doc_id": ids}
+        for m, r in enumerate((each, crossed)):
+            x = evidence(r, lengths, at, held.word, held.times)
+            out |= {f"whole{m}": pa.array(x[:, 0]), f"worst{m}": pa.array(x[:, 1])}
+        return pa.table(out)
+
+    return run
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
@@ -236,36 +261,29 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50
     return w
 
 
-def _evidence(docs: DataFrame, known: DataFrame) -> tuple[DataFrame, set[int]]:
-    """doc_id and evidence of every row of docs by each of MODELS, and the kinds that have words to learn from."""
-    counts = [f"n{k}" for k in range(4)]
-    blocks = saved(texts(docs).mapInArrow(_blocks, "ids array<long>, words array<binary>, lengths binary, at binary, word binary, times binary").withColumn("block", F.monotonically_increasing_id()))
+def _evidence(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """doc_id and evidence of every row of docs."""
+    blocks = saved(texts(docs).mapInArrow(_blocks, "ids array<long>, words binary, size binary, step binary, times binary").withColumn("block", F.monotonically_increasing_id()))
+    parts = max(12, blocks.select("block").count() // BLOCKS_A_PART)
     rows = blocks.select("block", F.posexplode("ids").alias("row", "doc_id")).filter(~held_out())
     marks = rows.join(known.filter(~held_out()).hint("merge"), "doc_id").select("block", (4 * F.col("row").cast("long") + 2 * fold() + F.col("toxic")).alias("mark"))
-    marked = blocks.select("block", "words", "at", "word", "times").join(marks.groupBy("block").agg(F.collect_list("mark").alias("marks")).hint("merge"), "block", "left")
-    found = saved(marked.mapInArrow(_word_counts, "block long, pos int, spelled binary, n0 long, n1 long, n2 long, n3 long"))
-    totals = found.agg(*[F.sum(n).alias(n) for n in counts]).first()
-    vocabulary = found.groupBy("spelled").agg(*[F.sum(n).alias(n) for n in counts])
-    chunks = saved(vocabulary.mapInArrow(_chunks, "words array<binary>, n0 binary, n1 binary, n2 binary, n3 binary").withColumn("chunk", F.monotonically_increasing_id()))
-    dealt = chunks.mapInArrow(_dealt(max(16, 2 * shuffle_partitions(docs.sparkSession))), "part int, chunk long, gram binary, word binary, n0 binary, n1 binary, n2 binary, n3 binary")
-    sums = dealt.groupBy("part").applyInArrow(_part, "chunk long, word binary, r0 binary, r1 binary, r2 binary")
-    words = chunks.select("chunk", "words").groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInArrow(_summed, "spelled binary, r0 float, r1 float, r2 float")
-    values = found.select("block", "pos", "spelled").join(words.hint("merge"), "spelled").select("block", "pos", "r0", "r1", "r2")
-    own = blocks.select("block", "ids", "lengths", "at", "word", "times").groupBy("block")
-    schema = "doc_id long, " + ", ".join(f"whole{m} double, worst{m} double" for m in range(len(MODELS)))
-    return saved(own.cogroup(values.groupBy("block")).applyInArrow(_judged, schema)), {k for k in range(4) if totals[f"n{k}"]}
+    marked = blocks.drop("ids").join(marks.groupBy("block").agg(F.collect_list("mark").alias("marks")).hint("merge"), "block", "left")
+    asks = marked.mapInArrow(_asks(parts), "part int, block long, gram binary, n0 binary, n1 binary, n2 binary, n3 binary")
+    answers = asks.groupBy("part").applyInArrow(_part, "block long, part int, ratio binary")
+    schema = "doc_id long, " + ", ".join(f"whole{m} double, worst{m} double" for m in range(2))
+    return saved(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_judged(parts), schema))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> DataFrame:
     """doc_id, held_out, score (0 to 1) and predicted (score >= 0.7) of each whole text, and its evidence."""
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-    found, kinds = _evidence(docs, known)
-    share = known.filter(~held_out()).agg(F.avg("toxic")).first()[0]
-    prior = float(np.clip(0.5 if share is None else share, 1e-3, 1 - 1e-3))
+    found = _evidence(docs, known)
+    total, toxic = known.filter(~held_out()).agg(F.count("*"), F.sum("toxic")).first()
+    prior = float(np.clip(toxic / total if total else 0.5, 1e-3, 1 - 1e-3))
     weights = np.array([0.0, 0.0, np.log(prior / (1 - prior))])
-    if {0, 1} <= {k % 2 for k in kinds}:
-        crossed = [F.when(fold() == 0, F.col(f"{x}1")).otherwise(F.col(f"{x}2")).alias(x) for x in ("whole", "worst")]
-        seen = found.filter(~held_out()).select("doc_id", *crossed).join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toPandas()
+    crossed = found.filter(~held_out()).select("doc_id", F.col("whole1").alias("whole"), F.col("worst1").alias("worst"))
+    seen = crossed.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toPandas()
+    if seen["toxic"].nunique() == 2:
         weights = logistic(seen[["whole", "worst"]].to_numpy(), seen["toxic"].to_numpy())
     whole, worst = F.col("whole0"), F.col("worst0")
     z = F.lit(float(weights[0])) * whole + F.lit(float(weights[1])) * worst + F.lit(float(weights[2]))
