@@ -1,13 +1,23 @@
+import json
+import sys
+import unicodedata
+import zipfile
+from xml.etree import ElementTree
+
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from vitrina import __main__ as cli
-from vitrina.functions import images
-from vitrina.plans import catalog_queries
-from vitrina.sources import cache, ledger, providers
+from vitrina.functions import images, names
+from vitrina.operators import ladder, selection
+from vitrina.plans import catalog_queries, enrich
+from vitrina.sources import cache, excel, http, ledger, providers
 from vitrina.streaming import ledger as stream_ledger
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers cannot import the stand-ins below
+
 
 def test_attempts_back_off_and_other_errors_fail_at_once():
     waits = []
@@ -52,6 +62,19 @@ def test_ledger_appends_and_streams(spark):
     assert [r.n for r in stream_ledger.run_available(stream_ledger.daily_calls(stream_ledger.follow(spark, path))).collect()] == [3]
 
 
+def test_read_through_takes_all_of_one_place(spark):
+    rows = spark.createDataFrame([(1, f"k{i}") for i in range(6)], "row_id long, k string")
+    fails = lambda t: t.withColumn("ok", ~F.col("k").isin("k0", "k1", "k3")).withColumn("value", F.col("k")).withColumn("error", F.lit("no"))
+    got = cache.read_through(rows, ["k"], cache.scratch_path(spark), fails, cap=2)
+    assert {(r.k, r.ok) for r in got.collect()} == {("k0", False), ("k1", False), ("k2", True), ("k3", False), ("k4", True)}
+
+
+def test_strip_accents_is_full_decomposition(spark):
+    texts = ["Çà et là", "ﬁ ½ ² ℌ", "ñandú\u0301", "한글 か\u3099", "ΐ Ǆ Å", "ß ø Ł", "a\u034fb", "\u00a0x\u00aa", "", None]
+    got = [r.p for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", names.strip_accents("t").alias("p")).orderBy("i").collect()]
+    assert got == [None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)) for t in texts]
+
+
 def test_image_scores(spark):
     white, half = np.full((40, 60, 3), 255, np.uint8), np.zeros((40, 60, 3), np.uint8)
     half[:, 30:] = 255
@@ -66,12 +89,24 @@ def test_image_scores(spark):
 def test_perceptual_hash_survives_noise_and_size():
     rng = np.random.default_rng(1)
     coarse, other = (np.kron(rng.integers(0, 256, (8, 8, 1)), np.ones((8, 8, 3))) for _ in range(2))
-    apart = lambda x, y: ((images.perceptual_hash(x) ^ images.perceptual_hash(y)) & (2**64 - 1)).bit_count()
+    one = lambda x: images.perceptual_hashes(np.asarray(x)[None])[0]
+    apart = lambda x, y: ((one(x) ^ one(y)) & (2**64 - 1)).bit_count()
     assert apart(coarse, np.clip(coarse + rng.integers(-4, 5, coarse.shape), 0, 255)) <= 4
     assert apart(coarse, np.kron(coarse, np.ones((2, 2, 1)))) <= 4
     assert apart(coarse, other) > 10
 
 
+@pytest.mark.parametrize(("h", "w"), [(1, 1), (2, 2), (2, 5), (3, 1), (40, 61)])
+def test_border_weights_count_samples(h, w):
+    want = np.zeros((h, w), int)
+    for y in (0, h // 2, h - 1):
+        for x in (0, w // 2, w - 1):
+            want[y, x] += y in (0, h - 1) or x in (0, w - 1)
+    assert (images.ends_and_middles(h, w) == want).all()
+    band = sum((np.pad(np.ones(s), p) for s, p in ((((min(3, h), w)), ((0, max(h - 3, 0)), (0, 0))), (((min(3, h), w)), ((max(h - 3, 0), 0), (0, 0))), (((h, min(3, w))), ((0, 0), (0, max(w - 3, 0)))), (((h, min(3, w))), ((0, 0), (max(w - 3, 0), 0))))), np.zeros((h, w)))
+    assert (images.border(h, w) == band).all()
+
+
 def test_ladder_stops_where_resolved(spark):
     log = catalog_queries.fallback_ladder(spark, "/root/testdata/sf0.001").collect()
     by_ref = {}
@@ -85,11 +120,131 @@ def test_ladder_stops_where_resolved(spark):
     assert len(by_ref) == 200 and {r.outcome for r in log} >= {"resuelto", "sigue_pendiente", "prefiltro_vacio"}
 
 
-def test_command_line(spark, tmp_path):
-    (tmp_path / "in.csv").write_text("Ref Proveedor,Marca,Nombre\n7,MOTRIO,aceite 10w30 1LX12UND\n,x,y\n")
-    spark.createDataFrame([("7", '{"items": [{"link": "http://a/1", "image": {"width": 500, "height": 500}}]}')], "ref string, response string").write.parquet(f"{tmp_path}/answers")
-    assert cli.main(["--input", f"{tmp_path}/in.csv", "--output-dir", f"{tmp_path}/out", "--responses", f"{tmp_path}/answers"]) == 0
-    assert [(r.ref, r.categoria) for r in spark.read.parquet(f"{tmp_path}/out/catalog").collect()] == [("7", "lubricantes")]
-    assert spark.read.parquet(f"{tmp_path}/out/candidates").count() == 1
+def test_excel_round_trip(spark, tmp_path):
+    rows = [(0, "A<1>", "x & y", None), (1, "007", "line\nbreak", "ñ"), (2, "b\x00c", "", "z")]
+    df = spark.createDataFrame(rows, "row_id long, ref string, a string, b string")
+    png = b"\x89PNG\r\n\x1a\n\x00\x00\x00\rIHDR" + (240).to_bytes(4, "big") + (120).to_bytes(4, "big") + b"rest"
+    path = f"{tmp_path}/t.xlsx"
+    assert excel.write_excel(df, path, "row_id", {"007": png}) == 3
+    got = excel.read_excel(spark, path).orderBy("row_id").collect()
+    assert [(r.row_id, r.ref, r.a, r.b) for r in got] == [(0, "A<1>", "x & y", None), (1, "007", "line\nbreak", "ñ"), (2, "bc", "", "z")]
+    with zipfile.ZipFile(path) as book:
+        assert book.read("xl/media/image1.png") == png and b"<xdr:row>2</xdr:row>" in book.read("xl/drawings/drawing1.xml")
+        assert all(ElementTree.fromstring(book.read(n)) is not None for n in book.namelist() if n.endswith((".xml", ".rels")))
+    shared = f"{tmp_path}/s.xlsx"
+    with zipfile.ZipFile(shared, "w") as book:
+        book.writestr("xl/sharedStrings.xml", '<sst xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><si><t> Ref </t></si><si><r><t>a</t></r><r><t>b</t></r></si></sst>')
+        book.writestr("xl/worksheets/sheet1.xml", '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c><c r="C1" t="str"><v>n</v></c></row><row r="2"><c r="A2" t="s"><v>1</v></c><c r="C2"><v>12.0</v></c></row></sheetData></worksheet>')
+    assert [(r.Ref, r.n) for r in excel.read_excel(spark, shared).collect()] == [("ab", "12")]
+
+
+class Web:
+    """Stands in for the network: statuses by (method, link)."""
+
+    def __init__(self, **statuses):
+        self.statuses, self.asked = statuses, []
+
+    def __call__(self, url, timeout, headers=None, method="GET", limit=-1):
+        self.asked.append((method, url))
+        got = self.statuses.get(f"{method} {url}", self.statuses.get(url, 404))
+        if isinstance(got, Exception):
+            raise got
+        return got if isinstance(got, http.Answer) else http.Answer(got, b"x")
+
+
+def test_reachable_and_search_statuses():
+    web = Web(**{"HEAD a": 200, "HEAD b": 403, "GET b": 206, "HEAD c": 405, "GET c": 500, "HEAD d": 404, "HEAD e": OSError("no"), "HEAD f": ValueError("bad")})
+    assert [http.Images(web).reachable(u) for u in "abcdef"] == [True, True, False, False, False, False]
+    for status, error in ((500, providers.Retry), (503, providers.Retry), (429, RuntimeError), (403, RuntimeError), (400, RuntimeError)):
+        client = http.ImageSearch("k", "e", open_url=lambda url, timeout, status=status: http.Answer(status, b"why"))
+        with pytest.raises(error):
+            client.fetch({"query": "q", "params": {"num": "10"}})
+    seen = []
+    client = http.ImageSearch("k", "e", open_url=lambda url, timeout: seen.append(url) or http.Answer(200, b"{}"))
+    assert client.fetch({"query": "a b", "params": [("num", "10")]}) == "{}" and "q=a+b" in seen[0] and "num=10" in seen[0]
+    with pytest.raises(RuntimeError):
+        http.ImageSearch("", "")
+
+
+def test_reached_stops_at_the_kth(spark):
+    rows = spark.createDataFrame([("r", i, f"l{i}") for i in range(1, 7)] + [("s", 1, "l2")], "ref string, rank int, link string")
+    got = http.reached(rows, 2, client=lambda: http.Images(Web(**{"HEAD l1": 404, "HEAD l2": 200, "HEAD l3": 200, "HEAD l4": 200})))
+    assert {(r.ref, r.rank): r.alive for r in got.collect()} == {("r", 1): False, ("r", 2): True, ("r", 3): True, ("r", 4): None, ("r", 5): None, ("r", 6): None, ("s", 1): True}
+
+
+def test_select_images_numbers_what_can_be_shown(spark):
+    rows = spark.createDataFrame([(i, r) for i, r in enumerate(("won", "none", "broken", "failed"))], "row_id long, ref string").withColumn("query", F.lit("q"))
+    kept = spark.createDataFrame([("won", 1, "w1", "t1"), ("won", 2, "w2", "t2"), ("won", 3, "w3", "t3"), ("broken", 1, "b1", "bt"), ("failed", 1, "f1", "ft")], "ref string, rank int, link string, thumbnail_link string")
+    fetched = spark.createDataFrame([("w1", None), ("t1", None), ("w2", None), ("t2", b"2"), ("w3", b"3"), ("t3", b"x"), ("f1", b"f")], "link string, image binary")
+    verdict = '{"evaluaciones": [{"imagen": 1, "producto_correcto": true, "marca": "no_verificable"}, {"imagen": 2, "producto_correcto": false, "marca": "verificada"}], "seleccion": 9, "ranking": [7, 1, 2], "confianza": "media", "comentario": "c"}'
+    judge = lambda t: t.withColumn("response", F.when(F.col("ref") == "won", verdict)).withColumn("attempts", F.lit(2))
+    got = {r.ref: r for r in selection.select_images(rows, kept, fetched, judge).collect()}
+    assert set(got) == {"won", "none", "broken"}
+    won = got["won"]
+    assert (won.n_evaluadas, won.seleccion_imagen, won.seleccion.link, won.candidatos_evaluados) == (2, 1, "w2", ["w2", "w3"])
+    assert won.flags == ["revisar_marca", "descarga_thumbnail"] and [c.link for c in won.ranking_candidatos] == ["w2", "w3"] and won.pasadas_gemini == 1
+    assert got["none"].flags == ["sin_imagen", "necesita_fallback"] and got["none"].comentario == "pool vacio tras el pre-filtro" and got["none"].pasadas_gemini == 0
+    assert got["broken"].comentario == "ninguna imagen del pool se pudo descargar" and got["broken"].candidatos_evaluados == []
+
+
+def test_ladder_is_kept_and_served(spark):
+    args, path, asked = catalog_queries._ladder_stand_ins(spark, "/root/testdata/sf0.001"), cache.scratch_path(spark), []
+    search = lambda t: asked.append(t.count()) or args[3](t)
+    catalog = args[0].filter("ref < 40")
+    first = ladder.escalate_kept(path, catalog, args[1].filter("ref < 40"), args[2], search, args[4])
+    calls = len(asked)
+    judged = {r.ref for r in ladder.to_keep(first[2]).collect()}
+    assert judged == {r.ref for r in catalog.collect() if r.ref % 2 == 0}
+    again = ladder.escalate_kept(path, catalog, args[1].filter("ref < 40"), args[2], search, args[4])
+    assert sorted(map(tuple, again[2].collect()), key=repr) == sorted(map(tuple, first[2].collect()), key=repr)
+    assert max(asked[calls:]) <= len([r for r in catalog.collect() if r.ref % 2])
+
+
+class Shop:
+    """Stands in for the search: one candidate for each query, none for the second product's first."""
+
+    def fetch(self, row):
+        if row["ref"] == "8" and row["rung"] == 1:
+            return "{}"
+        return json.dumps({"items": [{"link": f"http://a/{row['ref']}-{row['rung']}", "image": {"width": 500, "height": 500, "thumbnailLink": "http://t/1"}}]})
+
+
+class Album(http.Images):
+    def thumbnail(self, url, timeout=10):
+        return {"height": 8, "width": 8, "nChannels": 3, "data": b"\xff" * 192}
+
+    def full(self, url, timeout=15, longest=1024, quality=85):
+        return b"jpeg"
+
+    def reachable(self, url, timeout=10):
+        return True
+
+
+class Eye:
+    def fetch(self, row):
+        text = {"evaluaciones": [{"imagen": 1, "producto_correcto": True, "marca": "verificada"}], "seleccion": 1, "ranking": [1], "confianza": "alta", "comentario": "bien"}
+        return json.dumps({"text": json.dumps(text), "prompt_tokens": 100, "output_tokens": 10, "thoughts_tokens": 0, "total_tokens": 110})
+
+
+def test_command_line(spark, tmp_path, capsys):
+    (tmp_path / "in.csv").write_text("Ref Proveedor , Marca,Nombre\n7,MOTRIO,aceite 10w30 1LX12UND\n,x,y\n8,RENAULT,GORRA\n9,RENAULT,GORRA\n")
+    run = ["--input", f"{tmp_path}/in.csv", "--cache-dir", f"{tmp_path}/cache", "--output-dir", f"{tmp_path}/out", "--limit", "2"]
+    services = enrich.Services(Shop, Album, Eye)
+    assert cli.main(run, services) == 0
+    said = capsys.readouterr().out
+    assert "productos: 2" in said and "con_imagen: 2" in said and "CSE" in said
+    got = {r.ref: r for r in spark.read.parquet(f"{tmp_path}/out/catalogo_final.parquet").collect()}
+    assert got["7"].categoria == "lubricantes" and got["7"].imagen_url == "http://a/7-1" and (got["7"].intento_cse, got["7"].imagen_local) == ("1", "")
+    assert got["8"].imagen_url == "http://a/8-2" and (got["8"].intento_cse, got["8"].pasadas_gemini, got["8"].confianza) == ("2", "1", "alta")
+    sheet = excel.read_excel(spark, f"{tmp_path}/out/catalogo_final.xlsx").orderBy("row_id").collect()
+    assert [r.ref for r in sheet] == ["7", "8"] and sheet[0].flags == ""
+    events = ledger.read_ledger(spark, f"{tmp_path}/cache/events").groupBy("kind").count().collect()
+    assert {r.kind: r["count"] for r in events} == {"cse_call": 3, "gemini_call": 2}
+    assert not [p for p in (tmp_path / "out").iterdir() if "images" in p.name]
+    assert cli.main([*run, "--keep-images"], services) == 0
+    assert (tmp_path / "out" / "images" / "7.jpg").read_bytes() == b"jpeg"
+    assert ledger.read_ledger(spark, f"{tmp_path}/cache/events").filter("kind = 'cse_call'").count() == 3
+    with pytest.raises(SystemExit):
+        cli.main(["--input", f"{tmp_path}/none.csv", "--output-dir", f"{tmp_path}/out"], services)
     with pytest.raises(SystemExit):
-        cli.main(["--input", f"{tmp_path}/none.csv", "--output-dir", f"{tmp_path}/out"])
+        cli.main(["--input", f"{tmp_path}/in.csv"])

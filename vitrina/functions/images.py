@@ -1,4 +1,8 @@
-"""Pixel scores of thumbnails: Arrow-batched functions of Spark's image struct (height, width, nChannels, data)."""
+"""Pixel scores of thumbnails: Arrow-batched functions of Spark's image struct (height, width, nChannels, data).
+
+Images of one shape are scored together. Where a score samples a border, it is a weight on every pixel: how
+often the sample takes it.
+"""
 
 from __future__ import annotations
 
@@ -12,25 +16,38 @@ from pyspark.sql.functions import pandas_udf
 from vitrina.functions import rules
 
 SIDE, LOW = 32, 8
+BAND, EVEN = 3, 18.0
+
+
+def pixels(data: list[bytes], h: int, w: int, n: int) -> np.ndarray:
+    """Images x height x width x 3, blue first."""
+    a = np.frombuffer(b"".join(data), np.uint8).reshape(len(data), h, w, n)
+    return a[..., :3] if n >= 3 else np.repeat(a[..., :1], 3, 3)
+
 
+def sampled(a: np.ndarray, weight: np.ndarray, white: float = rules.WHITE) -> tuple[np.ndarray, np.ndarray]:
+    """Of each image's weighted pixels the share that is white in every channel, and the mean deviation of its channels."""
+    weight = weight / weight.sum()
+    share = np.tensordot(a.min(axis=3) >= white, weight, 2)
+    mean = np.einsum("nhwc,hw->nc", a, weight, dtype=float)
+    square = np.einsum("nhwc,hw->nc", np.square(a, dtype=float), weight)
+    return share, np.sqrt(np.maximum(square - mean**2, 0)).mean(axis=1)
 
-def pixels(row) -> np.ndarray | None:
-    """Height x width x 3, blue first; null for a missing or broken image."""
-    data, h, w, n = row.data, row.height, row.width, row.nChannels
-    if data is None or pd.isna(h) or h * w * n != len(data) or not len(data):
-        return None
-    a = np.frombuffer(data, np.uint8).reshape(int(h), int(w), int(n)).astype(float)
-    return a[:, :, :3] if n >= 3 else np.repeat(a[:, :, :1], 3, 2)
 
+def ends_and_middles(h: int, w: int) -> np.ndarray:
+    """Weights of the corners and the middles of the sides; on a side of one or two pixels they coincide and add up."""
+    rows, columns = (np.bincount([0, n // 2, n - 1], minlength=n) for n in (h, w))
+    weight = np.outer(rows, columns)
+    inner = [0 < n // 2 < n - 1 for n in (h, w)]
+    if all(inner):
+        weight[h // 2, w // 2] = 0
+    return weight
 
-def eight_point_score(a: np.ndarray, white: float = rules.WHITE) -> float:
-    """How white and how even the corners and the middles of the sides are, 0 to 1."""
-    h, w = a.shape[:2]
-    rows, columns = np.array([0, 0, 0, h // 2, h // 2, h - 1, h - 1, h - 1]), np.array([0, w // 2, w - 1, 0, w - 1, 0, w // 2, w - 1])
-    # A side of one or two pixels makes middle and end coincide; such points count as often as they occur.
-    points = a[rows, columns]
-    uneven = min(points.std(axis=0).mean() / 128.0, 1.0)
-    return round(float(0.7 * (points.min(axis=1) >= white).mean() + 0.3 * (1.0 - uneven)), 3)
+
+def border(h: int, w: int, band: int = BAND) -> np.ndarray:
+    """Weights of bands along the four sides; corners lie in two of them."""
+    rows, columns = ((np.arange(n) < band).astype(int) + (np.arange(n) >= n - band) for n in (h, w))
+    return rows[:, None] + columns[None, :]
 
 
 def _shrink(n: int) -> np.ndarray:
@@ -44,28 +61,29 @@ def _shrink(n: int) -> np.ndarray:
 _COSINES = np.cos(np.pi * np.arange(SIDE)[:, None] * (2 * np.arange(SIDE) + 1) / (2 * SIDE))
 
 
-def perceptual_hash(a: np.ndarray) -> int:
-    """64 bits: which low frequencies of the grey image lie above their median. Other resizers differ in a few."""
+def perceptual_hashes(a: np.ndarray) -> list[int]:
+    """64 bits an image: which low frequencies of the grey image lie above their median. Other resizers differ in a few."""
     grey = a @ np.array([0.114, 0.587, 0.299])
-    small = _shrink(a.shape[0]) @ grey @ _shrink(a.shape[1]).T
-    low = (_COSINES @ small @ _COSINES.T)[:LOW, :LOW]
-    return int.from_bytes(np.packbits((low > np.median(low)).ravel()).tobytes(), "big", signed=True)
-
-
-def band_scores(a: np.ndarray, band: int = 3, white: float = rules.WHITE, even: float = 18) -> tuple[float, bool]:
-    """Share of white pixels in a band along the border, and whether the band is of one colour."""
-    strip = np.concatenate([x.reshape(-1, 3) for x in (a[:band], a[-band:], a[:, :band], a[:, -band:])])
-    return round(float((strip.min(axis=1) >= white).mean()), 2), bool(strip.std(axis=0).mean() < even)
+    low = (_COSINES @ (_shrink(a.shape[1]) @ grey @ _shrink(a.shape[2]).T) @ _COSINES.T)[:, :LOW, :LOW].reshape(len(a), -1)
+    bits = np.packbits(low > np.median(low, axis=1, keepdims=True), axis=1)
+    return [int.from_bytes(x.tobytes(), "big", signed=True) for x in bits]
 
 
 @pandas_udf(T.StructType([T.StructField("bg_score", T.DoubleType()), T.StructField("phash", T.LongType()), T.StructField("bg_white", T.DoubleType()), T.StructField("bg_mono", T.BooleanType())]))
 def _scores(image: pd.DataFrame) -> pd.DataFrame:
-    out = []
-    for row in image.itertuples(index=False):
-        a = pixels(row)
-        out.append((0.0, None, None, None) if a is None else (eight_point_score(a), perceptual_hash(a), *band_scores(a)))
-    rows = pd.DataFrame(out, columns=["bg_score", "phash", "bg_white", "bg_mono"])
-    return rows.astype({"phash": "Int64", "bg_mono": "boolean"})
+    size = image[["height", "width", "nChannels"]].fillna(0).astype(int)
+    lengths = image["data"].map(lambda d: len(d) if d is not None else 0)
+    whole = image[(lengths > 0) & (size.prod(axis=1) == lengths)]
+    out = pd.DataFrame({"bg_score": 0.0, "phash": pd.array([None] * len(image), "Int64"), "bg_white": np.nan, "bg_mono": pd.array([None] * len(image), "boolean")}, index=image.index)
+    for (h, w, n), rows in size.loc[whole.index].groupby(["height", "width", "nChannels"]).groups.items():
+        a = pixels(image.loc[rows, "data"].tolist(), h, w, n)
+        white, uneven = sampled(a, ends_and_middles(h, w))
+        out.loc[rows, "bg_score"] = [round(float(x), 3) for x in 0.7 * white + 0.3 * (1 - np.minimum(uneven / 128, 1))]
+        white, uneven = sampled(a, border(h, w))
+        out.loc[rows, "bg_white"] = [round(float(x), 2) for x in white]
+        out.loc[rows, "bg_mono"] = uneven < EVEN
+        out.loc[rows, "phash"] = perceptual_hashes(a)
+    return out
 
 
 def image_scores(image: str | Column) -> Column:

@@ -2,24 +2,39 @@
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from vitrina.functions import rules
 
 _ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 _PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyy"
+#: ASCII, the letters above, and characters near them that have no decomposition or are combining marks.
+_SIMPLE = f"^[\\x00-\\x7f{_ACCENTED}¡¢£¤¥¦§©«¬®°±¶·»¿ÆÐ×ØÞßæð÷øþ\\u2013\\u2014\\u2018\\u2019\\u201c\\u201d\\u20ac\\u0300-\\u034e\\u0350-\\u036f]*$"
 
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+@F.pandas_udf(StringType())
+def _decomposed(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)))
+
+
 def strip_accents(c: str | Column) -> Column:
-    """Latin letters without their marks; combining marks go. Compatibility characters stay as they are."""
-    return F.regexp_replace(F.translate(_col(c), _ACCENTED, _PLAIN), r"\p{M}", "")
+    """Compatibility decomposition (NFKD) without combining marks.
+
+    Text of Latin letters stays in generated code; only other text is sent to Python, in Arrow batches.
+    """
+    plain = F.regexp_replace(F.translate(_col(c), _ACCENTED, _PLAIN), r"[\u0300-\u034e\u0350-\u036f]", "")
+    simple = _col(c).rlike(_SIMPLE)
+    return F.when(_col(c).isNull() | simple, plain).otherwise(_decomposed(F.when(~simple, _col(c))))
 
 
 def clean_basic(c: str | Column) -> Column:
@@ -42,7 +57,8 @@ def volume(c: str | Column) -> Column:
 
 
 def strip_case_multiplier(name: str | Column, confirmed: Column) -> Column:
-    return F.when(confirmed != "", F.trim(F.regexp_replace(_col(name), rules.CASE_MULTIPLIER, "$1$2"))).otherwise(_col(name))
+    """Without the first case multiplier behind a volume, where a volume is confirmed."""
+    return F.when(confirmed != "", F.regexp_replace(_col(name), rules.CASE_MULTIPLIER, "$1$2")).otherwise(_col(name))
 
 
 def viscosity(c: str | Column) -> Column:
@@ -65,9 +81,9 @@ def search_term(clean: str | Column, brand: str | Column) -> Column:
 
 def normalize(df: DataFrame, name: str = "nombre", brand: str = "marca") -> DataFrame:
     """The catalog with the ten normalised columns."""
-    words = df.withColumn("nombre_original", F.col(name)).withColumn("__full", expand_abbreviations(clean_basic(F.coalesce(F.col(name), F.lit("")))))
+    words = df.withColumn("nombre_original", F.trim(F.col(name))).withColumn("__full", expand_abbreviations(clean_basic(F.coalesce(F.col(name), F.lit("")))))
     sized = words.withColumns({"pack": pack("__full"), "litraje": volume("__full")})
-    stripped = sized.withColumn("nombre_limpio", strip_case_multiplier("__full", F.col("litraje")))
+    stripped = sized.withColumn("nombre_limpio", F.trim(F.regexp_replace(strip_case_multiplier("__full", F.col("litraje")), r"(?U)\s+", " ")))
     return stripped.withColumns(
         {
             "pack_ambiguo": (F.col("pack") != "") & (F.col("litraje") == ""),
@@ -119,12 +135,23 @@ def classify(c: str | Column) -> Column:
     return first.otherwise(rules.OTHER)
 
 
-def categorize(df: DataFrame, name: str = "nombre_limpio", presentations: dict[str, str] | None = None) -> DataFrame:
-    """Adds categoria, cse_profile and presentacion; the last from a caller's table, for it is prompt text."""
-    texts = F.create_map(*[F.lit(x) for pair in (presentations or {rules.OTHER: ""}).items() for x in pair])
+def categorize(df: DataFrame, name: str = "nombre_limpio", presentations: dict[str, str] = rules.PRESENTATIONS) -> DataFrame:
+    """Adds categoria, cse_profile and presentacion (how the category is to be shown; for the judge's prompt)."""
+    texts = F.create_map(*[F.lit(x) for pair in presentations.items() for x in pair])
     profile = F.when(F.col("categoria").isin(*rules.EXACT_BRAND_CATEGORIES), rules.EXACT_BRAND).otherwise(rules.BASELINE)
     return df.withColumn("categoria", classify(name)).withColumn("cse_profile", profile).withColumn("presentacion", F.coalesce(F.try_element_at(texts, F.col("categoria")), F.lit("")))
 
 
 def coverage(df: DataFrame, key: str = "categoria") -> DataFrame:
+    """Rows by category, most first."""
     return df.groupBy(key).agg(F.count("*").alias("n")).orderBy(F.desc("n"), key)
+
+
+def coverage_summary(df: DataFrame, key: str = "categoria") -> DataFrame:
+    """Rows, distinct categories, and rows that no rule took."""
+    return df.agg(F.count("*").alias("n"), F.count_distinct(key).alias("categories"), F.count_if(F.col(key) == rules.OTHER).alias("backlog"))
+
+
+def backlog(df: DataFrame, key: str = "categoria", name: str = "nombre_limpio") -> DataFrame:
+    """The names that no rule took, in order."""
+    return df.filter(F.col(key) == rules.OTHER).select("ref", name).orderBy(name, "ref")

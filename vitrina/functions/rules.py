@@ -37,6 +37,25 @@ CATEGORIES = (
     ("carroceria", ("PARACHOQUE", "PARAGOLPE", "PUERTA", "ALETA", "CAPOT", "COFRE", "BAUL", "REJILLA", "CALANDRIA", "CALANDRA", "GRILLA", "ESTRIBOS")),
 )
 OTHER = "otros"
+
+# How a category's products are to be shown.
+PRESENTATIONS = {
+    "merchandising": "producto solo sobre fondo limpio, sin modelo humano de preferencia",
+    "accesorios": "accesorio individual (tapete/tapiz) mostrado plano o de frente, sin vehiculo",
+    "emblemas": "emblema/monograma con el logo legible; aceptable como pieza suelta lo que se verifica es el logo y que este aislado (preferiblemente)",
+    "filtros": "filtro individual (cilindrico o panel); sin caja salvo que verifique la marca",
+    "frenos": "Si son PASTILLAS: cuenta las pastillas y verifica el eje segun el nombre. Si el nombre dice un eje (delanteras/delantero o traseras/trasero): mostrar 2 pastillas de ESE eje (aceptable 1), NUNCA el set de 4. Si el nombre NO especifica eje ni cantidad (solo 'pastillas de freno'): aceptable 1 o el set de 4. Si son BANDAS/ZAPATAS de freno: el juego comercial de un eje trae 4 zapatas, asi que son aceptables 1, 2 o 4 unidades; NO descartes por cantidad si son bandas del tipo correcto (pero un tambor o campana NO es una banda)",
+    "motor_transmision": "componente individual (carter/embrague/bobina/bujia/inyector/correa)",
+    "refrigeracion": "componente individual (bomba de agua/condensador/motoventilador)",
+    "lubricantes": "envase individual del litraje indicado; el empaque ES el producto (una botella, no multipack). Acepta equivalencias comerciales de litraje: un cuarto de galon (0.946L / 946ml / quart) CUENTA como 1L y viceversa; descarta por litraje solo si el tamano es claramente otro (p.ej. galon o 4L cuando se pide 1L)",
+    "llantas_rines": "una llanta o un rin de frente; banda/rin visible completo",
+    "baterias": "una bateria individual de frente, etiqueta/marca visible",
+    "suspension_direccion": "pieza individual (amortiguador/brazo/rotula), una unidad del lado indicado",
+    "iluminacion": "una unidad de la optica (farola/stop/proyector) del lado indicado",
+    "vidrios_espejos": "vidrio/espejo/retrovisor individual del lado indicado",
+    "carroceria": "panel de carroceria individual (parachoques/puerta/aleta) del lado y modelo indicados",
+    "otros": "producto individual centrado, presentacion estandar de catalogo",
+}
 BASELINE, EXACT_BRAND, WHITE_DOMINANT = "baseline", "exact_brand", "white_dominant"
 EXACT_BRAND_CATEGORIES = ("merchandising", "emblemas")
 

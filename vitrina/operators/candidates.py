@@ -1,17 +1,18 @@
 """Candidate images: parsing, ordered dedup, filters, ranking. A pool is rows of one ``ref`` in order of ``pos``.
 
-The greedy folds gather a pool, which a search bounds (``MAX_POOL``); a larger group is refused, not cut.
+The greedy folds gather a pool, which is what the searches of one product returned: some tens of rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrina.functions import names, rules
 
 ITEM = "struct<link:string,title:string,displayLink:string,image:struct<width:int,height:int,thumbnailLink:string>>"
-MAX_POOL = 10_000
 
 
 def parse_candidates(responses: DataFrame, json: str = "response") -> DataFrame:
@@ -23,35 +24,43 @@ def parse_candidates(responses: DataFrame, json: str = "response") -> DataFrame:
 
 
 def _fold(pool: DataFrame, order: Column, alike, key: str) -> DataFrame:
-    """Rows that are like no earlier row that was itself kept."""
+    """The pool with ``repeat``: whether a row is like an earlier row that is itself no repeat."""
     row = F.struct(order.alias("__o"), *[F.col(c) for c in pool.columns])
-    groups = pool.groupBy(key).agg(F.collect_list(row).alias("rows"))
-    groups = groups.withColumn("rows", F.when(F.size("rows") <= MAX_POOL, F.array_sort("rows")).otherwise(F.raise_error(F.lit("a pool is too large for an ordered fold"))))
+    groups = pool.groupBy(key).agg(F.array_sort(F.collect_list(row)).alias("rows"))
     none = F.filter("rows", lambda r: F.lit(False))
     kept = F.aggregate("rows", none, lambda acc, x: F.when(F.exists(acc, lambda k: alike(k, x)), acc).otherwise(F.concat(acc, F.array(x))))
-    return groups.select(F.explode(kept).alias("r")).select(*[F.col(f"r.{c}").alias(c) for c in pool.columns])
+    each = groups.select("rows", F.transform(kept, lambda x: x["__o"]).alias("__kept")).select("__kept", F.explode("rows").alias("r"))
+    return each.select(*[F.col(f"r.{c}").alias(c) for c in pool.columns], (~F.array_contains("__kept", F.col("r.__o"))).alias("repeat"))
 
 
-def dedupe_by_url(pool: DataFrame, key: str = "ref", pos: str = "pos") -> DataFrame:
-    """Greedy: same link as a kept row, or the same thumbnail unless it is empty. Links may be empty."""
+def url_repeats(pool: DataFrame, key: str = "ref", pos: str = "pos") -> DataFrame:
+    """``repeat``, greedily: same link as a kept row, or the same thumbnail unless it is empty. Links may be empty."""
     alike = lambda k, x: (k["link"] == x["link"]) | ((x["thumbnail_link"] != "") & (k["thumbnail_link"] == x["thumbnail_link"]))
     return _fold(pool, F.struct(pos), alike, key)
 
 
-def dedupe_by_hash(pool: DataFrame, key: str = "ref", order: Column | None = None, distance: int = rules.HASH_DISTANCE) -> DataFrame:
-    """Greedy, larger areas first: Hamming distance of ``phash`` to a kept row; a null hash is always kept."""
+def visual_repeats(pool: DataFrame, key: str = "ref", order: Column | None = None, distance: int = rules.HASH_DISTANCE) -> DataFrame:
+    """``repeat``, greedily, larger areas first: Hamming distance of ``phash`` to a kept row; a null hash never repeats."""
     order = order if order is not None else F.struct((-F.col("width") * F.col("height")).alias("a"), F.col("pos"))
     alike = lambda k, x: F.coalesce(F.bit_count(k["phash"].bitwiseXOR(x["phash"])) <= distance, F.lit(False))
     return _fold(pool, order, alike, key)
 
 
+def dedupe_by_url(pool: DataFrame, key: str = "ref", pos: str = "pos") -> DataFrame:
+    return url_repeats(pool, key, pos).filter("not repeat").drop("repeat")
+
+
+def dedupe_by_hash(pool: DataFrame, key: str = "ref", order: Column | None = None, distance: int = rules.HASH_DISTANCE) -> DataFrame:
+    return visual_repeats(pool, key, order, distance).filter("not repeat").drop("repeat")
+
+
 def blocked(domain: str | Column, domains: tuple[str, ...] = rules.BLOCKED_DOMAINS) -> Column:
     d = F.lower(F.col(domain) if isinstance(domain, str) else domain)
     return F.coalesce(F.exists(F.array(*map(F.lit, domains)), lambda b: F.contains(d, b)), F.lit(False)) if domains else F.lit(False)
 
 
 def drop_reason(min_side: int = rules.MIN_SIDE, max_ratio: float = rules.MAX_RATIO) -> Column:
-    """Why a candidate goes, the first that holds; null if it stays. ``recovered`` skips the blocklist."""
+    """Why a candidate goes, the first that holds; null if it stays."""
     w, h = F.coalesce("width", F.lit(0)), F.coalesce("height", F.lit(0))
     link = F.coalesce("link", F.lit(""))
     return (
@@ -62,14 +71,31 @@ def drop_reason(min_side: int = rules.MIN_SIDE, max_ratio: float = rules.MAX_RAT
     )
 
 
+def reason_detail(reason: str | Column) -> Column:
+    """The reason with what it is about: 40 characters of the link, the size, or the domain."""
+    r = F.col(reason) if isinstance(reason, str) else reason
+    size = F.concat(F.coalesce("width", F.lit(0)).cast("string"), F.lit("x"), F.coalesce("height", F.lit(0)).cast("string"))
+    about = F.when(r == "url_invalido", F.substring(F.coalesce("link", F.lit("")), 1, 40)).when(r.isin("resolucion_baja", "aspect_ratio_extremo"), size).when(r == "dominio_bloqueado", F.coalesce("display_link", F.lit("")))
+    return F.concat_ws(" ", r, about)
+
+
 def recover_resolution(pool: DataFrame, measured: DataFrame, min_side: int = rules.MIN_SIDE, max_ratio: float = rules.MAX_RATIO) -> DataFrame:
-    """Low-resolution rows take the first rewritten link that ``measured`` (link, width, height) shows to pass."""
+    """Low-resolution rows take the first rewritten link that ``measured`` (link, width, height) shows to pass; ``recovered`` marks them."""
     big = measured.filter((F.least("width", "height") >= min_side) & (F.greatest("width", "height") / F.greatest(F.least("width", "height"), F.lit(1)) <= max_ratio))
-    one, two = (big.select(F.col("link").alias(f"l{i}"), F.col("width").alias(f"w{i}"), F.col("height").alias(f"h{i}")).dropDuplicates([f"l{i}"]) for i in (1, 2))
+    big = big.groupBy("link").agg(F.max_by(F.struct("width", "height"), F.struct(F.col("width") * F.col("height"), "width")).alias("size"))
+    one, two = (big.select(F.col("link").alias(f"l{i}"), F.col("size").alias(f"s{i}")) for i in (1, 2))
     low = drop_reason(min_side, max_ratio) == "resolucion_baja"
     tried = pool.join(one, F.col("l1") == names.upscale_marketplace("link"), "left").join(two, F.col("l2") == names.upscale_uploads("link"), "left")
-    use = F.coalesce(low & F.coalesce("l1", "l2").isNotNull(), F.lit(False))
-    return tried.withColumns({"recovered": use, "link": F.when(use, F.coalesce("l1", "l2")).otherwise(F.col("link")), "width": F.when(use, F.coalesce("w1", "w2")).otherwise(F.col("width")), "height": F.when(use, F.coalesce("h1", "h2")).otherwise(F.col("height"))}).drop("l1", "l2", "w1", "w2", "h1", "h2")
+    tried = tried.withColumn("recovered", F.coalesce(low & F.coalesce("l1", "l2").isNotNull(), F.lit(False)))
+    size = F.coalesce("s1", "s2")
+    new = {"link": F.coalesce("l1", "l2"), "width": size["width"], "height": size["height"]}
+    return tried.withColumns({c: F.when(F.col("recovered"), x).otherwise(F.col(c)) for c, x in new.items()}).drop("l1", "l2", "s1", "s2")
+
+
+def hard_filters(pool: DataFrame, measured: DataFrame | None = None, min_side: int = rules.MIN_SIDE, max_ratio: float = rules.MAX_RATIO) -> DataFrame:
+    """The pool with ``recovered`` and ``reason``; a recovered row stays whatever its domain."""
+    rows = recover_resolution(pool, measured, min_side, max_ratio) if measured is not None else pool.withColumn("recovered", F.lit(False))
+    return rows.withColumn("reason", F.when(~F.col("recovered"), drop_reason(min_side, max_ratio)))
 
 
 def rank_topk(pool: DataFrame, k: int = rules.KEEP, key: str = "ref", priority: tuple[str, ...] = rules.PRIORITY_DOMAINS) -> DataFrame:
@@ -91,5 +117,36 @@ def exclude(pool: DataFrame, condemned: DataFrame, key: str = "ref") -> DataFram
 
 
 def prefilter(pool: DataFrame, k: int = rules.KEEP) -> DataFrame:
-    """URL dedup, hard filters, visual dedup and the k best of each pool."""
-    return rank_topk(dedupe_by_hash(dedupe_by_url(pool).filter(drop_reason().isNull())), k)
+    """The k best kept rows of each pool that is scored already, where every link is reachable."""
+    return prefilter_audit(pool, k=k).filter("status = 'kept'").select(*pool.columns, "rank")
+
+
+def prefilter_audit(pool: DataFrame, measured: DataFrame | None = None, score: Callable[[DataFrame], DataFrame] | None = None, reach: Callable[[DataFrame], DataFrame] | None = None, k: int = rules.KEEP, key: str = "ref") -> DataFrame:
+    """Every row of the pools with n_input (its pool's size), status, reason and rank.
+
+    Cheap tests come first: repeated links, metadata (with recovery of small images), then thumbnails
+    (``score`` adds bg_score and phash, and is given only rows that passed), looks, rank, and reachability:
+    ``reach`` adds ``alive`` to ranked rows. Status is kept (the k first alive), dropped (with a reason),
+    unreachable (before the k-th) or trimmed (behind it).
+    """
+    sized = pool.join(pool.groupBy(key).agg(F.count("*").alias("n_input")), key)
+    linked = url_repeats(sized, key)
+    hard = hard_filters(linked.filter("not repeat").drop("repeat"), measured)
+    scored = hard.filter("reason is null").drop("bg_score", "phash") if score else hard.filter("reason is null")
+    seen = visual_repeats(score(scored) if score else scored, key)
+    order = [F.desc(blocked("display_link", rules.PRIORITY_DOMAINS)), F.desc("bg_score"), F.desc(F.col("width") * F.col("height")), F.col("pos")]
+    ranked = seen.filter("not repeat").withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    tested = (reach(ranked) if reach else ranked.withColumn("alive", F.lit(True))).withColumn("alive", F.coalesce("alive", F.lit(False)))
+    so_far = F.sum(F.col("alive").cast("int")).over(Window.partitionBy(key).orderBy("rank"))
+    judged = tested.withColumn("__n", so_far).withColumn("status", F.when(F.col("__n") - F.col("alive").cast("int") >= k, "trimmed").when(F.col("alive"), "kept").otherwise("unreachable"))
+    columns = [*pool.columns, "n_input"]
+
+    def told(rows: DataFrame, status, reason, rank=None) -> DataFrame:
+        has = [F.col(c) if c in rows.columns else F.lit(None).cast(pool.schema[c].dataType).alias(c) for c in columns]
+        number = rank if rank is not None else F.lit(None)
+        return rows.select(*has, status.alias("status"), reason.cast("string").alias("reason"), number.cast("int").alias("rank"))
+
+    dropped = F.lit("dropped")
+    out = told(linked.filter("repeat"), dropped, F.lit("duplicado_url")).unionByName(told(hard.filter("reason is not null"), dropped, reason_detail("reason")))
+    out = out.unionByName(told(seen.filter("repeat"), dropped, F.lit("duplicado_visual")))
+    return out.unionByName(told(judged, F.col("status"), F.lit(None), F.when(F.col("status") == "kept", F.col("__n")).otherwise(F.col("rank"))))

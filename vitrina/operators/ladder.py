@@ -1,7 +1,8 @@
 """The fallback ladder: laxer queries, rung by rung, for products without a good image.
 
 All pending products climb a rung together, so a rung is one search, one prefilter and one judge plan
-whatever their number. Caps are spent rung by rung (all of rung 2 before rung 3), in order of row_id.
+whatever their number. ``escalate`` spends its caps rung by rung (all of rung 2 before rung 3), in order of
+row_id; ``escalate_in_order`` product by product, in batches too small for a cap to cut one short.
 """
 
 from __future__ import annotations
@@ -13,7 +14,11 @@ from pyspark.sql import functions as F
 
 from vitrina.functions import names
 from vitrina.operators import candidates, selection
-from vitrina.sources.cache import saved
+from vitrina.sources.cache import answers, saved
+
+LOG = "ref {ref}, rung int, n_new long, n_kept long, flags string, outcome string"
+#: Outcomes that needed a search, and those that needed a judge.
+JUDGED = ("resuelto", "sigue_pendiente")
 
 RUNGS = (2, 3)
 
@@ -32,7 +37,7 @@ def escalate(catalog: DataFrame, pools: DataFrame, verdicts: DataFrame, search:
     ``catalog``: row_id, ref, marca, nombre_limpio. ``pools``: ref, pos, link and the rest of a candidate.
     ``verdicts``: ref, flags, condemned (links), passes, rung, query. ``search`` answers rows of ref, rung and
     query with candidates; ``judge`` answers kept candidates with ref, flags and condemned. A product
-    without a verdict is pending. The log has ref, rung, n_new, n_kept and outcome.
+    without a verdict is pending. The log has ref, rung, n_new, n_kept, flags of the verdict (- for none) and outcome.
     """
     stopped, log, queries, calls = None, [], 0, 0
     for rung in rungs:
@@ -60,15 +65,81 @@ def escalate(catalog: DataFrame, pools: DataFrame, verdicts: DataFrame, search:
         pools = merged
         told = state.join(asked.select("ref", "fits"), "ref", "left").join(new.select("ref", "f"), "ref", "left")
         outcome = F.when(F.col("n_new") == 0, "sin_candidatos_nuevos").when(F.col("n_kept") == 0, "prefiltro_vacio").when(~F.col("fits"), "omitido_cap_gemini").when(F.col("f").isNull(), "error_red").when(selection.needs_fallback("f"), "sigue_pendiente").otherwise("resuelto")
-        done = saved(told.select("ref", F.lit(rung).alias("rung"), "n_new", "n_kept", outcome.alias("outcome")).unionByName(capped.select("ref", "rung", F.lit(None).cast("long").alias("n_new"), F.lit(None).cast("long").alias("n_kept"), F.lit("omitido_cap_cse").alias("outcome"))))
+        joined_flags = F.when(F.col("f").isNotNull(), F.coalesce(F.nullif(F.array_join("f", ", "), F.lit("")), F.lit("-")))
+        nothing = lambda kind, name: F.lit(None).cast(kind).alias(name)
+        done = told.select("ref", F.lit(rung).alias("rung"), "n_new", "n_kept", joined_flags.alias("flags"), outcome.alias("outcome"))
+        done = saved(done.unionByName(capped.select("ref", "rung", nothing("long", "n_new"), nothing("long", "n_kept"), nothing("string", "flags"), F.lit("omitido_cap_cse").alias("outcome"))))
         log.append(done)
         out = done.filter(F.col("outcome").isin("omitido_cap_cse", "omitido_cap_gemini", "error_red")).select("ref")
         stopped = out if stopped is None else stopped.unionByName(out)
         queries, calls = queries + turn.count(), calls + asked.filter("fits").count()
-    lines = log[0] if log else catalog.sparkSession.createDataFrame([], "ref string, rung int, n_new long, n_kept long, outcome string")
-    for more in log[1:]:
-        lines = lines.unionByName(more)
-    return pools, verdicts, lines
+    return pools, verdicts, _all(log) if log else catalog.sparkSession.createDataFrame([], LOG.format(ref=catalog.schema["ref"].dataType.simpleString()))
+
+
+def _all(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for more in tables[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def escalate_in_order(catalog: DataFrame, pools: DataFrame, verdicts: DataFrame, search, judge, rungs: tuple[int, ...] = RUNGS, max_queries: int = 20, max_calls: int = 20, **more) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """As ``escalate``, but each product climbs all its rungs before the next one begins, as far as the caps go.
+
+    A product needs at most a query and a call a rung, so as many products as the caps hold that often climb
+    together; what they leave unused goes to the next batch. Only judged images count as calls.
+    """
+    pending = catalog.join(verdicts.select("ref", "flags"), "ref", "left").filter(selection.needs_fallback("flags")).select("row_id", "ref")
+    pending, steps = saved(pending), max(1, len(rungs))
+    done, after = [], None
+    while True:
+        rest = pending if after is None else pending.filter(F.col("row_id") > after)
+        if max_queries > 0:
+            caps = [c // steps for c in (max_queries, max_calls) if c > 0]
+            rest = rest.orderBy("row_id").limit(max(1, min(caps)))
+        batch = saved(rest)
+        last, n = batch.agg(F.max("row_id"), F.count("*")).first()
+        if not n:
+            break
+        own = lambda t: t.join(batch.select("ref"), "ref", "left_semi")  # noqa: E731, B023
+        step = escalate(own(catalog), saved(own(pools)), saved(own(verdicts)), search, judge, rungs, max_queries, max_calls, **more)
+        used = step[2].agg(F.count_if(F.col("outcome") != "omitido_cap_cse"), F.count_if(F.col("outcome").isin(*JUDGED))).first()
+        done.append((batch, *step))
+        if max_queries <= 0:
+            break
+        max_queries, max_calls, after = max_queries - used[0], max_calls - used[1], last
+    if not done:
+        return pools, verdicts, catalog.sparkSession.createDataFrame([], LOG.format(ref=catalog.schema["ref"].dataType.simpleString()))
+    climbed = _all([d[0].select("ref") for d in done])
+    others = lambda t: t.join(climbed, "ref", "left_anti").select(*t.columns)
+    return _all([others(pools), *[d[1] for d in done]]), _all([others(verdicts), *[d[2] for d in done]]), _all([d[3] for d in done])
+
+
+def to_keep(log: DataFrame) -> DataFrame:
+    """Refs whose ladder may be kept: some image was judged, and no error cut it short."""
+    by = log.groupBy("ref").agg(F.max(F.col("outcome").isin(*JUDGED)).alias("judged"), F.max(F.col("outcome") == "error_red").alias("failed"))
+    return by.filter("judged and not failed").select("ref")
+
+
+def escalate_kept(path: str, catalog: DataFrame, pools: DataFrame, verdicts: DataFrame, *args, climb: Callable = escalate, **more) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """As ``climb``, but products whose ladder is kept at ``path`` are served from there, and new ones are kept."""
+    spark = catalog.sparkSession
+    held = [answers(spark, f"{path}/{part}") for part in ("pools", "verdicts", "log")]
+    if held[2] is None:
+        known = None
+        todo = catalog
+    else:
+        wanted = verdicts.select("ref", "flags")
+        known = saved(held[2].select("ref").distinct().join(catalog.select("ref"), "ref", "left_semi").join(wanted, "ref", "left").filter(selection.needs_fallback("flags")).select("ref"))
+        todo = catalog.join(known, "ref", "left_anti").select(*catalog.columns)
+    fresh = lambda t: t if known is None else t.join(known, "ref", "left_anti").select(*t.columns)
+    new = climb(todo, fresh(pools), fresh(verdicts), *args, **more)
+    keep = saved(to_keep(new[2]))
+    for part, table in zip(("pools", "verdicts", "log"), new, strict=True):
+        table.join(keep, "ref", "left_semi").select(*table.columns).write.mode("append").parquet(f"{path}/{part}")
+    if known is None:
+        return new
+    return tuple(n.unionByName(h.join(known, "ref", "left_semi").select(*n.columns)) for n, h in zip(new, held, strict=True))
 
 
 def rescued(log: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vitrina.functions import names
 from vitrina.functions import images
 from vitrina.operators import candidates, ladder, prototype, reports, selection
-from vitrina.sources import cache
+from vitrina.sources import cache, http
 from vitrina.streaming import ledger
 
 
@@ -45,7 +45,28 @@ def category_coverage(spark, sf_dir):
 
 
 def strip_accents_docs(spark, sf_dir):
-    return _t(spark, sf_dir, "documents").filter(F.col("lang").isin("es", "fr")).select("doc_id", names.strip_accents("text").alias("plain"))
+    return _t(spark, sf_dir, "documents").select("doc_id", names.strip_accents("text").alias("plain"))
+
+
+def presentation_rules(spark, sf_dir):
+    return names.categorize(names.normalize(catalog(spark, sf_dir))).select("ref", "categoria", F.length("presentacion").alias("n"), names.profile_params(F.col("cse_profile"), F.col("marca"))["exactTerms"].alias("exact"))
+
+
+def coverage_summary(spark, sf_dir):
+    return names.coverage_summary(names.categorize(names.normalize(catalog(spark, sf_dir))))
+
+
+def backlog(spark, sf_dir):
+    return names.backlog(names.categorize(names.normalize(catalog(spark, sf_dir))))
+
+
+def search_requests(spark, sf_dir):
+    rows = names.categorize(names.normalize(catalog(spark, sf_dir)))
+    params = http.search_params(F.col("cse_profile"), F.col("marca"), F.col("ref") % 2 == 0)
+    paged = http.paged_params(params, F.lit(11))
+    query = names.build_query(F.lit(1), "ref", "marca", "nombre_limpio")
+    text = lambda m: F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat_ws("=", e["key"], e["value"])), "&")
+    return rows.select("ref", text(params).alias("params"), text(paged).alias("paged"), (http.page_key(query, params) == http.page_key(query, paged)).alias("same_key"))
 
 
 def build_queries(spark, sf_dir):
@@ -57,6 +78,38 @@ def hard_filter_reasons(spark, sf_dir):
     return pool(spark, sf_dir).select("pos", candidates.drop_reason().alias("reason"))
 
 
+def _wide_pool(spark, sf_dir):
+    """A pool of many candidates a product, with links that can be rewritten and hashes near each other."""
+    i = F.col("event_id")
+    link = F.when(i % 6 == 0, F.concat(F.lit("https://http2.mlstatic.com/D_"), (i % 40).cast("string"), F.lit("-O.jpg"))).when(i % 6 == 1, F.concat(F.lit("https://a.example/wp-content/uploads/i"), (i % 30).cast("string"), F.lit("-300x200.png")))
+    link = link.otherwise(F.concat(F.when(i % 17 == 0, "ftp://x/").otherwise("http://x/"), (i % 223).cast("string")))
+    thumb = F.when(i % 5 == 0, "").otherwise(F.concat(F.lit("t"), (i % 131).cast("string")))
+    host = F.when(i % 11 == 0, "WWW.Shutterstock.com").otherwise("img.example.org")
+    columns = {"ref": F.col("user_id") % 50, "pos": i, "link": link, "thumbnail_link": thumb, "width": (250 + i % 700).cast("int"), "height": (250 + i * 7 % 1300).cast("int"), "display_link": host, "bg_score": i % 100 / 100.0, "phash": F.when(i % 9 != 0, i % 16 * 4369)}
+    measured = spark.range(40).select(F.concat(F.lit("https://http2.mlstatic.com/D_"), "id", F.lit("-F.jpg")).alias("link"), (200 + F.col("id") * 30).cast("int").alias("width"), (500 + F.col("id") * 60).cast("int").alias("height"))
+    measured = measured.unionByName(spark.range(30).select(F.concat(F.lit("https://a.example/wp-content/uploads/i"), "id", F.lit(".png")).alias("link"), F.lit(900).alias("width"), (300 + F.col("id") * 40).cast("int").alias("height")))
+    return _t(spark, sf_dir, "events").select(*[c.alias(n) for n, c in columns.items()]), measured
+
+
+def recovered_reasons(spark, sf_dir):
+    rows, measured = _wide_pool(spark, sf_dir)
+    out = candidates.hard_filters(rows, measured)
+    return out.select("pos", "link", "width", "height", "recovered", F.when(F.col("reason").isNotNull(), candidates.reason_detail("reason")).alias("reason"))
+
+
+def prefilter_full(spark, sf_dir):
+    """The whole prefilter, dropped and trimmed rows as well; a link is reachable unless its place is a multiple of 4."""
+    rows, measured = _wide_pool(spark, sf_dir)
+    return candidates.prefilter_audit(rows, measured, reach=lambda t: t.withColumn("alive", F.col("pos") % 4 != 0)).select("ref", "pos", "n_input", "status", "reason", "rank")
+
+
+def shortlist(spark, sf_dir):
+    """The prototype's thumbnails: in order of arrival, failed ones gone, the whitest six."""
+    rows = _wide_pool(spark, sf_dir)[0].withColumn("bg_white", F.col("bg_score"))
+    thin = candidates.dedupe_by_hash(rows.filter("phash is not null"), order=F.struct("pos"))
+    return prototype.shortlist(thin).select("ref", "pos", "rank")
+
+
 def upscale_urls(spark, sf_dir):
     p = _t(spark, sf_dir, "pages").select("page_id", F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("https://http2.mlstatic.com/D_"), "page_id", F.lit("-O.jpg"))).otherwise(F.concat(F.lit("https://a.example/wp-content/uploads/i"), "page_id", F.lit("-300x200.png"))).alias("u"))
     return p.select("page_id", F.coalesce(names.upscale_marketplace("u"), names.upscale_uploads("u")).alias("big"))
@@ -101,12 +154,35 @@ def cost_by_model(spark, sf_dir):
 
 def retry_report(spark, sf_dir):
     k = F.get_json_object("props", "$.k").cast("int")
-    return reports.retries(_t(spark, sf_dir, "events").select(F.col("event_type").alias("kind"), F.when(k % 7 > 0, F.concat(F.lit("e"), (k % 7).cast("string"))).alias("error")))
+    return reports.retries(_ledger(spark, sf_dir).withColumn("error", F.when(k % 7 > 0, F.concat(F.lit("e"), (k % 7).cast("string")))))
+
+
+def _ledger(spark, sf_dir):
+    """The events as a ledger: views are searches, clicks calls of three models, errors and signups retries."""
+    kind = F.element_at(F.create_map(*[F.lit(x) for x in ("view", "cse_call", "click", "gemini_call", "error", "cse_retry", "signup", "gemini_retry", "purchase", "other")]), F.col("event_type"))
+    model = F.get(F.array(*map(F.lit, ("gemini-2.5-flash", "gemini-2.5-pro", "unknown"))), (F.col("user_id") % 3).cast("int"))
+    k = F.get_json_object("props", "$.k").cast("long")
+    return _t(spark, sf_dir, "events").select("ts", "props", kind.alias("kind"), model.alias("model"), (k * 1000).alias("prompt_tokens"), F.when(k % 5 > 0, k * 100).alias("output_tokens"), (k * 10).alias("thoughts_tokens"))
+
+
+def cost_report(spark, sf_dir):
+    return reports.cost_report(_ledger(spark, sf_dir), free=50)
+
+
+def cost_total(spark, sf_dir):
+    return reports.cost_total(reports.cost_report(_ledger(spark, sf_dir), free=50)).withColumn("total_usd", F.round("total_usd", 4))
 
 
 def _funnel(spark, sf_dir):
-    o = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("ref"), "o_orderstatus", "o_totalprice")
-    return reports.funnel(_t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ref")), o, o.filter("o_orderstatus = 'F'"), o.filter("o_orderstatus = 'F' and o_totalprice > 200000"))
+    o = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("ref"), "o_orderkey", "o_orderstatus", "o_totalprice")
+    last = o.filter("o_orderstatus = 'F'").groupBy("ref").agg(F.count("*").cast("int").alias("n_evaluadas"), F.max(F.when(F.col("o_totalprice") > 200000, F.col("o_orderkey"))).alias("seleccion"))
+    flags = F.array_compact(F.array(F.when(F.col("seleccion").isNull(), "sin_imagen"), F.when(F.col("ref") % 3 == 0, "necesita_fallback"), F.when(F.col("ref") % 5 == 0, "revisar_marca")))
+    chosen = last.select("*", F.get(F.array(*map(F.lit, ("alta", "media", "baja"))), (F.col("ref") % 3).cast("int")).alias("confianza"), flags.alias("flags"))
+    return reports.funnel(_t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ref")), o, o.filter("o_orderstatus = 'F'"), chosen)
+
+
+def funnel_counts(spark, sf_dir):
+    return reports.funnel_counts(_funnel(spark, sf_dir))
 
 
 def funnel(spark, sf_dir):
@@ -129,6 +205,35 @@ def resolve_selection(spark, sf_dir):
     return turns.select("conv_id", selection.resolve_pick((F.col("conv_id") % 7).cast("int"), F.size("t"), ranking).alias("pick"))
 
 
+def _judged(spark, sf_dir):
+    """Verdicts on up to five candidates a part, as the judge's JSON; every eleventh part has none."""
+    k = F.col("p_partkey")
+    number = lambda x: x.cast("int")
+    seen = lambda i: F.struct(F.lit(i).alias("imagen"), (k % (i + 2) != 0).alias("producto_correcto"), F.get(F.array(*map(F.lit, ("verificada", "no_verificable", "incorrecta"))), number((k + i) % 3)).alias("marca"))
+    answer = F.struct(F.array(*[seen(i) for i in range(1, 5)]).alias("evaluaciones"), F.when(k % 4 != 3, number(k % 7)).alias("seleccion"), F.array(number(k % 9), number(k % 5), F.lit(1)).alias("ranking"), F.get(F.array(*map(F.lit, ("alta", "media", "baja"))), number(k % 3)).alias("confianza"))
+    places = F.sequence(F.lit(1), F.lit(5))
+    usable = F.transform(F.filter(places, lambda i: i <= k % 6), lambda i: F.struct(F.concat_ws("/", F.lit("http://x"), k, i).alias("link")))
+    rows = _t(spark, sf_dir, "part").select(k.alias("ref"), usable.alias("usable"), F.transform(usable, lambda c: (k % 2 == 0) & c["link"].endswith("1")).alias("via_thumb"), selection.parse_verdict(F.when(k % 11 != 0, F.to_json(answer))).alias("verdict"))
+    return selection.resolve_verdicts(rows)
+
+
+def verdict_flags(spark, sf_dir):
+    joined = lambda c: F.array_join(c, ", ")
+    ranked = F.transform("ranking_candidatos", lambda c: c["link"])
+    return _judged(spark, sf_dir).select("ref", "n_evaluadas", "confianza", "seleccion_imagen", F.col("seleccion.link").alias("link"), joined(ranked).alias("ranking"), joined(F.col("flags")).alias("flags"))
+
+
+def condemned_links(spark, sf_dir):
+    return selection.condemned(_judged(spark, sf_dir), "candidatos_evaluados")
+
+
+def wide_output(spark, sf_dir):
+    rows = names.categorize(names.normalize(catalog(spark, sf_dir)))
+    judged = _judged(spark, sf_dir).filter("ref % 3 <> 1").select("*", (F.col("ref") % 3 + 1).cast("int").alias("intento_cse"), F.concat(F.lit("q"), "ref").alias("query_cse"), F.lit(1).alias("pasadas_gemini"), (F.col("ref") % 4).cast("int").alias("intentos"))
+    local = rows.filter("ref % 10 = 0").select("ref", F.concat(F.lit("images/"), "ref", F.lit(".jpg")).alias("imagen_local"))
+    return reports.output(rows.select("ref", "marca", "categoria", "termino_busqueda", "cse_profile"), judged, local)
+
+
 def prototype_queries(spark, sf_dir):
     return catalog(spark, sf_dir).select("ref", prototype.presentation("nombre").alias("presentation"), prototype.without_box("nombre").alias("clean"), prototype.fallback_query("ref", "marca", "nombre").alias("fallback"))
 
@@ -159,7 +264,16 @@ def image_scores(spark, sf_dir):
     data = F.unhex(F.array_join(F.transform("embedding", lambda x: F.when(x > 0, "ff").otherwise("00")), ""))
     image = F.struct(F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("nChannels"), data.alias("data"))
     scored = _t(spark, sf_dir, "embeddings").select("vec_id", images.image_scores(image).alias("s"))
-    return scored.select("vec_id", "s.bg_score", "s.bg_white")
+    return scored.select("vec_id", "s.bg_score", "s.bg_white", "s.bg_mono")
+
+
+def image_hash_distances(spark, sf_dir):
+    """Images of 64 by 64 pixels, in blocks of 8: the hash of each, and how far it is from its own negative's and mirror's."""
+    signs = lambda on, off: F.transform("embedding", lambda x: F.when(x > 0, on).otherwise(off))
+    lines = lambda a: F.flatten(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda r: F.array_repeat(F.array_join(F.transform(F.slice(a, r * 8 + 1, 8), lambda p: F.repeat(p, F.lit(8))), ""), 8)))
+    image = lambda on, off: F.struct(F.lit(64).alias("height"), F.lit(64).alias("width"), F.lit(1).alias("nChannels"), F.unhex(F.array_join(lines(signs(on, off)), "")).alias("data"))
+    rows = _t(spark, sf_dir, "embeddings").select("vec_id", images.image_scores(image("F0", "10"))["phash"].alias("a"), images.image_scores(image("E8", "18"))["phash"].alias("b"))
+    return rows.select("vec_id", (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2).alias("near"))
 
 
 def daily_calls_stream(spark, sf_dir):
@@ -177,23 +291,45 @@ def read_through_cap(spark, sf_dir):
     return cache.read_through(rows, ["row_id"], cache.scratch_path(spark), call, 100).select("row_id", "ok", "value", "error")
 
 
-def fallback_ladder(spark, sf_dir):
-    """The ladder with stand-ins: rung r finds r candidates of a part, and a verdict follows from its key."""
+def _ladder_stand_ins(spark, sf_dir):
+    """Rung r finds r candidates of a part, and a verdict follows from the part's key."""
     rows = names.normalize(catalog(spark, sf_dir)).withColumn("row_id", F.col("ref"))
+
     def found(rung, ref):
         return F.transform(F.sequence(F.lit(1), rung), lambda j: F.struct(j.cast("long").alias("pos"), F.concat(F.lit("http://x/"), ref % 5 + j).alias("link")))
+
     def candidates_of(t, rung):
         each = t.select("ref", F.explode(found(rung, F.col("ref"))).alias("c")).select("ref", "c.pos", "c.link")
         return each.select("*", F.concat("link", F.lit("#"), "ref").alias("thumbnail_link"), F.lit(600).alias("width"), (500 + F.col("ref") % 2 * 1500).cast("int").alias("height"), F.lit("img.example.org").alias("display_link"), F.lit(0.5).alias("bg_score"), F.lit(None).cast("long").alias("phash"))
+
     def judge(kept):
         g = kept.groupBy("ref").agg(F.count("*").alias("n"), F.min("link").alias("worst"))
         return g.select("ref", F.when(F.col("n") + F.col("ref") % 3 >= 4, F.array().cast("array<string>")).otherwise(F.array(F.lit("sin_imagen"))).alias("flags"), F.array("worst").alias("condemned"))
+
     start = candidates_of(rows.filter("ref % 2 = 0"), F.lit(1))
     none = spark.createDataFrame([], "ref long, flags array<string>, condemned array<string>, passes int, rung int, query string")
-    _, _, log = ladder.escalate(rows, start, none, lambda t: candidates_of(t, F.col("rung")), judge)
-    return log
+    return rows, start, none, lambda t: candidates_of(t, F.col("rung")), judge
+
+
+def fallback_ladder(spark, sf_dir):
+    return ladder.escalate(*_ladder_stand_ins(spark, sf_dir))[2]
+
+
+def fallback_verdicts(spark, sf_dir):
+    """What the ladder leaves of each product: passes, last rung, its query, flags and condemned links."""
+    found = ladder.escalate(*_ladder_stand_ins(spark, sf_dir))[1]
+    return found.select("ref", "passes", "rung", "query", F.array_join("flags", ", ").alias("flags"), F.array_join(F.array_sort("condemned"), ", ").alias("condemned"))
+
+
+def fallback_ladder_capped(spark, sf_dir):
+    """Product by product, until 60 searches or 11 calls are spent."""
+    return ladder.escalate_in_order(*_ladder_stand_ins(spark, sf_dir), max_queries=60, max_calls=11)[2].select("ref", "rung", "outcome")
+
+
+def fallback_rescued(spark, sf_dir):
+    return ladder.rescued(ladder.escalate(*_ladder_stand_ins(spark, sf_dir))[2])
 
 
 def queries():
-    found = (prototype_queries, prototype_pool, prototype_reasons, prototype_winners, image_scores, daily_calls_stream, read_through_cap, fallback_ladder, normalize_names, classify_first_match, category_coverage, strip_accents_docs, build_queries, hard_filter_reasons, upscale_urls, greedy_url_dedup, greedy_hash_dedup, rank_topk, pool_merge_exclude, budget_cap, cost_by_day, cost_by_model, retry_report, funnel, funnel_summary, parse_candidates, resolve_selection)
+    found = (prototype_queries, prototype_pool, prototype_reasons, prototype_winners, image_scores, image_hash_distances, daily_calls_stream, read_through_cap, fallback_ladder, fallback_verdicts, fallback_ladder_capped, fallback_rescued, recovered_reasons, prefilter_full, shortlist, verdict_flags, condemned_links, wide_output, cost_report, cost_total, funnel_counts, coverage_summary, backlog, presentation_rules, search_requests, normalize_names, classify_first_match, category_coverage, strip_accents_docs, build_queries, hard_filter_reasons, upscale_urls, greedy_url_dedup, greedy_hash_dedup, rank_topk, pool_merge_exclude, budget_cap, cost_by_day, cost_by_model, retry_report, funnel, funnel_summary, parse_candidates, resolve_selection)
     return {f.__name__: f for f in found}

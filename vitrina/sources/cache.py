@@ -20,16 +20,24 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def scratch_path(spark: SparkSession) -> str:
-    """A new path in the folder that spark.checkpoint.dir names; a temporary one only where none is set."""
+    """A new path in the folder that spark.checkpoint.dir names. Where none is set, a local master gets a temporary folder; a cluster an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{(base or tempfile.mkdtemp(prefix='vitrina-')).rstrip('/')}/vitrina-{uuid.uuid4().hex}"
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="vitrina-")
+        spark.sparkContext.setCheckpointDir(base)
+    return f"{base.rstrip('/')}/vitrina-{uuid.uuid4().hex}"
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """df as a written table: cuts the lineage of loops and pins the answers of a provider."""
-    path = scratch_path(df.sparkSession)
+    """df as a written table: cuts the lineage of loops and pins the answers of a provider. It goes with the session."""
+    spark = df.sparkSession
+    path = scratch_path(spark)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = spark._jvm.org.apache.hadoop.fs.Path(path)
+    written.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(written)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def answers(spark: SparkSession, path: str) -> DataFrame | None:
@@ -41,21 +49,22 @@ def read_through(rows: DataFrame, key: list[str], path: str, call: Callable[[Dat
 
     ``call`` adds ok, value and error to the rows it is given. Keys not held are called in order until
     ``cap`` calls succeeded; failures do not count. Rows that no call was left for are not returned. A key
-    that occurs in several rows is called once.
+    that occurs in several rows is called once. Rows of one place in the order go by their key.
     """
     spark = rows.sparkSession
     held = answers(spark, path)
     misses = rows if held is None else rows.join(held.filter("ok").select(*key), key, "left_anti")
     first = F.row_number().over(Window.partitionBy(*key).orderBy(order))
-    misses = saved(misses.withColumn("__n", first).filter("__n = 1").drop("__n"))
+    place = F.struct(F.col(order), *[F.col(c) for c in key if c != order])
+    misses = saved(misses.withColumn("__n", first).filter("__n = 1").drop("__n").withColumn("__place", place))
     done, after, run = 0, None, uuid.uuid4().hex
     while cap is None or done < cap:
-        turn = misses if after is None else misses.filter(F.col(order) > after)
+        turn = misses if after is None else misses.filter(F.col("__place") > F.struct(*[F.lit(x) for x in after]).cast(misses.schema["__place"].dataType))
         if cap is not None:
-            turn = turn.orderBy(order).limit(cap - done)
+            turn = turn.orderBy("__place").limit(cap - done)
         batch = uuid.uuid4().hex
-        call(turn).select(*dict.fromkeys([*key, order]), "ok", "value", "error", F.lit(run).alias("run"), F.lit(batch).alias("batch")).write.mode("append").parquet(path)
-        n, good, last = spark.read.parquet(path).filter(F.col("batch") == batch).agg(F.count("*"), F.count_if("ok"), F.max(order)).first()
+        call(turn.drop("__place")).select(*dict.fromkeys([*key, order]), "ok", "value", "error", F.lit(run).alias("run"), F.lit(batch).alias("batch")).write.mode("append").parquet(path)
+        n, good, last = spark.read.parquet(path).filter(F.col("batch") == batch).agg(F.count("*"), F.count_if("ok"), F.max(place)).first()
         if cap is None or n < cap - done:
             break
         done, after = done + good, last
