@@ -53,6 +53,22 @@ def saved(df: DataFrame, rows: int | None = None) -> DataFrame:
     return Scratch(df, rows).df
 
 
+class Bucketed:
+    """A scratch table dealt by a column, so that what is grouped or joined by that column meets it without moving it."""
+
+    def __init__(self, df: DataFrame, column: str, buckets: int):
+        spark = df.sparkSession
+        self.name, self.path = f"vitrina_{uuid.uuid4().hex}", f"{scratch_dir(spark)}/vitrina-{uuid.uuid4().hex}"
+        df.write.format("parquet").bucketBy(buckets, column).option("path", self.path).saveAsTable(self.name)
+        self.df = spark.table(self.name)
+
+    def drop(self) -> None:
+        spark = self.df.sparkSession
+        spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

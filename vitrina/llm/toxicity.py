@@ -13,7 +13,8 @@ the corpus. Texts are read once, in blocks that keep their distinct words and fo
 words. A block sends its distinct grams, with their counts in texts of each kind, to the parts of the models: grams
 are dealt by the four bytes before the last, which all that a gram's ratio needs has in common, so each part is counted
 and used where it lies, and no model is ever gathered. What returns is a block's ratios, in the order of its
-grams, in half precision. All that is sent is packed in byte planes and compressed.
+grams, in half precision. All that is sent is packed in byte planes and compressed; the blocks are written once, dealt by
+their number, and never moved.
 
 Edge cases: a null or empty text has no evidence and the score of the fitted prior; very long texts are a block of
 their own; without toxic or without ordinary training texts the score is the prior share for all; repeated labels of a
@@ -33,13 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.llm import arrays as A
-from vitrina.llm.tables import saved, texts
+from vitrina.llm.tables import Bucketed, saved, shuffle_partitions, texts
 
 U64 = np.uint64
 ORDER, BACKOFF = 8, 5
 DISCOUNT = 0.75
 #: Bytes of text in a block, and blocks to a part of the models.
-BLOCK, BLOCKS_A_PART = 16 << 20, 2
+BLOCK, BLOCKS_A_PART = 8 << 20, 3
 #: Kinds of labelled texts (2 * fold + toxic) that are toxic and ordinary, for the model of all and for those of texts of fold 0 and 1.
 MODELS = (({1, 3}, {0, 2}), ({3}, {2}), ({1}, {0}))
 SCORE_AT = 0.7
@@ -203,6 +204,7 @@ def _part(table: pa.Table) -> pa.Table:
     found = ratios(np.concatenate(gram), counts).astype("<f2")
     ends = np.cumsum([len(g) for g in gram])
     packed = [A.squeeze(found[:, a:b].ravel()) for a, b in zip(np.r_[0, ends[:-1]], ends, strict=True)]
+    A.give_back()
     return pa.table({"block": table.column("block"), "part": table.column("part"), "ratio": pa.array(packed, pa.binary())})
 
 
@@ -243,6 +245,7 @@ def _judged(parts: int):
         for m, r in enumerate((each, crossed)):
             x = evidence(r, lengths, at, held.word, held.times)
             out |= {f"whole{m}": pa.array(x[:, 0]), f"worst{m}": pa.array(x[:, 1])}
+        A.give_back()
         return pa.table(out)
 
     return run
@@ -263,15 +266,19 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50
 
 def _evidence(docs: DataFrame, known: DataFrame) -> DataFrame:
     """doc_id and evidence of every row of docs."""
-    blocks = saved(texts(docs).mapInArrow(_blocks, "ids array<long>, words binary, size binary, step binary, times binary").withColumn("block", F.monotonically_increasing_id()))
-    parts = max(12, blocks.select("block").count() // BLOCKS_A_PART)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    made = texts(docs).mapInArrow(_blocks, "ids array<long>, words binary, size binary, step binary, times binary").withColumn("block", F.monotonically_increasing_id())
+    held = Bucketed(made, "block", max(shuffle_partitions(docs.sparkSession), size // (2 * BLOCK)))
+    blocks, parts = held.df, max(12, size // (BLOCKS_A_PART * BLOCK))
     rows = blocks.select("block", F.posexplode("ids").alias("row", "doc_id")).filter(~held_out())
     marks = rows.join(known.filter(~held_out()).hint("merge"), "doc_id").select("block", (4 * F.col("row").cast("long") + 2 * fold() + F.col("toxic")).alias("mark"))
     marked = blocks.drop("ids").join(marks.groupBy("block").agg(F.collect_list("mark").alias("marks")).hint("merge"), "block", "left")
     asks = marked.mapInArrow(_asks(parts), "part int, block long, gram binary, n0 binary, n1 binary, n2 binary, n3 binary")
     answers = asks.groupBy("part").applyInArrow(_part, "block long, part int, ratio binary")
     schema = "doc_id long, " + ", ".join(f"whole{m} double, worst{m} double" for m in range(2))
-    return saved(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_judged(parts), schema))
+    found = saved(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_judged(parts), schema))
+    held.drop()
+    return found
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> DataFrame:
