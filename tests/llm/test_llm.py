@@ -183,6 +183,15 @@ def test_top_k_of_repeated_rows(spark):
     assert found == sorted(((7 ^ c).bit_count(), i) for i, c in set(codes) if i != 100)[:10]
 
 
+def test_top_k_of_odd_rows(spark):
+    v = [0.5] * 64
+    rows = [(100, v), (1, v), (1, v), (2, None), (3, v[:63]), (None, v), (200, None), (4, [-x for x in v]), (300, [0.0] * 64)]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>").select("id", topk.sign_code("embedding").alias("code"), F.lit("x").alias("q"), F.lit(1).alias("n"))
+    found = [(r.query_id, r.neighbour_id, r.distance) for r in topk.nearest_codes(df, df.filter("id % 100 = 0"), 2).orderBy("query_id", "rank").collect()]
+    assert found == [(100, 1, 0), (100, 4, 64), (300, 4, 0), (300, 1, 64)]
+    assert topk.nearest_codes(df.limit(0), df.limit(0), 2).count() == 0 and topk.nearest_codes(df, df.limit(0), 2).count() == 0
+
+
 def test_toxicity(spark, docs, labels):
     rows = toxicity.toxicity(docs, labels).collect()
     assert len(rows) == docs.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
@@ -255,11 +264,101 @@ def test_leaks(spark):
     assert decontaminate.leaks(table(spark, texts), bench.limit(0)).count() == 0
 
 
+def test_leaks_with_insertions_and_odd_rows(spark):
+    words = [f"w{i}" for i in range(160)]
+    item, short = " ".join(words), "one two three four five six"
+    inserted = " ".join(words[:80] + [f"new{i}" for i in range(9)] + words[80:])
+    gone = " ".join(words[:70] + words[80:])
+    rows = [(1, "pad " * 7 + inserted + " tail" * 30), (2, gone), (3, short), (3, "another text"), (3, short), (None, short), (4, "x " * 60000 + short), (5, "One, two; THREE four five six")]
+    bench = spark.createDataFrame([(1, item), (2, short), (2, short), (None, short), (9, "lost " * 70000)], "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("words", F.lit("x")).withColumn("start", F.lit(1))
+    found = {(r.doc_id, r.item_id): (r.similarity, r.start_word) for r in decontaminate.leaks(docs, bench).collect()}
+    assert set(found) == {(1, 1), (2, 1), (3, 2), (4, 2), (5, 2)}
+    assert found[3, 2] == (1.0, 0) and found[4, 2] == (1.0, 60000) and found[5, 2][0] == 1.0
+
+    def best(text):
+        w, its = text.split(), {tuple(words[i : i + 5]) for i in range(156)}
+        weight = lambda s: 1 + np.log(3) if s not in its else 1 + np.log(3 / 1)
+        out = []
+        for k in range(len(w)):
+            own = {tuple(w[i : i + 5]) for i in range(k, min(k + 156, len(w) - 4))}
+            if own:
+                out.append((sum(map(weight, own & its)) / sum(map(weight, own | its)), -k))
+        return max(out)
+
+    for i, text in ((1, rows[0][1]), (2, gone)):
+        sim, start = best(text)
+        assert abs(found[i, 1][0] - sim) < 1e-9 and found[i, 1][1] == -start
+
+
 def test_quality(spark, docs, labels):
     assert quality.quality(docs, labels).count() == docs.count()
     assert quality.quality(table(spark, ODD), labels.limit(0)).filter("not kept").count() == 0
 
 
+def plain_shape(text):
+    """The features of a text, one by one."""
+    b = text.encode()
+    kind = lambda f: sum(map(f, b))
+    lower, upper, digit, space = (kind(f) for f in (lambda c: 97 <= c <= 122 or c >= 128, lambda c: 65 <= c <= 90, lambda c: 48 <= c <= 57, lambda c: c in b"\t\n\x0b\x0c\r "))
+    symbols = kind(lambda c: c < 128 and not (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122) and c not in b"\t\n\x0b\x0c\r '\",-.:;?".replace(b'"', b""))
+    w = re.findall(rb"[0-9a-z\x80-\xff]+", text.lower().encode())
+    runs, longest = 0, 0
+    for i, x in enumerate(w):
+        runs = runs + 1 if i and w[i - 1] == x else 1
+        longest = max(longest, runs)
+    n, size = max(len(w), 1), max(len(b), 1)
+    again = sum(x == y for x, y in zip(w, w[1:]))
+    return [np.log1p(len(w)), sum(map(len, w)) / n, upper / max(lower + upper, 1), digit / size, symbols / size, space / size, len(set(w)) / n, again / n, np.log1p(longest) / np.log1p(n + 1), b.count(b"\n") / size] if b else [0.0] * 10
+
+
+def test_quality_against_a_plain_model(spark, docs, labels):
+    rows = docs.collect()
+    good = {}
+    for r in labels.collect():
+        if r.quality is not None:
+            good[r.doc_id] = max(good.get(r.doc_id, 0), int(r.quality > 0))
+    x = np.array([plain_shape(r.text or "") for r in rows])
+    seen = [i for i, r in enumerate(rows) if r.doc_id in good]
+    y = np.array([good[rows[i].doc_id] for i in seen])
+    middle, scale = x[seen].mean(0), np.maximum(x[seen].std(0), 1e-6)
+    z = np.c_[(x - middle) / scale, np.ones(len(x))]
+    w = np.zeros(z.shape[1])
+    for _ in range(100):  # Newton's method on the penalised likelihood
+        p = 1 / (1 + np.exp(-z[seen] @ w))
+        w += np.linalg.solve((z[seen].T * (p * (1 - p))) @ z[seen] + np.eye(len(w)), z[seen].T @ (y - p) - w)
+    prior = (y.sum() + 1) / (len(y) + 2)
+
+    def groups(key):
+        out = {}
+        for i, k in zip(seen, y):
+            n, g = out.get(key(rows[i]), (0, 0))
+            out[key(rows[i])] = (n + 1, g + k)
+        return out
+
+    def pull(held, mean):
+        n = np.array([v[0] for v in held.values()], float)
+        g = np.array([v[1] for v in held.values()], float)
+        m = np.array([mean(k) for k in held])
+        within, spread = (n * m * (1 - m)).sum() / n.sum(), (n * (g / n - m) ** 2).sum()
+        excess = (spread - (m * (1 - m)).sum()) / n.sum()
+        return np.clip(within / excess - 1, 1, 1e4) if excess > 0 else 1e4
+
+    hosts, paths = groups(lambda r: r.source or ""), groups(lambda r: (r.source or "", r.lang or ""))
+    k_host = pull(hosts, lambda k: prior)
+    host = {k: (g + k_host * prior) / (n + k_host) for k, (n, g) in hosts.items()}
+    k_path = pull(paths, lambda k: host[k[0]])
+    path = {k: (g + k_path * host[k[0]]) / (n + k_path) for k, (n, g) in paths.items()}
+    found = {r.doc_id: r for r in quality.quality(docs, labels).collect()}
+    for i, r in enumerate(rows):
+        h = host.get(r.source or "", prior)
+        q = path.get((r.source or "", r.lang or ""), h)
+        score = 1 / (1 + np.exp(-(z[i] @ w + np.log(q / (1 - q)) - np.log(prior / (1 - prior)))))
+        got = found[r.doc_id]
+        assert abs(got.evidence - z[i] @ w) < 1e-4 and abs(got.host_share - h) < 1e-9 and abs(got.path_share - q) < 1e-9 and abs(got.score - score) < 1e-4 and got.kept == (got.score >= 0.5)
+    assert quality.quality(docs.limit(0), labels).count() == 0
+
+
 def test_secrets(spark):
     key = "".join("0123456789abcdef"[(i * 7 + i * i) % 16] for i in range(40))
     random = "q7Zk2LxV9mPb4TtR8wYc3Ns"
@@ -301,6 +400,15 @@ def test_urls(spark):
     assert found == {1: (None, "block"), 2: (None, "block"), 3: ("net/fr/", "block"), 4: (None, "allow"), 5: (None, "allow"), 6: ("www.example.com/en/", "allow"), 7: ("example.com/en/", "block")}
 
 
+def test_urls_of_odd_rows(spark):
+    long = "http://a.net/es/" + "x" * 50000
+    pages = [(1, None, None), (1, None, None), (2, "no scheme", ""), (3, long, None), (3, long, None), (4, "HTTP://A.NET:80/es/?q#f", "<link " * 9000), (None, "http://b.org/", "")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("rule", F.lit("x")).withColumn("component", F.lit(1))
+    got = Counter((r.page_id, r.host, r.rule, r.verdict) for r in urls.url_verdicts(df, [("block", "net", "/es/")]).collect())
+    assert got == Counter({(1, "", None, "allow"): 2, (2, "", None, "allow"): 1, (3, "a.net", "net/es/", "block"): 2, (4, "a.net:80", None, "allow"): 1, (None, "b.org", None, "allow"): 1})
+    assert urls.url_verdicts(df.limit(0), [("block", "net", "/es/")]).count() == 0
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (5, 4), (6, 6), (3, 9), (None, 1)]
     found = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}

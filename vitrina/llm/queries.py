@@ -19,16 +19,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table, dealt anew if it lies in fewer partitions (of one row group, say) than there are cores."""
+    rows, cores = _table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.select(F.spark_partition_id().alias("p")).distinct().count() < cores else rows
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unigram_trie.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return unigram_trie.token_counts(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunked_bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return chunked_bpe.digests(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_dup.near_duplicates(_documents(spark, sf_dir))
 
 
 def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,20 +43,20 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return toxicity.toxicity(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = decontaminate.leaks(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return quality.quality(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.secrets(_table(spark, sf_dir, "documents"))
+    return secrets.secrets(_documents(spark, sf_dir))
 
 
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +64,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
+    return repeats.remove_repeats(_documents(spark, sf_dir)).drop("spans")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -85,12 +91,12 @@ bs AS (SELECT item_id, len(w) AS n_words, list_transform(range(1, len(w) - 3), l
 weights AS (SELECT shingle, 1 + ln((SELECT count(*) FROM bs)::DOUBLE / count(*)) AS weight FROM (SELECT item_id, unnest(list_distinct(s)) AS shingle FROM bs) GROUP BY shingle),
 dp AS (SELECT doc_id, unnest(s) AS shingle, unnest(range(0, len(s))) AS pos FROM ds),
 bp AS (SELECT item_id, n_words, unnest(s) AS shingle, unnest(range(0, len(s))) AS place FROM bs),
-starts AS (
-  SELECT DISTINCT doc_id, item_id, n_words, greatest(pos - place, 0) + m AS start
-  FROM dp JOIN bp USING (shingle), (SELECT unnest([-2, -1, 0, 1, 2]) AS m) WHERE greatest(pos - place, 0) + m >= 0),
+aligned AS (SELECT DISTINCT doc_id, n_words, greatest(pos - place, 0) AS a FROM dp JOIN bp USING (shingle)),
+spans AS (SELECT *, lead(a) OVER (PARTITION BY doc_id, n_words ORDER BY a) AS b FROM aligned),
+starts AS (SELECT DISTINCT doc_id, n_words, unnest(range(greatest(a - 2, 0), CASE WHEN b - a <= n_words THEN b ELSE a + 2 END + 1)) AS start FROM spans),
 wins AS (
   SELECT doc_id, item_id, n_words, start, list_distinct(ds.s[start + 1:start + n_words - 4]) AS own, list_distinct(bs.s) AS its
-  FROM starts JOIN ds USING (doc_id) JOIN bs USING (item_id, n_words)),
+  FROM starts JOIN ds USING (doc_id) JOIN bs USING (n_words)),
 long AS (
   SELECT doc_id, item_id, n_words, start, unnest(list_distinct(list_concat(own, its))) AS shingle, own, its FROM wins WHERE len(own) > 0),
 sims AS (

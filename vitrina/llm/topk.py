@@ -7,7 +7,7 @@ than s in each segment is at least m (s + 1) away), so a query is done when its
 no more than that.
 
 Scale: equal codes are one row of the index with their least k + 1 ids, which is all that can be among the
-k nearest by (distance, id), so copies in any number cost nothing; of a query's candidates at most k + 1
+k nearest by (distance, id), so copies in any number cost nothing, and each task passes on no more than so many of a code; of a query's candidates at most k + 1
 codes are kept from step to step for the same reason. Queries and index meet in merge joins by segment
 value: probes grow with the radius, which Spark's estimate of their size does not see, so that it would
 broadcast them.
@@ -19,6 +19,7 @@ rows; repeated rows of one id count once; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,16 +40,23 @@ def _segment_values(code: Column, bits: int, segments: int) -> Column:
     return F.array(*[F.shiftrightunsigned(code, width * j).bitwiseAND(F.lit((1 << width) - 1)) for j in range(segments)])
 
 
-def nearest_codes(vectors: DataFrame, queries: DataFrame, k: int = 10, bits: int = 64, segments: int = 4) -> DataFrame:
+def segments_for(n: int, bits: int = 64) -> int:
+    """Segments of about log2(n) bits, so that a segment value has about one of n codes."""
+    return min((s for s in range(2, bits // 2 + 1) if bits % s == 0), key=lambda s: abs(bits / s - math.log2(max(n, 2))))
+
+
+def nearest_codes(vectors: DataFrame, queries: DataFrame, k: int = 10, bits: int = 64, segments: int | None = None) -> DataFrame:
     """For each query id its k nearest vectors: query_id, neighbour_id, distance, rank.
 
-    Both tables have columns id and code. ``bits`` is a multiple of ``segments``; with about
-    log2(number of vectors) bits a segment, a segment value has about one vector.
+    Both tables have columns id and code. ``bits`` is a multiple of ``segments``, which by default follow from
+    the number of distinct codes.
     """
-    width, most = bits // segments, k + 1
+    most = k + 1
     first = Window.partitionBy("code").orderBy("id")
     least = vectors.select("id", "code").filter("id is not null and code is not null").distinct().withColumn("n", F.row_number().over(first)).filter(F.col("n") <= most)
     codes = Scratch(least.groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids")))
+    segments = segments or segments_for(codes.df.count(), bits)
+    width = bits // segments
     index = Scratch(codes.df.select("code", F.size("ids").alias("n"), F.col("ids")[0].alias("least"), F.posexplode(_segment_values(F.col("code"), bits, segments)).alias("segment", "value")))
     asked = queries.select("id", "code").filter("id is not null and code is not null").distinct()
     open_ = Scratch(asked.select(F.col("code").alias("q")).distinct())

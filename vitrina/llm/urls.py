@@ -11,8 +11,9 @@ Scale: hosts are matched to rules by equi-joins on their suffixes; the component
 joins only, never a gathered neighbourhood.
 
 Edge cases: a null url or one without "://" has an empty host and path, fits no rule, has no aliases and
-is allowed; null HTML has no links; pages with equal urls are aliases; an empty table gives an empty result;
-every input row gives a row; further columns are ignored.
+is allowed; null HTML has no links, very long HTML and urls are whole; pages with equal urls are aliases; of rules of one
+length an allow goes first; every input row, repeated or not, gives a row; an empty table gives an empty result; further
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -79,9 +80,13 @@ def url_verdicts(pages: DataFrame, rules: Iterable[tuple[str, str, str]], redire
     spark = pages.sparkSession
     table = spark.createDataFrame(list(rules), "action string, host string, path string")
     parsed = saved(pages.select("page_id", "url", host_of("url").alias("host"), path_of("url").alias("path")))
-    ruled = saved(parsed.join(fitting_rule(parsed, table), ["host", "path"], "left"))
-    groups = connected_components(alias_edges(pages, redirects), "a", "b")
+    none = "url is null or not contains(url, '://')"  # these fit no rule, and would all meet in one task of a join
+    whole = parsed.filter(f"not ({none})")
+    known = whole.join(fitting_rule(whole, table), ["host", "path"], "left").select(*parsed.columns, "rule", "action")
+    ruled = saved(known.unionByName(parsed.filter(none).select("*", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("action"))))
+    groups = connected_components(alias_edges(pages, redirects), "a", "b", 2 * parsed.count())
     decided = ruled.filter("action is not null").select("url", "action").distinct().join(groups, F.col("url") == F.col("node")).groupBy("component").agg(F.max(F.col("action") == "allow").alias("allowed"))
     open_ = ruled.filter("action is null and url is not null").select("url").distinct().join(groups, F.col("url") == F.col("node")).join(decided, "component").select("url", "allowed")
     verdict = F.coalesce("action", F.when(F.col("allowed"), "allow").when(~F.col("allowed"), "block"), F.lit("allow"))
-    return ruled.join(open_, "url", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"), (F.col("action").isNull() & F.col("allowed").isNotNull()).alias("by_alias"))
+    told = ruled.filter("url is not null").join(open_, "url", "left").unionByName(ruled.filter("url is null").withColumn("allowed", F.lit(None).cast("boolean")))
+    return told.select("page_id", "host", "path", "rule", verdict.alias("verdict"), (F.col("action").isNull() & F.col("allowed").isNotNull()).alias("by_alias"))
