@@ -27,8 +27,8 @@ def pixels(data: list[bytes], h: int, w: int, n: int) -> np.ndarray:
 
 def sampled(a: np.ndarray, weight: np.ndarray, white: float = rules.WHITE) -> tuple[np.ndarray, np.ndarray]:
     """Of each image's weighted pixels the share that is white in every channel, and the mean deviation of its channels."""
+    share = np.tensordot((a.min(axis=3) >= white).astype(int), weight, 2) / weight.sum()
     weight = weight / weight.sum()
-    share = np.tensordot(a.min(axis=3) >= white, weight, 2)
     mean = np.einsum("nhwc,hw->nc", a, weight, dtype=float)
     square = np.einsum("nhwc,hw->nc", np.square(a, dtype=float), weight)
     return share, np.sqrt(np.maximum(square - mean**2, 0)).mean(axis=1)

@@ -162,7 +162,7 @@ def _ledger(spark, sf_dir):
     kind = F.element_at(F.create_map(*[F.lit(x) for x in ("view", "cse_call", "click", "gemini_call", "error", "cse_retry", "signup", "gemini_retry", "purchase", "other")]), F.col("event_type"))
     model = F.get(F.array(*map(F.lit, ("gemini-2.5-flash", "gemini-2.5-pro", "unknown"))), (F.col("user_id") % 3).cast("int"))
     k = F.get_json_object("props", "$.k").cast("long")
-    return _t(spark, sf_dir, "events").select("ts", "props", kind.alias("kind"), model.alias("model"), (k * 1000).alias("prompt_tokens"), F.when(k % 5 > 0, k * 100).alias("output_tokens"), (k * 10).alias("thoughts_tokens"))
+    return _t(spark, sf_dir, "events").select("ts", "props", kind.alias("kind"), model.alias("model"), (k * 997).alias("prompt_tokens"), F.when(k % 5 > 0, k * 101).alias("output_tokens"), (k * 13).alias("thoughts_tokens"))
 
 
 def cost_report(spark, sf_dir):
@@ -322,8 +322,8 @@ def fallback_verdicts(spark, sf_dir):
 
 
 def fallback_ladder_capped(spark, sf_dir):
-    """Product by product, until 60 searches or 11 calls are spent."""
-    return ladder.escalate_in_order(*_ladder_stand_ins(spark, sf_dir), max_queries=60, max_calls=11)[2].select("ref", "rung", "outcome")
+    """Product by product, until 8 searches or 2 calls are spent."""
+    return ladder.escalate_in_order(*_ladder_stand_ins(spark, sf_dir), max_queries=8, max_calls=2)[2].select("ref", "rung", "outcome")
 
 
 def fallback_rescued(spark, sf_dir):

@@ -51,7 +51,7 @@ _LEDGER = """
 WITH l AS (SELECT ts, event_type AS kind, (['gemini-2.5-flash', 'gemini-2.5-pro', 'unknown'])[user_id % 3 + 1] AS model, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
 d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM l WHERE kind = 'view' GROUP BY 1),
 s AS (SELECT CAST(sum(n) AS BIGINT) AS calls, CAST(sum(greatest(n - 50, 0)) AS BIGINT) AS billable FROM d),
-m AS (SELECT model, count(*) AS calls, CAST(sum(k * 1000) AS BIGINT) AS i, CAST(sum(CASE WHEN k % 5 > 0 THEN k * 100 ELSE 0 END + k * 10) AS BIGINT) AS o FROM l WHERE kind = 'click' GROUP BY 1),
+m AS (SELECT model, count(*) AS calls, CAST(sum(k * 997) AS BIGINT) AS i, CAST(sum(CASE WHEN k % 5 > 0 THEN k * 101 ELSE 0 END + k * 13) AS BIGINT) AS o FROM l WHERE kind = 'click' GROUP BY 1),
 r AS (SELECT 'CSE' AS servicio, calls AS llamadas, CAST(NULL AS BIGINT) AS tokens_entrada, CAST(NULL AS BIGINT) AS tokens_salida, round_even(billable / 1000.0 * 5, 4) AS costo_usd, billable || ' facturables tras 50 gratis/dia' AS nota FROM s
   UNION ALL SELECT model, calls, i, o, round_even((i * a + o * b) / 1e6, 4), 'salida incluye thinking tokens' FROM m LEFT JOIN (VALUES ('gemini-2.5-flash', 0.30::DOUBLE, 2.50::DOUBLE), ('gemini-2.5-pro', 1.25, 10.0)) x(name, a, b) ON model = name)
 """
@@ -132,10 +132,10 @@ def oracle_sql() -> dict[str, str]:
         "fallback_verdicts": _NAMES + _LADDER.replace("\nWITH a AS", ", a AS").replace("p_brand AS marca, ", "") + """SELECT ref, CAST((kept2 > 0)::INT + (out2 <> 'resuelto' AND kept3 > 0)::INT AS INTEGER) AS passes, CAST(CASE WHEN out2 = 'resuelto' THEN 2 ELSE 3 END AS INTEGER) AS rung, CASE WHEN out2 = 'resuelto' THEN ref || ' ' || marca ELSE nombre_limpio END AS query,
   CASE WHEN kept2 = 0 THEN NULL WHEN out2 = 'resuelto' THEN '' ELSE 'sin_imagen' END AS flags, array_to_string(list_transform(list_sort(list_concat(bad, CASE WHEN out2 <> 'resuelto' AND kept3 > 0 THEN [list_min(usable3)] ELSE [] END)), lambda x: 'http://x/' || x), ', ') AS condemned FROM g JOIN norm USING (ref)""",
         "fallback_ladder_capped": _LADDER + """, each AS (SELECT ref, rung, outcome, outcome IN ('resuelto', 'sigue_pendiente') AS call, row_number() OVER w AS nth, coalesce(sum((outcome IN ('resuelto', 'sigue_pendiente'))::INT) OVER (ORDER BY ref, rung ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS calls FROM log WINDOW w AS (ORDER BY ref, rung)),
-  stop AS (SELECT min(nth) FILTER (call AND calls >= 11) AS at FROM each),
-  cut AS (SELECT ref, rung, CASE WHEN call AND calls >= 11 THEN 'omitido_cap_gemini' ELSE outcome END AS outcome FROM each),
+  stop AS (SELECT min(nth) FILTER (call AND calls >= 2) AS at FROM each),
+  cut AS (SELECT ref, rung, CASE WHEN call AND calls >= 2 THEN 'omitido_cap_gemini' ELSE outcome END AS outcome FROM each),
   whole AS (SELECT ref, rung, outcome, row_number() OVER (ORDER BY ref, rung) AS nth FROM cut c WHERE NOT EXISTS (SELECT 1 FROM cut x WHERE x.ref = c.ref AND x.rung < c.rung AND x.outcome = 'omitido_cap_gemini'))
-  SELECT ref, rung, CASE WHEN nth <= 60 THEN outcome ELSE 'omitido_cap_cse' END AS outcome FROM whole w WHERE nth <= 60 OR NOT EXISTS (SELECT 1 FROM whole x WHERE x.ref = w.ref AND x.rung < w.rung AND x.nth > 60)""",
+  SELECT ref, rung, CASE WHEN nth <= 8 THEN outcome ELSE 'omitido_cap_cse' END AS outcome FROM whole w WHERE nth <= 8 OR NOT EXISTS (SELECT 1 FROM whole x WHERE x.ref = w.ref AND x.rung < w.rung AND x.nth > 8)""",
         "fallback_rescued": _LADDER + "SELECT count(*) FILTER (outcome = 'resuelto') AS rescued, count(DISTINCT ref) AS tried FROM log",
         "build_queries": _NAMES + r"""SELECT ref, rung, CASE rung WHEN 1 THEN '"' || ref || '" "' || marca || '"' WHEN 2 THEN ref || ' ' || marca ELSE nombre_limpio END AS query,
   coalesce(nullif(regexp_replace(trim(marca), '[^A-Za-z0-9._-]+', '_', 'g'), ''), 'unknown') AS safe FROM norm, (SELECT unnest([1, 2, 3]) AS rung)""",
