@@ -33,7 +33,7 @@ from vitrina.llm.tables import texts
 
 U64 = np.uint64
 #: Mean bytes of a chunk, as a power of two, and the bytes that decide on a cut.
-CHUNK_BITS, GRAM = 9, 16
+CHUNK_BITS, GRAM = 10, 16
 #: Bytes of text whose chunks a worker keeps.
 STORE = 48 << 20
 _SPACE = np.zeros(256, bool)
@@ -57,6 +57,8 @@ class Codec:
         for token, i in vocabulary.items():
             self.bytes_of[i] = token.encode() if token in special else bytes(table[c] for c in token)
         self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
+        self.bytes_at = np.cumsum(self.lengths) - self.lengths
+        self.spelled = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self.store: dict[bytes, np.ndarray] = {}
         self.held = 0
 
@@ -82,8 +84,15 @@ class Codec:
         self.store, self.held = {}, 0
         A.give_back()
 
-    def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
+    def decode(self, texts: list[np.ndarray]) -> list[str]:
+        """The text of each array of ids: the bytes of all ids, gathered at once, and cut by text."""
+        ids = np.concatenate(texts) if texts else np.empty(0, np.int64)
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.bytes_at[ids] - ends + lengths, lengths)
+        data = self.spelled[place].tobytes()
+        cuts = np.r_[0, ends][np.cumsum([0, *map(len, texts)])].tolist()
+        return [data[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where chunks begin, and the end: at texts' offsets and where the content says so, on whole characters."""
@@ -209,7 +218,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             ids = held.texts(batch.column("text"))
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             flat = np.concatenate(ids).astype(np.int32) if ids else np.empty(0, np.int32)
-            exact = [held.decode(x) == t for x, t in zip(ids, batch.column("text").to_pylist(), strict=True)]
+            exact = [x == t for x, t in zip(held.decode(ids), batch.column("text").to_pylist(), strict=True)]
             yield pa.record_batch({"doc_id": batch.column("doc_id").cast(pa.int64()), "n_tokens": pa.array([len(x) for x in ids], pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), "exact": pa.array(exact, pa.bool_())})
         held.forget()
 
@@ -222,7 +231,8 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = codec(path)
         for batch in batches:
-            out = [held.decode(np.array(x or [], np.int64)) for x in batch.column("ids").to_pylist()]
+            ids = [np.array(x or [], np.int64) for x in batch.column("ids").to_pylist()]
+            out = [t for at in range(0, len(ids), 256) for t in held.decode(ids[at : at + 256])]
             yield pa.record_batch({"doc_id": batch.column("doc_id").cast(pa.int64()), "text": pa.array(out, pa.string())})
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
@@ -240,7 +250,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
                     "doc_id": batch.column("doc_id").cast(pa.int64()),
                     "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
                     "ids_sha256": pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids], pa.string()),
-                    "decoded_sha256": pa.array([hashlib.sha256(held.decode(x).encode()).hexdigest() for x in ids], pa.string()),
+                    "decoded_sha256": pa.array([hashlib.sha256(x.encode()).hexdigest() for x in held.decode(ids)], pa.string()),
                 }
             )
 

@@ -57,23 +57,30 @@ def fold() -> F.Column:
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row a block: doc_ids, distinct words, and of each text how many it has, their numbers and their counts."""
     for batch in A.slices(batches, limit=BLOCK):
-        data, offsets = A.text_bytes(batch.column("text"), lower=True)
-        starts, ends, at = A.words(data, offsets)
-        _, first, word, n = np.unique(A.span_hash(A.prefix_hash(data), starts, ends), return_index=True, return_inverse=True, return_counts=True)
-        order = np.argsort(-n, kind="stable")  # frequent words get small numbers, which pack well
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        raw = data.tobytes()
-        words = b"\n".join([raw[a:b] for a, b in zip(starts[first[order]].tolist(), ends[first[order]].tolist(), strict=True)])
-        pairs, times = np.unique((np.repeat(np.arange(batch.num_rows), np.diff(at)) << 32) | rank[word], return_counts=True)
-        size = np.diff(np.searchsorted(pairs, np.arange(batch.num_rows + 1) << 32))
-        number = pairs & 0xFFFFFFFF
-        step = np.diff(number, prepend=0)
-        begin = np.r_[0, np.cumsum(size)[:-1]][size > 0]
-        step[begin] = number[begin]
-        row = {"ids": pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("doc_id").cast(pa.int64()))}
-        packed = {"words": A.squeeze(np.frombuffer(words, np.uint8)), "size": A.squeeze(size.astype("<u4")), "step": A.squeeze(step.astype("<u4")), "times": A.squeeze(times.astype("<u4"))}
-        yield pa.record_batch(row | {k: pa.array([x], pa.binary()) for k, x in packed.items()})
+        yield _made_block(batch)
+
+
+def _made_block(batch: pa.RecordBatch) -> pa.RecordBatch:
+    data, offsets = A.text_bytes(batch.column("text"), lower=True)
+    starts, ends, at = A.words(data, offsets)
+    _, first, word, n = np.unique(A.span_hash(A.prefix_hash(data), starts, ends), return_index=True, return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")  # frequent words get small numbers, which pack well
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    raw, own = data.tobytes(), first[order]
+    words = b"\n".join([raw[a:b] for a, b in zip(starts[own].tolist(), ends[own].tolist(), strict=True)])
+    del data, raw, starts, ends, first, own
+    pairs = (np.repeat(np.arange(batch.num_rows), np.diff(at)) << 32) | rank[word]
+    del word, rank, order, n
+    pairs, times = np.unique(pairs, return_counts=True)
+    size = np.diff(np.searchsorted(pairs, np.arange(batch.num_rows + 1) << 32))
+    number = pairs & 0xFFFFFFFF
+    step = np.diff(number, prepend=0)
+    begin = np.r_[0, np.cumsum(size)[:-1]][size > 0]
+    step[begin] = number[begin]
+    row = {"ids": pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("doc_id").cast(pa.int64()))}
+    packed = {"words": A.squeeze(np.frombuffer(words, np.uint8)), "size": A.squeeze(size.astype("<u4")), "step": A.squeeze(step.astype("<u4")), "times": A.squeeze(times.astype("<u4"))}
+    return pa.record_batch(row | {k: pa.array([x], pa.binary()) for k, x in packed.items()})
 
 
 class _Block:
@@ -105,26 +112,29 @@ def _asks(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {k: batch.column(k)[i] for k in batch.schema.names}
-                held = _Block(row)
-                gram, cuts, place, owner = held.sorted_grams(parts)
-                kinds = np.full(len(held.size), -1)
-                marks = np.array(row["marks"].as_py() or [], np.int64)
-                kinds[marks >> 2] = marks & 3
-                kind = np.repeat(kinds, held.size)
-                counts = []
-                for k in range(4):
-                    n = np.bincount(held.word[kind == k], weights=held.times[kind == k], minlength=len(held.words))
-                    counts.append(np.bincount(place, weights=n[owner], minlength=len(gram)).astype("<u8"))
-                some = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
-                out = {"part": pa.array(some, pa.int32()), "block": pa.array([row["block"].as_py()] * len(some), pa.int64())}
-                out["gram"] = pa.array([A.squeeze(np.diff(gram[cuts[p] : cuts[p + 1]], prepend=U64(0))) for p in some], pa.binary())
-                yield pa.record_batch(out | {f"n{k}": pa.array([A.squeeze(counts[k][cuts[p] : cuts[p + 1]]) for p in some], pa.binary()) for k in range(4)})
+                yield _asked({k: batch.column(k)[i] for k in batch.schema.names}, parts)
         A.give_back()
 
     return run
 
 
+def _asked(row: dict, parts: int) -> pa.RecordBatch:
+    held = _Block(row)
+    gram, cuts, place, owner = held.sorted_grams(parts)
+    kinds = np.full(len(held.size), -1, np.int8)
+    marks = np.array(row["marks"].as_py() or [], np.int64)
+    kinds[marks >> 2] = marks & 3
+    kind = np.repeat(kinds, held.size)
+    some = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
+    out = {"part": pa.array(some, pa.int32()), "block": pa.array([row["block"].as_py()] * len(some), pa.int64())}
+    out["gram"] = pa.array([A.squeeze(np.diff(gram[cuts[p] : cuts[p + 1]], prepend=U64(0))) for p in some], pa.binary())
+    for k in range(4):
+        n = np.bincount(held.word[kind == k], weights=held.times[kind == k], minlength=len(held.words))
+        count = np.bincount(place, weights=n[owner], minlength=len(gram)).astype("<u8")
+        out[f"n{k}"] = pa.array([A.squeeze(count[cuts[p] : cuts[p + 1]]) for p in some], pa.binary())
+    return pa.record_batch(out)
+
+
 def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The ORDER bytes that end at each byte of the words, with a space before and after each; and the words' numbers."""
     lengths = np.array([len(w) + 2 for w in words], np.int64)
