@@ -2,7 +2,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from vitrina.functions import names, prompts
+from vitrina.functions import names, prompts, rules
 from vitrina.operators import candidates, selection
 from vitrina.plans import catalog_queries, catalog_sql
 
@@ -62,3 +62,26 @@ def test_prompt_fill(spark):
     assert [r.p for r in rows.select(prompts.fill("x {a}: {b}.", a="a", b="b").alias("p")).collect()] == ["x {b}: 3.", "x : ."]
     with pytest.raises(ValueError, match="no value for c"):
         prompts.fill("{c}", a="a")
+
+
+def test_rules_can_be_given_anew(spark):
+    mine = rules.Rules(abbreviations={"BOM": "BOMBA"}, categories=(("bombas", ("BOMBA",)),), presentations={"bombas": "sola"}, vehicle_codes={"XM2": "Clio"}, exact_brand=("bombas",))
+    row = names.categorize(names.normalize(spark.createDataFrame([("bom agua XM2", "R"), ("FILTRO", "R")], "nombre string, marca string"), given=mine), given=mine).orderBy("nombre").collect()
+    assert [(r.nombre_limpio, r.categoria, r.cse_profile, r.presentacion, r.vehiculo_code) for r in row] == [("FILTRO", "otros", "baseline", "", ""), ("BOMBA AGUA XM2", "bombas", "exact_brand", "sola", "Clio")]
+
+
+def test_public_drops_private_columns(spark):
+    assert candidates.public(spark.createDataFrame([(1, 2, 3)], "ref int, _x int, phash int")).columns == ["ref"]
+
+
+def test_judge_prompt_names_the_product(spark):
+    row = spark.createDataFrame([("FILTRO", "R", "filtros", "solo", 3)], "nombre_limpio string, marca string, categoria string, presentacion string, n int").select(prompts.judge_prompt().alias("p")).first()
+    assert "Product: FILTRO" in row.p and "3 images follow, numbered 1 to 3" in row.p and "{" not in row.p
+
+
+def test_cache_key_changes_with_what_changes_the_answer(spark):
+    rows = [("A/B", 1, "baseline"), ("A B", 1, "baseline"), ("A/B", 2, "baseline"), ("A/B", 1, "exact_brand")]
+    df = spark.createDataFrame(rows, "ref string, rung int, profile string")
+    keys = [r.k for r in df.select(names.cache_key("ref", F.col("rung"), "profile").alias("k")).collect()]
+    assert len(set(keys)) == 4 and keys[0] == df.limit(1).select(names.cache_key("ref", F.col("rung"), "profile").alias("k")).first().k
+    assert df.limit(1).select(names.cache_key("ref", F.col("rung"), "profile", "co").alias("k")).first().k not in keys

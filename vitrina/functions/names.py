@@ -37,40 +37,40 @@ def strip_accents(c: str | Column) -> Column:
     return F.when(_col(c).isNull() | simple, plain).otherwise(_decomposed(F.when(~simple, _col(c))))
 
 
-def clean_basic(c: str | Column) -> Column:
+def clean_basic(c: str | Column, typos: tuple[tuple[str, str], ...] = rules.TYPOS) -> Column:
     spaced = F.regexp_replace(F.upper(F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")), r"(?U)\s+", " ")
-    return strip_accents(reduce(lambda x, t: F.regexp_replace(x, *t), rules.TYPOS, spaced))
+    return strip_accents(reduce(lambda x, t: F.regexp_replace(x, *t), typos, spaced))
 
 
-def expand_abbreviations(c: str | Column, words: dict[str, str] | None = None) -> Column:
-    table = F.create_map(*[F.lit(x) for pair in (words or rules.ABBREVIATIONS).items() for x in pair])
+def expand_abbreviations(c: str | Column, words: dict[str, str] = rules.ABBREVIATIONS) -> Column:
+    table = F.create_map(*[F.lit(x) for pair in words.items() for x in pair]) if words else F.create_map().cast("map<string,string>")
     return F.array_join(F.transform(F.filter(F.split(_col(c), r"(?U)\s+"), lambda t: t != ""), lambda t: F.coalesce(F.try_element_at(table, t), t)), " ")
 
 
-def pack(c: str | Column) -> Column:
-    return F.trim(F.regexp_extract(_col(c), rules.PACK, 0))
+def pack(c: str | Column, pattern: str = rules.PACK) -> Column:
+    return F.trim(F.regexp_extract(_col(c), pattern, 0))
 
 
-def volume(c: str | Column) -> Column:
-    found = F.regexp_extract(_col(c), rules.VOLUME, 1)
+def volume(c: str | Column, pattern: str = rules.VOLUME) -> Column:
+    found = F.regexp_extract(_col(c), pattern, 1)
     return F.when(found != "", F.concat(F.upper(found), F.lit("L"))).otherwise("")
 
 
-def strip_case_multiplier(name: str | Column, confirmed: Column) -> Column:
+def strip_case_multiplier(name: str | Column, confirmed: Column, pattern: str = rules.CASE_MULTIPLIER) -> Column:
     """Without the first case multiplier behind a volume, where a volume is confirmed."""
-    return F.when(confirmed != "", F.regexp_replace(_col(name), rules.CASE_MULTIPLIER, "$1$2")).otherwise(_col(name))
+    return F.when(confirmed != "", F.regexp_replace(_col(name), pattern, "$1$2")).otherwise(_col(name))
 
 
-def viscosity(c: str | Column) -> Column:
-    return F.upper(F.regexp_extract(_col(c), rules.VISCOSITY, 0))
+def viscosity(c: str | Column, pattern: str = rules.VISCOSITY) -> Column:
+    return F.upper(F.regexp_extract(_col(c), pattern, 0))
 
 
-def tire_size(c: str | Column) -> Column:
-    return F.upper(F.regexp_extract(_col(c), rules.TIRE, 0))
+def tire_size(c: str | Column, pattern: str = rules.TIRE) -> Column:
+    return F.upper(F.regexp_extract(_col(c), pattern, 0))
 
 
-def platform_code(c: str | Column) -> Column:
-    return F.regexp_extract(_col(c), rules.CODE, 1)
+def platform_code(c: str | Column, pattern: str = rules.CODE) -> Column:
+    return F.regexp_extract(_col(c), pattern, 1)
 
 
 def search_term(clean: str | Column, brand: str | Column) -> Column:
@@ -79,18 +79,23 @@ def search_term(clean: str | Column, brand: str | Column) -> Column:
     return F.when((b != "") & ~F.contains(_col(clean), b), F.trim(F.concat_ws(" ", _col(clean), b))).otherwise(_col(clean))
 
 
-def normalize(df: DataFrame, name: str = "nombre", brand: str = "marca") -> DataFrame:
+def _mapped(c: str | Column, table: dict[str, str]) -> Column:
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), _col(c)), F.lit("")) if table else F.lit("")
+
+
+def normalize(df: DataFrame, name: str = "nombre", brand: str = "marca", given: rules.Rules = rules.DEFAULT) -> DataFrame:
     """The catalog with the ten normalised columns."""
-    words = df.withColumn("nombre_original", F.trim(F.col(name))).withColumn("__full", expand_abbreviations(clean_basic(F.coalesce(F.col(name), F.lit("")))))
-    sized = words.withColumns({"pack": pack("__full"), "litraje": volume("__full")})
-    stripped = sized.withColumn("nombre_limpio", F.trim(F.regexp_replace(strip_case_multiplier("__full", F.col("litraje")), r"(?U)\s+", " ")))
+    full = expand_abbreviations(clean_basic(F.coalesce(F.col(name), F.lit("")), given.typos), given.abbreviations)
+    words = df.withColumn("nombre_original", F.trim(F.col(name))).withColumn("__full", full)
+    sized = words.withColumns({"pack": pack("__full", given.pack), "litraje": volume("__full", given.volume)})
+    stripped = sized.withColumn("nombre_limpio", F.trim(F.regexp_replace(strip_case_multiplier("__full", F.col("litraje"), given.case_multiplier), r"(?U)\s+", " ")))
     return stripped.withColumns(
         {
             "pack_ambiguo": (F.col("pack") != "") & (F.col("litraje") == ""),
-            "viscosidad": viscosity("nombre_limpio"),
-            "medida_llanta": tire_size("nombre_limpio"),
-            "vehiculo_code_raw": platform_code("nombre_limpio"),
-            "vehiculo_code": F.lit(""),
+            "viscosidad": viscosity("nombre_limpio", given.viscosity),
+            "medida_llanta": tire_size("nombre_limpio", given.tire),
+            "vehiculo_code_raw": platform_code("nombre_limpio", given.code),
+            "vehiculo_code": _mapped(platform_code("nombre_limpio", given.code), given.vehicle_codes),
             "termino_busqueda": search_term("nombre_limpio", brand),
         }
     ).drop("__full")
@@ -129,17 +134,16 @@ def keyword_pattern(keywords: tuple[str, ...]) -> str:
     return r"(?<![A-Za-z])(?:" + "|".join(rf"\Q{k}\E" for k in keywords) + ")"
 
 
-def classify(c: str | Column) -> Column:
+def classify(c: str | Column, given: rules.Rules = rules.DEFAULT) -> Column:
     """The first category with a keyword in the name."""
-    first = reduce(lambda w, r: w.when(_col(c).rlike(keyword_pattern(r[1])), r[0]), rules.CATEGORIES, F.when(F.lit(False), F.lit(None)))
-    return first.otherwise(rules.OTHER)
+    first = reduce(lambda w, r: w.when(_col(c).rlike(keyword_pattern(r[1])), r[0]), given.categories, F.when(F.lit(False), F.lit(None)))
+    return first.otherwise(given.other)
 
 
-def categorize(df: DataFrame, name: str = "nombre_limpio", presentations: dict[str, str] = rules.PRESENTATIONS) -> DataFrame:
+def categorize(df: DataFrame, name: str = "nombre_limpio", given: rules.Rules = rules.DEFAULT) -> DataFrame:
     """Adds categoria, cse_profile and presentacion (how the category is to be shown; for the judge's prompt)."""
-    texts = F.create_map(*[F.lit(x) for pair in presentations.items() for x in pair])
-    profile = F.when(F.col("categoria").isin(*rules.EXACT_BRAND_CATEGORIES), rules.EXACT_BRAND).otherwise(rules.BASELINE)
-    return df.withColumn("categoria", classify(name)).withColumn("cse_profile", profile).withColumn("presentacion", F.coalesce(F.try_element_at(texts, F.col("categoria")), F.lit("")))
+    profile = F.when(F.col("categoria").isin(*given.exact_brand), rules.EXACT_BRAND).otherwise(rules.BASELINE)
+    return df.withColumn("categoria", classify(name, given)).withColumn("cse_profile", profile).withColumn("presentacion", _mapped("categoria", given.presentations))
 
 
 def coverage(df: DataFrame, key: str = "categoria") -> DataFrame:

@@ -1,4 +1,6 @@
-"""Fixed values of the catalog rules: patterns, abbreviations, categories and thresholds."""
+"""Fixed values of the catalog rules: patterns, abbreviations, categories and thresholds; and the object that carries them."""
+
+from dataclasses import dataclass, field
 
 # Whole-word corrections, applied in this order.
 TYPOS = ((r"\bDELANTEROANTERO\b", "DELANTERO"), (r"\bUNID\b", "UND"), (r"\bJGO\b", "JUEGO"))
@@ -68,3 +70,26 @@ PROTOTYPE_RIVALS = ("castrol", "mobil", "shell", "valvoline", "motul", "total",
 FREE_SEARCHES, USD_PER_1000_SEARCHES = 100, 5.0
 #: USD per million tokens, in and out.
 MODEL_PRICES = {"gemini-2.5-flash": (0.30, 2.50), "gemini-2.5-pro": (1.25, 10.00)}
+
+
+@dataclass(frozen=True)
+class Rules:
+    """What names are cleaned, read and classified by. Every part can be given anew."""
+
+    typos: tuple[tuple[str, str], ...] = TYPOS
+    abbreviations: dict[str, str] = field(default_factory=lambda: ABBREVIATIONS)
+    pack: str = PACK
+    volume: str = VOLUME
+    case_multiplier: str = CASE_MULTIPLIER
+    viscosity: str = VISCOSITY
+    tire: str = TIRE
+    code: str = CODE
+    categories: tuple[tuple[str, tuple[str, ...]], ...] = CATEGORIES
+    other: str = OTHER
+    exact_brand: tuple[str, ...] = EXACT_BRAND_CATEGORIES
+    presentations: dict[str, str] = field(default_factory=lambda: PRESENTATIONS)
+    #: Platform code -> vehicle; the raw code of a name that is not in it stands for no vehicle.
+    vehicle_codes: dict[str, str] = field(default_factory=dict)
+
+
+DEFAULT = Rules()

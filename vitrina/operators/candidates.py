@@ -116,6 +116,11 @@ def exclude(pool: DataFrame, condemned: DataFrame, key: str = "ref") -> DataFram
     return pool.join(condemned.select(key, "link").distinct(), [key, "link"], "left_anti").select(*pool.columns)
 
 
+def public(pool: DataFrame) -> DataFrame:
+    """The pool without what only the prefilter needs: the hash and columns whose names begin with an underscore."""
+    return pool.select(*[c for c in pool.columns if not c.startswith("_") and c != "phash"])
+
+
 def prefilter(pool: DataFrame, k: int = rules.KEEP) -> DataFrame:
     """The k best kept rows of each pool that is scored already, where every link is reachable."""
     return prefilter_audit(pool, k=k).filter("status = 'kept'").select(*pool.columns, "rank")

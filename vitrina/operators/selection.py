@@ -107,16 +107,18 @@ def needs_fallback(flags: str | Column) -> Column:
     return f.isNull() | F.arrays_overlap(f, F.array(F.lit("sin_imagen"), F.lit("necesita_fallback")))
 
 
-def budget_cap(rows: DataFrame, cap: int, miss: str = "miss", order: str = "row_id", buckets: int = 64) -> DataFrame:
+def budget_cap(rows: DataFrame, cap: int, miss: str = "miss", order: str = "row_id", range_rows: int = 500_000) -> DataFrame:
     """Rows served: cached ones, and misses in order until ``cap`` of them.
 
-    The running count is by ranges of the order, so that no task sorts all rows.
+    The running count is by ranges of the order, of about ``range_rows`` rows where the order is dense, so that no
+    task sorts all rows; what stands before each range is a table of one row a range.
     """
     n = F.col(miss).cast("int")
-    low, high = rows.agg(F.min(order), F.max(order)).first()
-    width = max(1, ((high or 0) - (low or 0)) // buckets + 1)
+    low, high, count = rows.agg(F.min(order), F.max(order), F.count("*")).first()
+    ranges = max(64, count // range_rows)
+    width = max(1, ((high or 0) - (low or 0)) // ranges + 1)
     parted = rows.withColumn("__b", F.floor((F.col(order) - (low or 0)) / width))
     sums = parted.groupBy("__b").agg(F.sum(n).alias("__n"))
     before = sums.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
     running = F.sum(n).over(Window.partitionBy("__b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    return parted.join(F.broadcast(before), "__b").withColumn("used", F.col("__before") + running).filter((n == 0) | (F.col("used") <= cap)).drop("__b", "__before")
+    return parted.join(before, "__b").withColumn("used", F.col("__before") + running).filter((n == 0) | (F.col("used") <= cap)).drop("__b", "__before")

@@ -199,6 +199,12 @@ def parse_candidates(spark, sf_dir):
     return candidates.parse_candidates(raw).select("page_id", "pos", "link", "title", "width", "height")
 
 
+def parse_other_source(spark, sf_dir):
+    item = F.struct(F.col("url").alias("image"), F.col("url").alias("url"), (F.col("page_id") % 900).cast("int").alias("width"), F.lit("s").alias("source"))
+    raw = _t(spark, sf_dir, "pages").select("page_id", F.when(F.col("page_id") % 3 > 0, F.to_json(F.array(item, item))).alias("response"))
+    return http.parse_other(raw).select("page_id", "pos", "image_url", "thumbnail_url", "page_url", "title", "width", "height", "source_site")
+
+
 def resolve_selection(spark, sf_dir):
     turns = _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.length("text").alias("n")))).alias("t"))
     ranking = F.transform("t", lambda x: (x["n"] % 9).cast("int"))
@@ -331,5 +337,5 @@ def fallback_rescued(spark, sf_dir):
 
 
 def queries():
-    found = (prototype_queries, prototype_pool, prototype_reasons, prototype_winners, image_scores, image_hash_distances, daily_calls_stream, read_through_cap, fallback_ladder, fallback_verdicts, fallback_ladder_capped, fallback_rescued, recovered_reasons, prefilter_full, shortlist, verdict_flags, condemned_links, wide_output, cost_report, cost_total, funnel_counts, coverage_summary, backlog, presentation_rules, search_requests, normalize_names, classify_first_match, category_coverage, strip_accents_docs, build_queries, hard_filter_reasons, upscale_urls, greedy_url_dedup, greedy_hash_dedup, rank_topk, pool_merge_exclude, budget_cap, cost_by_day, cost_by_model, retry_report, funnel, funnel_summary, parse_candidates, resolve_selection)
+    found = (prototype_queries, prototype_pool, prototype_reasons, prototype_winners, image_scores, image_hash_distances, daily_calls_stream, read_through_cap, fallback_ladder, fallback_verdicts, fallback_ladder_capped, fallback_rescued, recovered_reasons, prefilter_full, shortlist, verdict_flags, condemned_links, wide_output, cost_report, cost_total, funnel_counts, coverage_summary, backlog, presentation_rules, search_requests, normalize_names, classify_first_match, category_coverage, strip_accents_docs, build_queries, hard_filter_reasons, upscale_urls, greedy_url_dedup, greedy_hash_dedup, rank_topk, pool_merge_exclude, budget_cap, cost_by_day, cost_by_model, retry_report, funnel, funnel_summary, parse_candidates, parse_other_source, resolve_selection)
     return {f.__name__: f for f in found}

@@ -164,6 +164,7 @@ def oracle_sql() -> dict[str, str]:
   count(*) FILTER (n_cse = 0) AS perdidos_pool_cse_vacio, count(*) FILTER (n_cse > 0 AND n_prefiltro = 0) AS perdidos_prefiltro_vacio, count(*) FILTER (n_prefiltro > 0 AND NOT seleccionada) AS perdidos_gemini_descarto FROM f""",
         "image_hash_distances": "SELECT vec_id, true AS near FROM embeddings",
         "parse_candidates": "SELECT page_id, CAST(pos AS INTEGER) AS pos, url AS link, '' AS title, CAST(page_id % 900 AS INTEGER) AS width, CAST(NULL AS INTEGER) AS height FROM pages, (SELECT unnest([0, 1]) AS pos)",
+        "parse_other_source": "SELECT page_id, CAST(pos AS INTEGER) AS pos, url AS image_url, CAST(NULL AS VARCHAR) AS thumbnail_url, url AS page_url, '' AS title, CAST(page_id % 900 AS INTEGER) AS width, CAST(0 AS INTEGER) AS height, 's' AS source_site FROM pages, (SELECT unnest([0, 1]) AS pos) WHERE page_id % 3 > 0",
         "resolve_selection": """WITH t AS (SELECT conv_id, list(CAST(length(text) % 9 AS INTEGER) ORDER BY turn, length(text)) AS r FROM conversations GROUP BY conv_id)
   SELECT conv_id, CAST(CASE WHEN conv_id % 7 BETWEEN 1 AND len(r) THEN conv_id % 7 ELSE list_filter(r, lambda x: x BETWEEN 1 AND len(r))[1] END AS INTEGER) AS pick FROM t""",
     }

@@ -72,20 +72,32 @@ class Enrichment:
         return seen.filter("image is not null").select("link", F.col("image.width").alias("width"), F.col("image.height").alias("height"))
 
     def prefilter(self, pool: DataFrame) -> DataFrame:
-        """The audit of every row; a link is tested only until ``keep`` are reachable."""
+        """The audit of every row; a link is tested only until ``keep`` are reachable. Pools audited before are served from the cache."""
+        pool, path = cache.saved(pool), f"{self.dir}/prefilter"
+        row = F.struct("pos", "link", "thumbnail_link", "width", "height", "display_link", F.lit(self.keep))
+        keys = cache.saved(pool.groupBy("ref").agg(F.sha2(F.to_json(F.array_sort(F.collect_list(row))), 256).alias("key")))
+        held = cache.answers(self.spark, path)
+        todo = keys if held is None else keys.join(held.select("ref", "key").distinct(), ["ref", "key"], "left_anti")
+        fresh = cache.saved(pool.join(todo.select("ref"), "ref", "left_semi").select(*pool.columns))
         reach = lambda t: http.reached(t, self.keep, client=self.services.images)
-        return cache.saved(candidates.prefilter_audit(cache.saved(pool), self.measured(pool), self.score, reach, self.keep))
+        audit = candidates.prefilter_audit(fresh, self.measured(fresh), self.score, reach, self.keep)
+        audit.join(keys, "ref").select(*audit.columns, "key").write.mode("append").parquet(path)
+        return cache.saved(self.spark.read.parquet(path).join(keys, ["ref", "key"], "left_semi").select(*audit.columns))
 
     def judge(self, rows: DataFrame) -> DataFrame:
-        """response and attempts of rows with images, which are sent with their prompt."""
-        asked = rows.withColumn("prompt", prompts.judge_prompt(n=F.size("images")))
+        """response and attempts of rows with images, which are sent with their prompt; what was judged before is served from the cache."""
+        asked = rows.withColumn("prompt", prompts.judge_prompt(n=F.size("images"))).withColumn("__key", F.sha2(F.to_json(F.struct("ref", "prompt", F.transform("usable", lambda c: c["link"]).alias("links"), F.lit(self.model).alias("model"))), 256))
         client = self.services.judge
-        got = cache.saved(providers.call(asked, client, lambda c, row: c.fetch(row)))
         used = "struct<text:string,prompt_tokens:int,output_tokens:int,thoughts_tokens:int,total_tokens:int>"
-        got = got.withColumn("answer", F.from_json("value", used))
-        ledger.append_events(got.filter("ok").select(F.lit(reports.MODEL).alias("kind"), "ref", F.lit(self.model).alias("model"), "attempts", *[F.col(f"answer.{c}").alias(c) for c in ("prompt_tokens", "output_tokens", "thoughts_tokens", "total_tokens")]), f"{self.dir}/events")
-        self._log_retries(got, "gemini_retry")
-        return got.select(*[c for c in rows.columns if c not in ("response", "attempts")], F.col("answer.text").alias("response"), "attempts")
+
+        def call(t: DataFrame) -> DataFrame:
+            got = cache.saved(providers.call(t, client, lambda c, row: c.fetch(row)).withColumn("answer", F.from_json("value", used)))
+            ledger.append_events(got.filter("ok").select(F.lit(reports.MODEL).alias("kind"), "ref", F.lit(self.model).alias("model"), "attempts", *[F.col(f"answer.{c}").alias(c) for c in ("prompt_tokens", "output_tokens", "thoughts_tokens", "total_tokens")]), f"{self.dir}/events")
+            self._log_retries(got, "gemini_retry")
+            return got.withColumn("value", F.when(F.col("ok"), F.to_json(F.struct(F.col("answer.text").alias("text"), "attempts"))))
+
+        found = cache.read_through(asked, ["__key"], f"{self.dir}/select", call).withColumn("answer", F.from_json("value", "struct<text:string,attempts:int>"))
+        return found.select(*[c for c in rows.columns if c not in ("response", "attempts")], F.when(F.col("ok"), F.col("answer.text")).alias("response"), F.col("answer.attempts").alias("attempts"))
 
     def select(self, catalog: DataFrame, kept: DataFrame, rung: int, cap: int | None) -> DataFrame:
         """A selection for each row; at most ``cap`` of those with candidates, in order, are judged."""
