@@ -96,6 +96,15 @@ def test_perceptual_hash_survives_noise_and_size():
     assert apart(coarse, other) > 10
 
 
+def test_perceptual_hash_takes_equal_frequencies_as_equal(spark, tmp_path):
+    rows = ("10010010", "00010101", "11010110", "00001111", "10110010", "00101111", "10010010", "10110000")
+    signs = np.array([[int(x) for x in r] for r in rows])
+    blocks = np.kron(signs, np.ones((8, 8), int))[None, ..., None].repeat(3, 3)
+    assert images.perceptual_hashes(np.where(blocks, 0xF0, 0x10).astype(np.uint8)) == images.perceptual_hashes(np.where(blocks, 0xE8, 0x18).astype(np.uint8))
+    spark.createDataFrame([(1, (signs * 2.0 - 1).ravel().tolist())], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert [r.near for r in catalog_queries.image_hash_distances(spark, str(tmp_path)).collect()] == [True]
+
+
 @pytest.mark.parametrize(("h", "w"), [(1, 1), (2, 2), (2, 5), (3, 1), (40, 61)])
 def test_border_weights_count_samples(h, w):
     want = np.zeros((h, w), int)
