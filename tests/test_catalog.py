@@ -1,3 +1,5 @@
+import random
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +47,26 @@ def test_greedy_url_dedup_looks_at_kept_rows_only(spark):
     assert sorted(r.pos for r in candidates.dedupe_by_url(pool).collect()) == [0, 2, 4, 6, 7]
 
 
+def test_greedy_folds_gather_no_pool(spark):
+    r = random.Random(7)
+    some = lambda *more: r.choice([*map(str, range(12)), "", None, *more])
+    rows = [(i % 3, i, some(), some(), r.choice([None, -1, r.getrandbits(64) - 2**63, r.getrandbits(5)]), r.randrange(1, 4), 1) for i in range(900)]
+    pool = spark.createDataFrame(rows, "ref int, pos int, link string, thumbnail_link string, phash long, width int, height int").repartition(5)
+
+    def kept(alike, order):
+        out = []
+        for x in sorted(rows, key=order):
+            if not any(k[0] == x[0] and alike(k, x) for k in out):
+                out.append(x)
+        return sorted(x[1] for x in out)
+
+    near = lambda k, x: None not in (k[4], x[4]) and ((k[4] ^ x[4]) & 2**64 - 1).bit_count() <= 4
+    by_link, by_hash = candidates.dedupe_by_url(pool), candidates.dedupe_by_hash(pool)
+    assert sorted(x.pos for x in by_link.collect()) == kept(lambda k, x: (k[2] == x[2] and x[2] is not None) or (x[3] and k[3] == x[3]), lambda x: x[1])
+    assert sorted(x.pos for x in by_hash.collect()) == kept(near, lambda x: (-x[5], x[1]))
+    assert not any("collect_list" in t._jdf.queryExecution().toString() for t in (by_link, by_hash))
+
+
 @pytest.mark.parametrize(("w", "h", "domain", "link", "reason"), [(400, 400, "a", "http://x", None), (399, 900, "a", "http://x", "resolucion_baja"), (400, 1200, "a", "http://x", None), (400, 1201, "a", "http://x", "aspect_ratio_extremo"), (500, 500, "WWW.Shutterstock.com", "http://x", "dominio_bloqueado"), (500, 500, "a", "x-raw-image:///1", "url_invalido")])
 def test_drop_reason(spark, w, h, domain, link, reason):
     row = spark.createDataFrame([(w, h, domain, link)], "width int, height int, display_link string, link string").select(candidates.drop_reason().alias("r")).first()
