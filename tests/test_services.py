@@ -129,6 +129,20 @@ def test_ladder_stops_where_resolved(spark):
     assert len(by_ref) == 200 and {r.outcome for r in log} >= {"resuelto", "sigue_pendiente", "prefiltro_vacio"}
 
 
+def test_ladder_reads_names_once(spark):
+    args, read = catalog_queries._ladder_stand_ins(spark, "/root/testdata/sf0.001"), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(name):
+        read.add(1)
+        return name
+
+    catalog = args[0].filter("ref < 6").withColumn("nombre_limpio", counted("nombre_limpio"))
+    log = ladder.escalate(catalog, *args[1:])[2]
+    assert {r.rung for r in log.collect()} == {2, 3} and read.value == 6
+    assert "hashpartitioning(p_partkey" in catalog_queries.catalog(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+
+
 def test_excel_round_trip(spark, tmp_path):
     rows = [(0, "A<1>", "x & y", None), (1, "007", "line\nbreak", "ñ"), (2, "b\x00c", "", "z")]
     df = spark.createDataFrame(rows, "row_id long, ref string, a string, b string")

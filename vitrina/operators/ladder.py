@@ -40,8 +40,9 @@ def escalate(catalog: DataFrame, pools: DataFrame, verdicts: DataFrame, search:
     without a verdict is pending. The log has ref, rung, n_new, n_kept, flags of the verdict (- for none) and outcome.
     """
     stopped, log, queries, calls = None, [], 0, 0
+    catalog = saved(catalog.select("row_id", "ref", "marca", "nombre_limpio"))
     for rung in rungs:
-        open_ = catalog.select("row_id", "ref", "marca", "nombre_limpio").join(verdicts.select("ref", "flags", "condemned"), "ref", "left").filter(selection.needs_fallback("flags"))
+        open_ = catalog.join(verdicts.select("ref", "flags", "condemned"), "ref", "left").filter(selection.needs_fallback("flags"))
         if stopped is not None:
             open_ = open_.join(stopped, "ref", "left_anti")
         open_ = saved(_within(open_, None if max_queries is None else max_queries - queries).withColumn("rung", F.lit(rung)).withColumn("query", names.build_query(F.col("rung"), "ref", "marca", "nombre_limpio")))
