@@ -1,10 +1,12 @@
 import json
 import sys
+import tracemalloc
 import unicodedata
 import zipfile
 from xml.etree import ElementTree
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -86,6 +88,17 @@ def test_image_scores(spark):
     assert got["broken"].bg_score == got["none"].bg_score == 0 and got["none"].phash is None
 
 
+def test_image_scores_work_on_few_pixels_at_once():
+    data = np.random.default_rng(2).integers(0, 256, (2000, 48 * 64), np.uint8)
+    batch = pd.DataFrame({"height": 48, "width": 64, "nChannels": 1, "data": [x.tobytes() for x in data]})
+    tracemalloc.start()
+    got = images._scores.func(batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6 and got.phash.nunique() == 2000
+    assert got.iloc[1999:].reset_index(drop=True).equals(images._scores.func(batch.iloc[1999:].reset_index(drop=True)))
+
+
 def test_perceptual_hash_survives_noise_and_size():
     rng = np.random.default_rng(1)
     coarse, other = (np.kron(rng.integers(0, 256, (8, 8, 1)), np.ones((8, 8, 3))) for _ in range(2))
