@@ -37,9 +37,13 @@ def strip_accents(c: str | Column) -> Column:
     return F.when(_col(c).isNull() | simple, plain).otherwise(_decomposed(F.when(~simple, _col(c))))
 
 
-def clean_basic(c: str | Column, typos: tuple[tuple[str, str], ...] = rules.TYPOS) -> Column:
+def _spaced(c: str | Column, typos: tuple[tuple[str, str], ...]) -> Column:
     spaced = F.regexp_replace(F.upper(F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")), r"(?U)\s+", " ")
-    return strip_accents(reduce(lambda x, t: F.regexp_replace(x, *t), typos, spaced))
+    return reduce(lambda x, t: F.regexp_replace(x, *t), typos, spaced)
+
+
+def clean_basic(c: str | Column, typos: tuple[tuple[str, str], ...] = rules.TYPOS) -> Column:
+    return strip_accents(_spaced(c, typos))
 
 
 def expand_abbreviations(c: str | Column, words: dict[str, str] = rules.ABBREVIATIONS) -> Column:
@@ -85,8 +89,9 @@ def _mapped(c: str | Column, table: dict[str, str]) -> Column:
 
 def normalize(df: DataFrame, name: str = "nombre", brand: str = "marca", given: rules.Rules = rules.DEFAULT) -> DataFrame:
     """The catalog with the ten normalised columns."""
-    full = expand_abbreviations(clean_basic(F.coalesce(F.col(name), F.lit("")), given.typos), given.abbreviations)
-    words = df.withColumn("nombre_original", F.trim(F.col(name))).withColumn("__full", full)
+    # A column of its own, as accents are looked for and taken off in several places.
+    spaced = df.withColumn("nombre_original", F.trim(F.col(name))).withColumn("__spaced", _spaced(F.coalesce(F.col(name), F.lit("")), given.typos))
+    words = spaced.withColumn("__full", expand_abbreviations(strip_accents("__spaced"), given.abbreviations)).drop("__spaced")
     sized = words.withColumns({"pack": pack("__full", given.pack), "litraje": volume("__full", given.volume)})
     stripped = sized.withColumn("nombre_limpio", F.trim(F.regexp_replace(strip_case_multiplier("__full", F.col("litraje"), given.case_multiplier), r"(?U)\s+", " ")))
     return stripped.withColumns(
