@@ -168,6 +168,20 @@ def test_ladder_takes_few_jobs(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_ladder_in_order_reads_what_it_can_try(spark):
+    args, read = catalog_queries._ladder_stand_ins(spark, "/root/testdata/sf0.001"), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(name):
+        read.add(1)
+        return name
+
+    log = ladder.escalate_in_order(args[0].withColumn("nombre_limpio", counted("nombre_limpio")), *args[1:], max_queries=8, max_calls=2)[2].collect()
+    assert 0 < read.value <= 8 and len({r.ref for r in log}) == 200
+    assert sum(r.outcome != "omitido_cap_cse" for r in log) == 8
+    assert {r.outcome for r in ladder.escalate_in_order(*args, max_queries=0, max_calls=2)[2].collect()} == {"omitido_cap_cse"}
+
+
 def test_ladder_of_uneven_pools(spark):
     """Repeated refs, null links, links held before or condemned, and refs that the catalog lacks."""
     catalog = spark.createDataFrame([(0, "a", "m", "n"), (1, "a", "m", "n"), (2, "b", "m", "n"), (3, "c", "m", "n")], "row_id long, ref string, marca string, nombre_limpio string")

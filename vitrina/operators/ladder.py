@@ -145,9 +145,10 @@ def escalate_in_order(catalog: DataFrame, pools: DataFrame, verdicts: DataFrame,
         return pools, verdicts, _empty_log(catalog)
     heads = saved(pending.orderBy("row_id").limit(max(max_queries, 0)))
     own = lambda t, some: t.join(some.select("ref"), "ref", "left_semi").select(*t.columns)
-    near = [saved(own(t, heads)) for t in (catalog, pools, verdicts)] if max_queries > 0 else []
+    top = heads.agg(F.max("row_id")).first()[0]
+    near = [] if top is None else [saved(own(t, heads)) for t in (catalog.filter(F.col("row_id") <= top), pools, verdicts)]
     done, after = [], None
-    while max_queries > 0:
+    while near and max_queries > 0:
         caps = [c // len(rungs) for c in (max_queries, max_calls) if c > 0]
         rest = heads if after is None else heads.filter(F.col("row_id") > after)
         batch = saved(rest.orderBy("row_id").limit(max(1, min(caps))))
