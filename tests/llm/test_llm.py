@@ -63,6 +63,25 @@ def test_bpe_joins_are_repaired(docs, bits, monkeypatch):
     assert cut > 100  # so many ids would be wrong without repair
 
 
+def test_bpe_pieces_are_encoded_once(docs, monkeypatch):
+    """Words that a worker has met do not go to the library again, and long ones are not kept."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(chunked_bpe, "PIECES", 5000)
+    held, given = chunked_bpe.Codec(public_tokenizers.path("byte_bpe_50k.json")), []
+    library = held._library
+    monkeypatch.setattr(held, "_library", lambda pieces: given.extend(pieces) or library(pieces))
+    texts = [" ".join(f"w{i * j % 97}{'!' * (i * j % 4)}" for j in range(3000)) for i in range(1, 9)] + ["", " ", "日本語テキスト" * 60, "a" * 5000, "a<|endoftext|>b <|endoftext|> <|endoftext <|endoftext|><|endoftext|>'s", "I'll don't x'.'s ''ll a'1 1'a 'tis 'S rock'n'roll a_b a1b2 é1 1é é, ,é \x1f1 \x00a 3½ x² ²x ..a  ..1 \t\n,\u00a0a\u2028b"]
+    for _ in range(2):
+        for ids, text in zip(held.texts(pa.array(texts)), texts, strict=True):
+            assert ids.tolist() == held.tokenizer.encode(text, add_special_tokens=False).ids
+    assert sum(map(len, given)) < sum(len(t.encode()) for t in texts) / 4
+    assert max(map(len, held.pieces)) <= chunked_bpe.PIECE and len(held.at) == len(held.pieces) + 1 and held.at[-1] == len(held.ids)
+    assert held.encode([b""])[0].tolist() == []
+    for r in docs.limit(100).collect():  # the kept pieces are let go of and begin anew
+        assert held.texts(pa.array([r.text or ""]))[0].tolist() == held.tokenizer.encode(r.text or "", add_special_tokens=False).ids
+
+
 def plain_count(word, scores):
     """Tokens of the best segmentation, by trying every one."""
     marked, worst = "▁" + word, min(scores.values()) - 10

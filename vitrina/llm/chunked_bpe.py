@@ -9,6 +9,11 @@ text there, whatever lies beyond. The window reaches one border further than it
 ids must be those that the chunks have for the same bytes; where they are not, the text's windows reach further, and at
 last are the whole text. So the ids are those of the whole text, exactly.
 
+A new chunk is encoded by pieces, which are cut wherever the pre-tokeniser parts what lies around two ASCII characters
+(at the end of a word, number or run of signs): a worker keeps the ids of each short piece, and only pieces that it
+has not met go to the tokenizers library. No piece is cut inside an added token. Another pre-tokeniser, or added
+tokens that take in white space, are given whole chunks.
+
 No shuffle: texts stay where they are read. A dictionary of chunks shared by all executors would move the
 corpus twice (chunks out, ids back) to save less encoding than that costs, so reuse is per worker, in a
 store of bounded size.
@@ -21,8 +26,12 @@ equal and repeated rows give a row each; an empty table gives an empty result; f
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +45,27 @@ U64 = np.uint64
 CHUNK_BITS, GRAM = 10, 16
 #: Bytes of text whose chunks a worker keeps.
 STORE = 48 << 20
+#: Bytes of the longest piece that a worker keeps, and how many of them.
+PIECE, PIECES = 32, 400_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+def _ends() -> np.ndarray:
+    """By two bytes: whether the first ends a word, number or run of signs, whatever lies around. An apostrophe may go on."""
+    letter, digit, visible = np.zeros((3, 256), bool)
+    letter[65:91] = letter[97:123] = digit[48:58] = visible[33:127] = True
+    sign = visible & ~letter & ~digit
+    out = visible[:, None] & _SPACE
+    for kind in (letter, digit, sign):
+        out |= kind[:, None] & (visible & ~kind)
+    out[ord("'")] &= ~letter
+    return out.ravel()
+
+
+_ENDS = _ends()
+
+
 class Codec:
     """A tokeniser of the tokenizers library, with the chunks encoded so far."""
 
@@ -59,17 +85,66 @@ class Codec:
         self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
         self.bytes_at = np.cumsum(self.lengths) - self.lengths
         self.spelled = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        before = json.loads(self.tokenizer.to_str())
+        plain = before["normalizer"] is None and (before["pre_tokenizer"] or {}) | {"trim_offsets": True} == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        self.parted = plain and not any(t.lstrip or t.rstrip or t.single_word or any(c.isspace() for c in t.content) for t in added)
+        self.added = re.compile(b"|".join(re.escape(t.content.encode()) for t in added) or b"(?!)")
         self.store: dict[bytes, np.ndarray] = {}
         self.held = 0
+        self._new_pieces()
+
+    def _new_pieces(self) -> None:
+        """Kept pieces by their number; their ids lie end to end, those of piece i from ``at[i]`` to ``at[i + 1]``."""
+        self.pieces: dict[bytes, int] = {}
+        self.ids, self.at = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def _library(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of each piece as the tokenizers library has them."""
+        out = []
+        for at in range(0, len(pieces), 2048):
+            out += [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces[at : at + 2048]], add_special_tokens=False)]
+        return out
+
+    def _by_pieces(self, chunks: list[bytes]) -> list[np.ndarray]:
+        """Ids of each chunk, put together from those of its pieces."""
+        raw = b"".join(chunks)
+        data = np.frombuffer(raw, np.uint8)
+        ends = np.cumsum([0, *map(len, chunks)])
+        here = np.zeros(len(data) + 1, bool)
+        if len(data):
+            here[1:-1] = _ENDS[(data[:-1].astype(np.uint16) << 8) | data[1:]]
+        for m in self.added.finditer(raw):
+            here[m.start() + 1 : m.end()] = False
+        here[ends] = True
+        cuts = np.flatnonzero(here)
+        pieces = [raw[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        if len(self.pieces) > PIECES:
+            self._new_pieces()
+        new = sorted(set(pieces).difference(self.pieces), key=len)
+        found, first = self._library(new), len(self.pieces)
+        ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32)])
+        at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(x) for x in found], dtype=np.int64)])
+        self.pieces.update(zip(new, range(first, first + len(new)), strict=True))
+        which = np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
+        counts = at[which + 1] - at[which]
+        stops = np.r_[0, np.cumsum(counts)]
+        flat = ids[np.arange(stops[-1]) + np.repeat(at[which] - stops[:-1], counts)]
+        long = new[bisect_right(new, PIECE, key=len) :]  # the last ones
+        for p in long:
+            del self.pieces[p]
+        self.at = at[: len(self.pieces) + 1]
+        self.ids = ids[: self.at[-1]]
+        bounds = stops[np.searchsorted(cuts, ends)].tolist()
+        return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
     def encode(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of each piece; a piece that was seen before is not encoded again."""
         new = [p for p in dict.fromkeys(pieces) if p not in self.store]
-        fresh = {}
-        for at in range(0, len(new), 2048):
-            some = new[at : at + 2048]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False), strict=True):
-                fresh[p] = np.array(e.ids, np.uint32)
+        if self.parted and new:
+            fresh = dict(zip(new, self._by_pieces(new), strict=True))
+        else:
+            fresh = {p: np.array(i, np.uint32) for p, i in zip(new, self._library(new), strict=True)}
         size = sum(map(len, fresh))
         if self.held + size > STORE:
             out = [fresh[p] if p in fresh else self.store[p] for p in pieces]
@@ -82,6 +157,7 @@ class Codec:
     def forget(self) -> None:
         """Frees the stored chunks, so that a worker that goes on to other stages does not hold them."""
         self.store, self.held = {}, 0
+        self._new_pieces()
         A.give_back()
 
     def decode(self, texts: list[np.ndarray]) -> list[str]:
@@ -112,8 +188,7 @@ class Codec:
         cuts, raw = self.cuts(data, offsets), data.tobytes()
         ids = np.concatenate(self.encode([raw[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]))
         ends = np.cumsum(self.lengths[ids])  # chunks lie end to end, and so do the bytes of their ids
-        space = _SPACE[data]
-        borders = np.flatnonzero(~space[:-1] & (data[:-1] > 32) & (data[:-1] < 127) & space[1:]) + 1
+        borders = _borders(data)
         out, open_, reach = _by_text(ids, ends, offsets), cuts[~np.isin(cuts, offsets)], 1
         while len(open_):
             windows = _windows(open_, borders, offsets, reach)
@@ -143,6 +218,11 @@ class Codec:
             out[doc] = np.concatenate([*parts, ids[rest[n] : last[n]]])
 
 
+def _borders(data: np.ndarray) -> np.ndarray:
+    """The places where a visible ASCII character meets ASCII white space."""
+    return np.flatnonzero((data[:-1] > 32) & (data[:-1] < 127) & _SPACE[data[1:]]) + 1
+
+
 def _count(ends: np.ndarray, places: np.ndarray) -> np.ndarray:
     """How many ids end at or before each place."""
     return np.searchsorted(ends, places, "right")
