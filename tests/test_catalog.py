@@ -67,6 +67,31 @@ def test_greedy_folds_gather_no_pool(spark):
     assert not any("collect_list" in t._jdf.queryExecution().toString() for t in (by_link, by_hash))
 
 
+def test_greedy_folds_walk_where_rows_meet(spark, monkeypatch):
+    """Pools without a shared link, thumbnail or pair of hashes need no judge; small batches cut the others anywhere."""
+    r, walks, link_judge, hash_judge = random.Random(3), spark.sparkContext.accumulator(0), candidates._link_judge, candidates._hash_judge
+    monkeypatch.setattr(candidates, "_link_judge", lambda: walks.add(1) or link_judge())
+    monkeypatch.setattr(candidates, "_hash_judge", lambda d: walks.add(1) or hash_judge(d))
+    apart = spark.range(4000).select((F.col("id") % 2000).alias("ref"), F.col("id").alias("pos"), F.col("id").cast("string").alias("link"), F.when(F.col("id") % 3 > 0, "").alias("thumbnail_link"), F.lit(None).cast("long").alias("phash"), F.lit(1).alias("width"), F.lit(1).alias("height"))
+    assert candidates.dedupe_by_url(apart).count() == candidates.dedupe_by_hash(apart).count() == 4000
+    assert walks.value <= 40
+    rows = [(r.choice([None, *"abcdefghij"]), i, r.choice([None, "", *"stuvw"]), r.choice([None, "", *"stuvw"]), r.choice([None, None, 0, 3, -1]), 1, 1) for i in range(120)]
+    pool = spark.createDataFrame(rows, "ref string, pos long, link string, thumbnail_link string, phash long, width int, height int")
+    links, hashes = {}, {}
+    for ref, i, link, thumb, h, *_ in rows:
+        if links.setdefault(ref, link_judge())(link, thumb) is False:
+            links.setdefault("", []).append(i)
+        if hashes.setdefault(ref, hash_judge(4))(h) is False:
+            hashes.setdefault("", []).append(i)
+    for size in ("1", "3", "7", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            assert sorted(x.pos for x in candidates.dedupe_by_url(pool).collect()) == links[""]
+            assert sorted(x.pos for x in candidates.dedupe_by_hash(pool).collect()) == hashes[""]
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 @pytest.mark.parametrize(("w", "h", "domain", "link", "reason"), [(400, 400, "a", "http://x", None), (399, 900, "a", "http://x", "resolucion_baja"), (400, 1200, "a", "http://x", None), (400, 1201, "a", "http://x", "aspect_ratio_extremo"), (500, 500, "WWW.Shutterstock.com", "http://x", "dominio_bloqueado"), (500, 500, "a", "x-raw-image:///1", "url_invalido")])
 def test_drop_reason(spark, w, h, domain, link, reason):
     row = spark.createDataFrame([(w, h, domain, link)], "width int, height int, display_link string, link string").select(candidates.drop_reason().alias("r")).first()

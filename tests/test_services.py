@@ -168,6 +168,17 @@ def test_ladder_takes_few_jobs(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_ladder_pins_three_tables_a_rung(spark, monkeypatch):
+    """What was grown (with the answers), kept and how it went; the answers had a table of their own, and grew by a join."""
+    written, saved, grown = [], ladder.saved, ladder._grown
+    monkeypatch.setattr(ladder, "saved", lambda t: written.append(t.columns) or saved(t))
+    plans = []
+    monkeypatch.setattr(ladder, "_grown", lambda *args: plans.append(grown(*args)) or plans[-1])
+    ladder.escalate(*catalog_queries._ladder_stand_ins(spark, "/root/testdata/sf0.001"))
+    assert len(written) == 1 + 3 * 2 and len(plans) == 2
+    assert not any("Join" in p._jdf.queryExecution().optimizedPlan().toString() for p in plans)
+
+
 def test_ladder_in_order_reads_what_it_can_try(spark):
     args, read = catalog_queries._ladder_stand_ins(spark, "/root/testdata/sf0.001"), spark.sparkContext.accumulator(0)
 

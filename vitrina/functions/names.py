@@ -30,11 +30,13 @@ def _decomposed(text: pd.Series) -> pd.Series:
 def strip_accents(c: str | Column) -> Column:
     """Compatibility decomposition (NFKD) without combining marks.
 
-    Text of Latin letters stays in generated code; only other text is sent to Python, in Arrow batches.
+    Text of Latin letters stays in generated code, and plain ASCII (as many bytes as characters) is not even looked
+    through; only other text is sent to Python, in Arrow batches.
     """
+    ascii_ = F.octet_length(_col(c)) == F.char_length(_col(c))
     plain = F.regexp_replace(F.translate(_col(c), _ACCENTED, _PLAIN), r"[\u0300-\u034e\u0350-\u036f]", "")
     simple = _col(c).rlike(_SIMPLE)
-    return F.when(_col(c).isNull() | simple, plain).otherwise(_decomposed(F.when(~simple, _col(c))))
+    return F.when(ascii_, _col(c)).when(_col(c).isNull() | simple, plain).otherwise(_decomposed(F.when(~ascii_ & ~simple, _col(c))))
 
 
 def _spaced(c: str | Column, typos: tuple[tuple[str, str], ...]) -> Column:
